@@ -1,0 +1,5 @@
+"""Empty on purpose: the jobs are batch re-runs.
+
+``parse_daily``, ``valid_prefix``, ``explode_days`` and ``weather_rows`` keep no state
+between rows and also run on a streaming DataFrame as they are.
+"""
