@@ -81,8 +81,9 @@ _DELTA_SQL = f"{_DELAYS_SQL} WHERE l_shipdate >= TIMESTAMP '2000-01-01'"
 
 
 def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value, k = F.col("value"), F.from_json("props", "k int")["k"].cast("double")
-    return _table(spark, sf_dir, "events").select(
+    value, k = F.col("value"), F.col("k").cast("double")
+    events = _table(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k int")["k"])
+    return events.select(
         F.col("ts").cast("date").alias("date"),
         F.col("user_id").cast("string").alias("station_name"),
         flag_outside(value, 1.0, 147.35).alias("extreme_temperature"),

@@ -41,7 +41,7 @@ def parse_registry(documents: DataFrame, text: str = "value") -> DataFrame:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return parse_registry(spark.read.option("wholetext", True).text(path))
+    return parse_registry(spark.read.text(path, wholetext=True))
 
 
 def with_batch(

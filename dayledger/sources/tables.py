@@ -23,10 +23,12 @@ def read_folder(
 def list_folder(spark: SparkSession, folder: str) -> DataFrame:
     """(path, modificationTime) of the files directly in a folder.
 
-    Only these two columns are selected, so Spark lists the files and opens none.
+    Only these two columns are selected, so Spark lists the files and opens none. The lookup
+    is recursive to keep subfolders from being taken for partitions; what they hold is dropped.
     """
     bare = folder.split("://", 1)[-1].removeprefix("file:").rstrip("/")
-    listing = spark.read.format("binaryFile").load(folder).select("path", "modificationTime")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    listing = files.select("path", "modificationTime")
     parent = F.expr("substring(path, 1, length(path) - length(substring_index(path, '/', -1)) - 1)")
     return listing.where(parent.endswith(bare)).withColumn("name", last_segment(F.col("path")))
 

@@ -1,0 +1,153 @@
+"""The jobs end to end, from files to published tables."""
+
+import json
+import os
+
+import pytest
+
+from dayledger.plans.landing import initial_load, periodic_update
+from dayledger.plans.rebuild import rebuild_all, rebuild_weather
+from dayledger.schemas import DELAYS, RAW_WEATHER, schema_as_text
+from dayledger.sinks.publish import NoRowsError
+from dayledger.sources.tables import read_folder
+
+DAYS = [f"2025-06-{d:02d}" for d in range(1, 11)]
+
+
+def _daily(i):
+    t = [float(i % 50)] * 10
+    if i % 7 == 0:
+        t[4] = None
+    return json.dumps({"daily": {
+        "time": DAYS, "temperature_2m_mean": t, "wind_gusts_10m_max": [60.5] * 10,
+        "precipitation_sum": [0.0] * 9 + [21.0]}})
+
+
+@pytest.fixture
+def inputs(tmp_path):
+    """1,000 stations; every tenth request failed, every seventh body has a gap."""
+    registry = tmp_path / "stations.json"
+    registry.write_text(
+        json.dumps([{"station_name": f"S{i}", "lat": 47.0, "lon": "19.5"} for i in range(1000)])
+    )
+    responses = tmp_path / "responses"
+    responses.mkdir()
+    (responses / "a.json").write_text("\n".join(
+        json.dumps({"station_name": f"S{i}", "status": 503 if i % 10 == 0 else 200, "body": _daily(i)})
+        for i in range(1000)
+    ))
+    arrivals = tmp_path / "arrivals"
+    arrivals.mkdir()
+    for name, when in (("2025-06-02_2025-06-04", 2000), ("2025-06-05_2025-06-08", 1000)):
+        path = arrivals / f"{name}_delays.csv"
+        path.write_text("x")
+        os.utime(path, (when, when))
+    return {"registry": str(registry), "responses": str(responses)}, str(arrivals)
+
+
+def _by_hand(stations, start, end):
+    rows, ok = [], 0
+    for i in stations:
+        if i % 10 == 0:
+            continue
+        days = [d for d in DAYS if start <= d <= end]
+        good = [d for d in days if i % 7 or d < DAYS[4]]
+        ok += good == days
+        rows += [(f"S{i}", d, int(i % 50 > 35), int(d == DAYS[9])) for d in good]
+    return rows, ok
+
+
+def _report(rows, ok, n):
+    return {
+        "successful": ok,
+        "failed": n - ok,
+        "total_records": len(rows),
+        "unique_dates": len({r[1] for r in rows}),
+        "unique_stations": len({r[0] for r in rows}),
+        "extreme_temp_count": sum(r[2] for r in rows),
+        "extreme_wind_count": len(rows),
+        "extreme_precip_count": sum(r[3] for r in rows),
+    }
+
+
+def _landed(spark, path):
+    df = read_folder(spark, path, "csv", schema_as_text(RAW_WEATHER))
+    columns = ["station_name", "date", "extreme_temperature", "extreme_precipitation"]
+    return sorted(tuple(r) for r in df.select(*columns).collect())
+
+
+@pytest.mark.parametrize(
+    "batch, stations, files",
+    [(0, range(900), None), (1, range(900, 1000), 1), (None, range(1000), "auto")],
+)
+def test_initial_load(spark, tmp_path, inputs, batch, stations, files):
+    output = str(tmp_path / "out")
+    report = initial_load(spark, **inputs[0], output=output, batch=batch, files=files)
+    rows, ok = _by_hand(stations, "2025-06-01", "2025-11-23")
+    assert report == _report(rows, ok, len(stations))
+    assert _landed(spark, output) == sorted(rows)
+
+
+def test_periodic_update(spark, tmp_path, inputs):
+    output = str(tmp_path / "out")
+    report = periodic_update(spark, inputs[1], **inputs[0], output=output)
+    rows, ok = _by_hand(range(900), "2025-06-02", "2025-06-04")
+    assert report == _report(rows, ok, 900)
+    assert _landed(spark, output) == sorted(rows)
+
+
+def test_nothing_loaded_leaves_the_output(spark, tmp_path, inputs):
+    output = str(tmp_path / "out")
+    initial_load(spark, **inputs[0], output=output, batch=1)
+    before = _landed(spark, output)
+    with pytest.raises(NoRowsError):
+        initial_load(spark, **inputs[0], output=output, start="2030-01-01", end="2030-01-02")
+    with pytest.raises(NoRowsError):
+        initial_load(spark, **inputs[0], output=output, batch=2)
+    assert _landed(spark, output) == before
+
+
+def _csv_table(spark, name, schema, path):
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING csv OPTIONS (header 'true') LOCATION '{path}'")
+
+
+def test_from_landing_to_view(spark, tmp_path, inputs):
+    base, delta = str(tmp_path / "base"), str(tmp_path / "delta")
+    loaded = initial_load(spark, **inputs[0], output=base)
+    updated = periodic_update(spark, inputs[1], **inputs[0], output=delta)
+    text = schema_as_text(RAW_WEATHER)
+    _csv_table(spark, "weather_initial", text, base)
+    _csv_table(spark, "weather_last_week", text, delta)
+    for name in ("delays_initial", "delays_last_week"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.csv").write_text(
+            ",".join(DELAYS.names) + "\n2025-06-01,S1,10.5,2,5.25\nbad,S2,x,12.7,\n"
+        )
+        strings = "date string, station_name string, total_delay_minutes string, " \
+                  "train_count string, avg_delay_minutes string"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({strings}) USING csv OPTIONS (header 'true') "
+                  f"LOCATION '{tmp_path / name}'")
+    weather_rows = loaded["total_records"] + updated["total_records"]
+    for _ in range(2):
+        assert rebuild_all(spark, str(tmp_path / "published")) == {
+            "delays": 4, "weather": weather_rows}
+    counts = {r["data_type"]: r["count"] for r in
+              spark.table("unified_all").groupBy("data_type").count().collect()}
+    assert counts == {"delay": 4, "weather": weather_rows}
+    bad = spark.table("delays_all").where("station_name = 'S2'").first()
+    assert tuple(bad) == (None, "S2", None, 12, None)
+    assert spark.table("weather_all").where("date is null").isEmpty()
+
+
+def test_a_missing_view_does_not_undo_the_table(spark, tmp_path, inputs):
+    base = str(tmp_path / "base")
+    report = initial_load(spark, **inputs[0], output=base, batch=1)
+    _csv_table(spark, "only_weather", schema_as_text(RAW_WEATHER), base)
+    rows = rebuild_weather(
+        spark, str(tmp_path / "published"), "only_weather", "only_weather", "only_weather_all",
+        delays="no_such_table", view="no_such_view",
+    )
+    assert rows == spark.table("only_weather_all").count() == 2 * report["total_records"]
