@@ -1,9 +1,12 @@
 """Casts, flags and file names on hand-made values."""
 
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from dayledger.functions.casts import conform
+from dayledger.functions.casts import conform, lenient_cast
 from dayledger.functions.filenames import date_range, last_segment
 from dayledger.functions.flags import flag_above, flag_outside
 from dayledger.schemas import DELAYS, WEATHER, Thresholds
@@ -124,3 +127,38 @@ def test_last_segment(spark):
     assert _value(spark, "string", "s3://b/a/x.csv", last_segment) == "x.csv"
     assert _value(spark, "string", "x.csv", last_segment) == "x.csv"
     assert _value(spark, "string", "a/", last_segment) == ""
+
+
+PIECES = ["", " ", "+", "-", ".", "0", "7", "12", "2147483647", "2147483648", "e", "E3", "1e400",
+          "inf", "Infinity", "NaN", "nan", "d", "f", "x", "0x1p3", "\t", "\x7f", "\x1f", "é",
+          "2025-06-01", "2025-6", "T10:00", "true", "١", "_"]
+
+
+def test_casts_equal_the_casts_without_ansi(spark):
+    """Text and numbers of every kind against Spark's own cast with ANSI mode off."""
+    random.seed(3)
+    texts = sorted({"".join(random.choices(PIECES, k=random.randint(0, 4))) for _ in range(4000)})
+    numbers = [random.uniform(-5e9, 5e9) for _ in range(200)]
+    numbers += [0.0, -0.0, 2147483647.0, 2147483647.5, -2147483648.9, 1e300, math.inf, -math.inf]
+    longs = [random.randint(-(2**63), 2**63 - 1) for _ in range(200)] + [2**31, -(2**31) - 1, 5]
+    inputs = [(texts, "string", ("int", "double", "date", "string")),
+              (numbers, "double", ("int", "string", "double")),
+              (numbers, "float", ("int", "double")),
+              (longs, "bigint", ("int", "double", "string")),
+              ([True, False, None], "boolean", ("int", "double", "string"))]
+    for values, kind, targets in inputs:
+        df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+        source = df.schema["v"].dataType
+        kinds = {t: df.select(F.col("v").cast(t)).schema[0].dataType for t in targets}
+        # As text, since Python has no years beyond 9999.
+        ours = df.select(
+            "v", *[lenient_cast(F.col("v"), source, k).cast("string") for k in kinds.values()]
+        )
+        actual = [str(tuple(r)) for r in ours.collect()]
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        try:
+            plain = df.select("v", *[F.col("v").cast(t).cast("string") for t in targets])
+            expected = [str(tuple(r)) for r in plain.collect()]
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+        assert actual == expected
