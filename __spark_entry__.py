@@ -19,7 +19,7 @@ from dayledger.operators.combine import base_plus_delta, union_counts, unified_l
 from dayledger.operators.joining import bounded_join
 from dayledger.operators.prefix import valid_prefix_rows
 from dayledger.operators.report import load_report, load_status, station_status
-from dayledger.operators.series import explode_days, parse_daily, valid_prefix
+from dayledger.operators.series import explode_days, valid_prefix
 from dayledger.plans.landing import checked_series, weather_rows
 from dayledger.schemas import DELAYS, RAW_WEATHER, WEATHER, schema_as_text
 from dayledger.session import working_folder
@@ -302,15 +302,12 @@ def explode_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each whole text as a series that ends before the first long word."""
     words = F.split("text", " ")
-    body = F.struct(
-        words.alias("time"),
-        F.transform(words, lambda w: F.when(F.length(w) <= 12, F.length(w))).alias("size"),
-    )
     documents = _table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.to_json(F.struct(body.alias("daily")), {"ignoreNullFields": "false"}).alias("body"),
+        words.alias("time"),
+        F.transform(words, lambda w: F.when(F.length(w) <= 12, F.length(w))).alias("size"),
     )
-    checked = valid_prefix(parse_daily(documents, {"size": "size"}), ["size"])
+    checked = valid_prefix(documents, ["size"])
     return checked.select("doc_id", F.size("time").alias("n_words"), "keep", "status")
 
 

@@ -94,13 +94,20 @@ def valid_prefix(
         return gap & in_range(day, start, end)
 
     complete = F.col(time).isNotNull()
+    suspect = F.lit(False)
     for name in measures:
         complete = complete & F.col(name).isNotNull()
-    # 1-based; 0 if every day is valid.
-    first_invalid = F.array_position(F.transform(time, invalid), True)
-    marked = df.withColumn(
-        "_first_invalid", F.when(complete, first_invalid).otherwise(F.lit(1)).cast("int")
+        suspect = suspect | (F.size(name) < F.size(time)) | F.exists(name, lambda x: x.isNull())
+    for name in required:
+        suspect = suspect | F.col(name).isNull()
+    # 1-based; 0 if every day is valid. Days are looked at one by one only where the quick
+    # checks found a gap somewhere.
+    first_invalid = (
+        F.when(~complete, 1)
+        .when(suspect, F.array_position(F.transform(time, invalid), True))
+        .otherwise(0)
     )
+    marked = df.withColumn("_first_invalid", first_invalid.cast("int"))
     return marked.select(
         *df.columns,
         F.when(F.col("_first_invalid") > 0, F.col("_first_invalid") - 1)

@@ -17,11 +17,13 @@ def parse_registry(documents: DataFrame, text: str = "value") -> DataFrame:
     key fails the job, but only for stations that are still wanted when it is evaluated:
     the check is in the projected name, above any filter on the position.
     """
+    array = F.coalesce(
+        F.from_json(text, "array<variant>", {"mode": "FAILFAST"}),
+        F.raise_error(F.lit("empty registry document")).cast("array<variant>"),
+    )
     entries = documents.select(
         *[c for c in documents.columns if c != text],
-        F.posexplode(F.variant_get(F.parse_json(text), "$", "array<variant>")).alias(
-            "position", "entry"
-        ),
+        F.posexplode(array).alias("position", "entry"),
     )
 
     def part(key: str, kind: str) -> Column:
@@ -41,6 +43,9 @@ def parse_registry(documents: DataFrame, text: str = "value") -> DataFrame:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """A registry document. One too large for a single value belongs in a table with a
+    ``position`` column, which all functions that take stations accept as it is.
+    """
     return parse_registry(spark.read.text(path, wholetext=True))
 
 

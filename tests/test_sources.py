@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from dayledger.operators.arrivals import ArrivalError, newest, newest_range, with_date_range
@@ -44,9 +43,10 @@ def test_missing_key_is_fatal_within_the_batch_only(spark, tmp_path, key):
         stations.collect()
 
 
-def test_registry_that_is_not_json_is_fatal(spark, tmp_path):
-    (tmp_path / "stations.json").write_text("[{")
-    with pytest.raises(Py4JJavaError, match="MALFORMED"):
+@pytest.mark.parametrize("text", ["[{", " ", "null", '{"station_name": "A"}'])
+def test_registry_that_is_no_array_is_fatal(spark, tmp_path, text):
+    (tmp_path / "stations.json").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED|empty registry document"):
         read_registry(spark, str(tmp_path / "stations.json")).collect()
 
 
