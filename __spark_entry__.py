@@ -26,6 +26,7 @@ from dayledger.session import working_folder
 from dayledger.sinks.folders import PARQUET_OPTIONS, write_folder
 from dayledger.sinks.views import create_temp_view
 from dayledger.sources.registry import batch_sizes, in_batch, parse_registry, with_batch
+from dayledger.sources.responses import usable
 from dayledger.sources.tables import days_between, read_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,7 +103,9 @@ _OBSERVATIONS_SQL = """
 
 
 def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON body per vector: null days, and a last series that may be too short."""
+    """One JSON body per vector: null days, a last series that may be too short, and a failed
+    request for each vector of label 9.
+    """
     x = F.transform("embedding", lambda v: v.cast("double"))
     days = F.size("embedding")
     daily = F.struct(
@@ -122,10 +125,12 @@ def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             days - F.col("label"),
         ).alias("precipitation_sum"),
     )
-    return _table(spark, sf_dir, "embeddings").select(
+    landed = _table(spark, sf_dir, "embeddings").select(
         F.concat(F.lit("S"), F.col("vec_id")).alias("station_name"),
+        F.when(F.col("label") == 9, 503).otherwise(200).alias("status"),
         F.to_json(F.struct(daily.alias("daily")), {"ignoreNullFields": "false"}).alias("body"),
     )
+    return usable(landed)
 
 
 def _registry_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +160,7 @@ _DAYS_SQL = """
         SELECT vec_id, floor(embedding[1]::DOUBLE * 900000) / 10000 AS lat,
                floor(embedding[2]::DOUBLE * 1800000) / 10000 AS lon, i,
                DATE '2025-06-01' + CAST(i AS INT) AS date,
-               CASE WHEN embedding[i + 1]::DOUBLE <= 0.36
+               CASE WHEN label <> 9 AND embedding[i + 1]::DOUBLE <= 0.36
                     THEN floor(embedding[i + 1]::DOUBLE * 1000) / 10 END AS t,
                floor(abs(embedding[len(embedding) - i]::DOUBLE) * 2000) / 10 AS w,
                CASE WHEN i < len(embedding) - label

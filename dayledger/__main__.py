@@ -27,7 +27,9 @@ def _arguments() -> argparse.Namespace:
         if name == "periodic-update":
             job.add_argument("--arrivals", required=True)
     for name in ("rebuild-weather", "rebuild-delays", "rebuild-all"):
-        jobs.add_parser(name).add_argument("--root", required=True)
+        job = jobs.add_parser(name)
+        job.add_argument("--root", required=True)
+        job.add_argument("--changed-only", action="store_true")
     for job in jobs.choices.values():
         job.add_argument("--files", type=_files, help='a number, or "auto"')
     return parser.parse_args()

@@ -8,23 +8,28 @@ from dayledger.functions.casts import conform
 from dayledger.schemas import UNIFIED
 
 
+def matched(base: DataFrame, delta: DataFrame, by_position: bool = False) -> DataFrame:
+    """The delta with the base's columns, matched by position.
+
+    Unless ``by_position`` says so, columns in another order raise instead of being mixed up.
+    """
+    if len(base.columns) != len(delta.columns):
+        raise ValueError(f"base has {len(base.columns)} columns, delta has {len(delta.columns)}")
+    if by_position:
+        return delta.toDF(*base.columns)
+    if [c.lower() for c in base.columns] != [c.lower() for c in delta.columns]:
+        raise ValueError(f"column order differs: {base.columns} and {delta.columns}")
+    return delta
+
+
 def base_plus_delta(
     base: DataFrame, delta: DataFrame, schema: T.StructType, by_position: bool = False
 ) -> DataFrame:
     """Both inputs cast to the schema, duplicates kept.
 
-    The inputs are matched by position. Unless ``by_position`` says so, columns in another
-    order raise instead of being mixed up. Each side is cast before the union, so inputs of
-    different types do not meet.
+    Each side is cast before the union, so inputs of different types do not meet.
     """
-    if len(base.columns) != len(delta.columns):
-        raise ValueError(
-            f"base has {len(base.columns)} columns, delta has {len(delta.columns)}"
-        )
-    if by_position:
-        delta = delta.toDF(*base.columns)
-    elif [c.lower() for c in base.columns] != [c.lower() for c in delta.columns]:
-        raise ValueError(f"column order differs: {base.columns} and {delta.columns}")
+    delta = matched(base, delta, by_position)
     return conform(base, schema).union(conform(delta, schema))
 
 

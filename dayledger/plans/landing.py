@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from dayledger.functions.flags import flag_above, flag_outside
@@ -27,6 +29,8 @@ from dayledger.sources.registry import in_batch, read_registry
 from dayledger.sources.responses import read_responses
 from dayledger.sources.tables import list_folder, read_folder
 
+log = logging.getLogger(__name__)
+
 MEASURES = list(DAILY_SERIES.values())
 
 
@@ -100,13 +104,16 @@ def land(
         rows = written(rows)
     write_folder(rows, output, "csv", files)
 
-    landed = read_folder(spark, output, "csv", schema_as_text(RAW_WEATHER))
     successful = outcome.get["successful"]
-    return {
-        "successful": successful,
-        "failed": stations.count() - successful,
-        **load_report(landed).first().asDict(),
-    }
+    report = {"successful": successful, "failed": stations.count() - successful}
+    try:
+        landed = read_folder(spark, output, "csv", schema_as_text(RAW_WEATHER))
+        report.update(load_report(landed).first().asDict())
+    except Exception:
+        # The rows are written; a missing summary must not undo that.
+        log.exception("no summary of %s", output)
+    log.info("loaded %s: %s", output, report)
+    return report
 
 
 def initial_load(

@@ -6,15 +6,18 @@ import logging
 
 from pyspark.sql import SparkSession, types as T
 
-from dayledger.operators.combine import base_plus_delta
+from dayledger.functions.casts import conform
+from dayledger.operators.combine import base_plus_delta, matched
 from dayledger.schemas import DELAYS, WEATHER
 from dayledger.sinks.folders import PARQUET_OPTIONS
-from dayledger.sinks.publish import publish_table
+from dayledger.sinks.publish import point_table, publish_table, publish_union, write_version
 from dayledger.sinks.views import create_view
-from dayledger.sources.tables import read_table
+from dayledger.sources.tables import files_fingerprint, read_table
 
 log = logging.getLogger(__name__)
 
+_SOURCE_FILES = "dayledger.source_files"
+
 
 def rebuild(
     spark: SparkSession,
@@ -27,11 +30,61 @@ def rebuild(
     files: int | str | None = None,
     **options: str,
 ) -> int:
-    """Publish base plus delta as the target table. Each input is read once."""
+    """Publish base plus delta as the target table. Each input is read once.
+
+    Returns the number of rows.
+    """
     merged = base_plus_delta(read_table(spark, base), read_table(spark, delta), schema)
     return publish_table(merged, target, root, fmt, files, **options)
 
 
+def rebuild_changed(
+    spark: SparkSession,
+    base: str,
+    delta: str,
+    target: str,
+    schema: T.StructType,
+    root: str,
+    fmt: str,
+    files: int | str | None = None,
+    **options: str,
+) -> int:
+    """The same rows under the same name, but a large base is written only when it changes.
+
+    Base and delta are published as tables of their own, and the target is a view over them.
+    The base's table remembers the files it was made from; if they are still the same, only
+    the delta is written. Returns the number of rows written.
+    """
+    base_rows = read_table(spark, base)
+    delta_rows = matched(base_rows, read_table(spark, delta))
+    base_part, delta_part = f"{target}_base", f"{target}_delta"
+    fingerprint = files_fingerprint(spark, base)
+    changed = {delta_part: delta_rows}
+    if fingerprint is None or fingerprint != _remembered(spark, base_part):
+        changed[base_part] = base_rows
+    versions = {
+        part: write_version(conform(rows, schema), part, root, fmt, files, **options)
+        for part, rows in changed.items()
+    }
+    # Everything is written; only names change from here on.
+    for part, (folder, _) in versions.items():
+        point_table(spark, part, folder, fmt, schema)
+    if base_part in versions:
+        spark.sql(
+            f"ALTER TABLE {base_part} SET TBLPROPERTIES ('{_SOURCE_FILES}' = '{fingerprint}')"
+        )
+    publish_union(spark, target, [base_part, delta_part], schema.names)
+    return sum(rows for _, rows in versions.values())
+
+
+def _remembered(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    properties = spark.sql(f"SHOW TBLPROPERTIES {table}").where(f"key = '{_SOURCE_FILES}'")
+    row = properties.first()
+    return row["value"] if row else None
+
+
 def rebuild_weather(
     spark: SparkSession,
     root: str,
@@ -41,10 +94,10 @@ def rebuild_weather(
     delays: str = "delays_all",
     view: str = "unified_all",
     files: int | str | None = None,
+    changed_only: bool = False,
 ) -> int:
-    rows = rebuild(
-        spark, base, delta, target, WEATHER, root, "parquet", files, **PARQUET_OPTIONS
-    )
+    job = rebuild_changed if changed_only else rebuild
+    rows = job(spark, base, delta, target, WEATHER, root, "parquet", files, **PARQUET_OPTIONS)
     try:
         create_view(spark, view, delays, target)
     except Exception:
@@ -60,13 +113,21 @@ def rebuild_delays(
     delta: str = "delays_last_week",
     target: str = "delays_all",
     files: int | str | None = None,
+    changed_only: bool = False,
 ) -> int:
-    return rebuild(spark, base, delta, target, DELAYS, root, "csv", files)
+    job = rebuild_changed if changed_only else rebuild
+    return job(spark, base, delta, target, DELAYS, root, "csv", files)
 
 
-def rebuild_all(spark: SparkSession, root: str, files: int | str | None = None) -> dict[str, int]:
+def rebuild_all(
+    spark: SparkSession,
+    root: str,
+    files: int | str | None = None,
+    changed_only: bool = False,
+) -> dict[str, int]:
     """Delays first, since the view that follows the weather reads both."""
+    options = {"files": files, "changed_only": changed_only}
     return {
-        "delays": rebuild_delays(spark, root, files=files),
-        "weather": rebuild_weather(spark, root, files=files),
+        "delays": rebuild_delays(spark, root, **options),
+        "weather": rebuild_weather(spark, root, **options),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from dayledger.sinks.folders import write_folder
 
 
+log = logging.getLogger(__name__)
+
+
 class NoRowsError(RuntimeError):
     """Nothing was loaded, so nothing is published."""
 
@@ -21,45 +25,79 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def publish_table(
+def write_version(
     df: DataFrame,
     table: str,
     root: str,
     fmt: str,
     files: int | str | None = None,
     partition_by: tuple[str, ...] = (),
-    read_schema: T.StructType | None = None,
-    require_rows: bool = False,
     **options: str,
-) -> int:
-    """Write a new folder below ``root``, then point the table at it. Returns the row count.
-
-    The plan may read the table that it replaces, since the old folder is left alone. A
-    failed or empty run leaves the table as it was; readers see the old folder or the new
-    one. Old folders stay until they are cleaned up from outside.
-    """
-    spark = df.sparkSession
+) -> tuple[str, int]:
+    """Write a new folder below ``root``. Returns the folder and the row count."""
     folder = f"{root.rstrip('/')}/{table.split('.')[-1]}-{uuid.uuid4().hex}"
-    rows = write_folder(df, folder, fmt, files, "errorifexists", partition_by, **options)
-    if require_rows and rows == 0:
-        raise NoRowsError(f"no rows for {table}")
-    schema = read_schema or df.schema
-    table_options = "OPTIONS (header 'true')" if fmt == "csv" else ""
+    return folder, write_folder(df, folder, fmt, files, "errorifexists", partition_by, **options)
+
+
+def point_table(
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    fmt: str,
+    schema: T.StructType,
+    partition_by: tuple[str, ...] = (),
+) -> None:
+    """Let the table mean the files in this folder, from now on."""
     if spark.catalog.tableExists(table) and not partition_by:
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(folder)}")
     else:
         # A partitioned table keeps a location per partition, so it is defined anew.
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+        header = "OPTIONS (header 'true')" if fmt == "csv" else ""
         partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         spark.sql(
-            f"CREATE TABLE {table} ({_columns(schema)}) USING {fmt} {table_options} "
+            f"CREATE TABLE {table} ({_columns(schema)}) USING {fmt} {header} "
             f"{partitions} LOCATION {_text(folder)}"
         )
     refresh(spark, table, bool(partition_by))
+
+
+def publish_table(
+    df: DataFrame,
+    table: str,
+    root: str,
+    fmt: str,
+    files: int | str | None = None,
+    partition_by: tuple[str, ...] = (),
+    read_schema: T.StructType | None = None,
+    require_rows: bool = False,
+    **options: str,
+) -> int:
+    """Write a new folder, then point the table at it. Returns the row count.
+
+    The plan may read the table that it replaces, since the old folder is left alone. A
+    failed or empty run leaves the table as it was; readers see the old folder or the new
+    one. Old folders stay until they are cleaned up from outside.
+    """
+    folder, rows = write_version(df, table, root, fmt, files, partition_by, **options)
+    if require_rows and rows == 0:
+        raise NoRowsError(f"no rows for {table}")
+    point_table(df.sparkSession, table, folder, fmt, read_schema or df.schema, partition_by)
     return rows
 
 
 def refresh(spark: SparkSession, table: str, partitioned: bool = False) -> None:
     if partitioned:
         spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
+    try:
+        spark.catalog.refreshTable(table)
+    except Exception:
+        # The table is published already; only this session's cached listing is old.
+        log.exception("table %s was not refreshed", table)
+
+
+def publish_union(spark: SparkSession, view: str, tables: list[str], columns: list[str]) -> None:
+    """One name over several published tables of the same columns."""
+    names = ", ".join(f"`{c}`" for c in columns)
+    arms = " UNION ALL ".join(f"SELECT {names} FROM {table}" for table in tables)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {arms}")

@@ -33,6 +33,28 @@ def list_folder(spark: SparkSession, folder: str) -> DataFrame:
     return listing.where(parent.endswith(bare)).withColumn("name", last_segment(F.col("path")))
 
 
+def files_fingerprint(spark: SparkSession, table: str) -> str | None:
+    """Changes whenever a file of the table is added, removed or rewritten.
+
+    Lists the files and opens none. None if the table's files are not all in one folder.
+    """
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    location = described.where("col_name = 'Location'").select("data_type").first()
+    if location is None:
+        return None
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location[0])
+    ).select("path", "length", "modificationTime")
+    found = files.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("length").alias("bytes"),
+        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("hash"),
+    ).first()
+    return f"{found['files']}-{found['bytes']}-{found['hash']}"
+
+
 def days_between(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
     """Rows of a date or timestamp column from start to end, both days included.
 
