@@ -7,6 +7,7 @@ import json
 
 from dayledger.plans.landing import initial_load, periodic_update
 from dayledger.plans.rebuild import rebuild_all, rebuild_delays, rebuild_weather
+from dayledger.schemas import BACKFILL_END, BACKFILL_START
 from dayledger.session import build_session
 
 
@@ -24,8 +25,12 @@ def _arguments() -> argparse.Namespace:
         job.add_argument("--responses-format", default="json")
         job.add_argument("--output", required=True)
         job.add_argument("--batch", type=int, default=0 if name == "periodic-update" else None)
+        job.add_argument("--on", nargs="+", default=["station_name"], help="key of a response")
         if name == "periodic-update":
             job.add_argument("--arrivals", required=True)
+        else:
+            job.add_argument("--start", default=BACKFILL_START)
+            job.add_argument("--end", default=BACKFILL_END)
     for name in ("rebuild-weather", "rebuild-delays", "rebuild-all"):
         job = jobs.add_parser(name)
         job.add_argument("--root", required=True)

@@ -18,7 +18,6 @@ def pair(
     """Responses that belong to a station, with the station's columns beside them.
 
     The registry is the measured, usually broadcast side; the bodies stay where they were
-    read. ``on`` must identify a station; where names repeat, land the coordinates too and
-    pair on them.
+    read. ``on`` must identify a station; where names repeat, pair on the position.
     """
     return bounded_join(responses, stations, list(on), "inner", limit)

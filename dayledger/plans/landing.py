@@ -126,6 +126,8 @@ def initial_load(
     end: str = BACKFILL_END,
     files: int | str | None = None,
     responses_format: str = "json",
+    thresholds: Thresholds = Thresholds(),
+    on: tuple[str, ...] = STATION_KEY,
     batch_size: int = BATCH_SIZE,
     last_batch: int = LAST_BATCH,
 ) -> dict[str, int]:
@@ -133,9 +135,8 @@ def initial_load(
     stations = read_registry(spark, registry)
     if batch is not None:
         stations = in_batch(stations, batch, batch_size, last_batch)
-    return land(
-        stations, read_responses(spark, responses, responses_format), output, start, end, files
-    )
+    landed = read_responses(spark, responses, responses_format, on)
+    return land(stations, landed, output, start, end, files, thresholds, on)
 
 
 def periodic_update(
@@ -145,11 +146,11 @@ def periodic_update(
     responses: str,
     output: str,
     batch: int | None = 0,
-    files: int | str | None = None,
-    responses_format: str = "json",
+    **options,
 ) -> dict[str, int]:
-    """Load the date range named by the newest arrived file; the first batch by default."""
+    """Load the date range named by the newest arrived file; the first batch by default.
+
+    Takes the options of ``initial_load`` but for the dates.
+    """
     start, end = newest_range(list_folder(spark, arrivals))
-    return initial_load(
-        spark, registry, responses, output, batch, start, end, files, responses_format
-    )
+    return initial_load(spark, registry, responses, output, batch, start, end, **options)

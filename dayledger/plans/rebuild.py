@@ -95,9 +95,12 @@ def rebuild_weather(
     view: str = "unified_all",
     files: int | str | None = None,
     changed_only: bool = False,
+    plain: bool = False,
 ) -> int:
+    """``plain`` writes without dictionaries, for readers that need it; files grow by far."""
     job = rebuild_changed if changed_only else rebuild
-    rows = job(spark, base, delta, target, WEATHER, root, "parquet", files, **PARQUET_OPTIONS)
+    options = PARQUET_OPTIONS if plain else {}
+    rows = job(spark, base, delta, target, WEATHER, root, "parquet", files, **options)
     try:
         create_view(spark, view, delays, target)
     except Exception:

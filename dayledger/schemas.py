@@ -59,6 +59,7 @@ UNIFIED = _struct(
 )
 
 RESPONSES = _struct(
+    ("position", T.IntegerType()),
     ("station_name", T.StringType()),
     ("status", T.IntegerType()),
     ("body", T.StringType()),

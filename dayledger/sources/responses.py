@@ -8,11 +8,13 @@ from dayledger.schemas import RESPONSES
 from dayledger.sources.tables import read_folder
 
 
-def read_responses(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return usable(read_folder(spark, path, fmt, RESPONSES))
+def read_responses(
+    spark: SparkSession, path: str, fmt: str = "json", on: tuple[str, ...] = ("station_name",)
+) -> DataFrame:
+    return usable(read_folder(spark, path, fmt, RESPONSES), on)
 
 
-def usable(responses: DataFrame) -> DataFrame:
-    """Drop the body of a failed request, so that its station counts as an error."""
+def usable(responses: DataFrame, on: tuple[str, ...] = ("station_name",)) -> DataFrame:
+    """The key and the body, which is NULL for a failed request: its station is an error."""
     failed = F.coalesce(F.col("status").between(400, 599), F.lit(False))
-    return responses.select("station_name", F.when(~failed, F.col("body")).alias("body"))
+    return responses.select(*on, F.when(~failed, F.col("body")).alias("body"))

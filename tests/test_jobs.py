@@ -88,6 +88,22 @@ def test_initial_load(spark, tmp_path, inputs, batch, stations, files):
     assert _landed(spark, output) == sorted(rows)
 
 
+def test_repeated_names_are_paired_on_the_position(spark, tmp_path):
+    registry = tmp_path / "stations.json"
+    registry.write_text(
+        json.dumps([{"station_name": "A", "lat": i, "lon": i} for i in range(3)])
+    )
+    lines = [{"position": i, "station_name": "A", "body": _daily(i + 1)} for i in range(2)]
+    (tmp_path / "r.json").write_text("\n".join(json.dumps(line) for line in lines))
+    report = initial_load(
+        spark, str(registry), str(tmp_path / "r.json"), str(tmp_path / "out"), on=("position",)
+    )
+    assert (report["successful"], report["failed"], report["total_records"]) == (2, 1, 20)
+    landed = read_folder(spark, str(tmp_path / "out"), "csv", schema_as_text(RAW_WEATHER))
+    pairs = landed.select("latitude", "temperature_mean_c").distinct().collect()
+    assert sorted(tuple(r) for r in pairs) == [(0.0, 1.0), (1.0, 2.0)]
+
+
 def test_periodic_update(spark, tmp_path, inputs):
     output = str(tmp_path / "out")
     report = periodic_update(spark, inputs[1], **inputs[0], output=output)
