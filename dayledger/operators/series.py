@@ -43,16 +43,26 @@ def parse_daily(
         daily = daily.add(field, T.ArrayType(T.DoubleType()))
     schema = T.StructType([T.StructField("daily", daily)])
     kept = [c for c in df.columns if c != body]
-    parsed = df.select(
-        *kept,
-        body,
-        F.from_json(body, schema, {"allowSingleQuotes": "false"})["daily"].alias("_daily"),
-    )
+
+    def daily_of(non_numeric: str) -> Column:
+        options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": non_numeric}
+        return F.from_json(body, schema, options)["daily"]
+
+    parsed = df.select(*kept, body, daily_of("false").alias("_daily"))
+    # With NaN and Infinity allowed, texts that read so would pass for numbers, too. So this
+    # is the last resort.
+    partial = F.col("_daily.time").isNull()
+    for field in series:
+        partial = partial | F.col(f"_daily.{field}").isNull()
+    named = F.col(body).contains("NaN") | F.col(body).contains("Infinity")
+    parsed = parsed.withColumn("_named", F.when(partial & named, daily_of("true")))
     return parsed.select(
         *kept,
-        F.col("_daily.time").alias("time"),
+        F.coalesce("_daily.time", "_named.time").alias("time"),
         *[
-            F.coalesce(F.col(f"_daily.{field}"), _element_wise(F.col(body), field)).alias(name)
+            F.coalesce(
+                F.col(f"_daily.{field}"), _element_wise(F.col(body), field), f"_named.{field}"
+            ).alias(name)
             for field, name in series.items()
         ],
     )

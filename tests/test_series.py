@@ -40,11 +40,16 @@ CASES = {
     "NaN": (body([D1], [NAN], [1], [1]), [D1], "ok"),
     "infinite": (body([D1], [float("inf")], [1], [1]), [D1], "ok"),
     "text in series": (body([D1, D2], [1, "2"], [1, 1], [1, 1]), [D1], "error"),
+    "NaN as text": (body([D1, D2], [1, "NaN"], [1, 1], [1, 1]), [D1], "error"),
+    "Infinity as text": (body([D1, D2], [1, "-Infinity"], [1, 1], [1, 1]), [D1], "error"),
+    "negative infinity": (body([D1], [float("-inf")], [1], [1]), [D1], "ok"),
     "object in series": (body([D1, D2], [1, {"a": 1}], [1, 1], [1, 1]), [D1], "error"),
     "true in series": (body([D1, D2], [1, True], [1, 1], [1, 1]), [D1, D2], "ok"),
     "more fields": (body([D1], [1], [1], [1], latitude=1.5, error=False), [D1], "ok"),
     "not JSON": ("<html>", [], "error"),
     "cut off": (body([D1], [1], [1], [1])[:-3], [], "error"),
+    "brace missing": (body([D1], [1], [1], [1])[:-1], [], "error"),
+    "braces missing": (body([D1], [1], [1], [1])[:-2], [], "error"),
     "empty body": ("", [], "error"),
     "no body": (None, [], "error"),
     "an array": ("[" + body([D1], [1], [1], [1]) + "]", [], "error"),
