@@ -7,25 +7,31 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution merges small shuffle partitions and cuts skewed ones, so the
-# partition count is only an upper bound for it.
+# Set only where neither the submit command nor the cluster's defaults say otherwise.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
 }
+# Adaptive execution merges what is too small, so a cluster may start from many partitions:
+# a shuffle of 100 TB then has a few GB in each.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768"}
 
 
 def build_session(name: str = "dayledger", master: str | None = None, **settings) -> SparkSession:
     builder = SparkSession.builder.appName(name)
     if master:
-        builder = builder.master(master)
-    for key, value in {**SETTINGS, **settings}.items():
+        builder = builder.master(master).config("spark.ui.enabled", "false")
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    local = spark.sparkContext.master.startswith("local")
+    for key, value in {**SETTINGS, **({} if local else CLUSTER_SETTINGS)}.items():
+        if not spark.sparkContext.getConf().contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def working_folder(spark: SparkSession) -> str:
