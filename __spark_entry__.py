@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayledger.functions.casts import conform
+from dayledger.functions.filenames import last_segment
 from dayledger.functions.flags import flag_above, flag_outside
 from dayledger.operators.arrivals import newest, newest_range, with_date_range
 from dayledger.operators.combine import base_plus_delta, union_counts, unified_long
@@ -479,6 +480,18 @@ def file_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_date_range(names).drop("name")
 
 
+@_query("""
+    SELECT page_id, string_split(url, '/')[-1] AS name, len(string_split(url, '/')) AS segments
+    FROM pages""")
+def last_path_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.col("url")
+    return _table(spark, sf_dir, "pages").select(
+        "page_id",
+        last_segment(url).alias("name"),
+        F.size(F.split(url, "/")).cast("bigint").alias("segments"),
+    )
+
+
 # ---------------------------------------------------------------- reports
 
 

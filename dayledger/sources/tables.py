@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dayledger.functions.filenames import last_segment
@@ -20,23 +22,36 @@ def read_folder(
     return spark.read.schema(schema).options(**options).format(fmt).load(path)
 
 
-def list_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, modificationTime) of the files directly in a folder.
+# Fixed value: scheme and host in front of a path.
+_ROOT = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, modificationTime, length) of all files below a folder.
 
-    Only these two columns are selected, so Spark lists the files and opens none. The lookup
-    is recursive to keep subfolders from being taken for partitions; what they hold is dropped.
+    Without the content column, Spark lists the files and opens none. The lookup is recursive
+    so that subfolders are not taken for partitions.
     """
-    bare = folder.split("://", 1)[-1].removeprefix("file:").rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    listing = files.select("path", "modificationTime")
-    parent = F.expr("substring(path, 1, length(path) - length(substring_index(path, '/', -1)) - 1)")
-    return listing.where(parent.endswith(bare)).withColumn("name", last_segment(F.col("path")))
+    return files.select("path", "modificationTime", "length")
+
+
+def list_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, modificationTime, name) of the files directly in a folder."""
+    parent = re.sub(_ROOT, "", folder).rstrip("/")
+    if parent and not parent.startswith("/"):
+        raise ValueError(f"not an absolute path: {folder}")
+    listing = _files(spark, folder).select(
+        "path", "modificationTime", last_segment(F.col("path")).alias("name")
+    )
+    direct = F.concat(F.lit(f"{parent}/"), F.col("name"))
+    return listing.where(F.regexp_replace("path", _ROOT, "") == direct)
 
 
 def files_fingerprint(spark: SparkSession, table: str) -> str | None:
     """Changes whenever a file of the table is added, removed or rewritten.
 
-    Lists the files and opens none. None if the table's files are not all in one folder.
+    None if the table's files are not all in one folder.
     """
     if any(column.isPartition for column in spark.catalog.listColumns(table)):
         return None
@@ -44,14 +59,15 @@ def files_fingerprint(spark: SparkSession, table: str) -> str | None:
     location = described.where("col_name = 'Location'").select("data_type").first()
     if location is None:
         return None
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location[0])
-    ).select("path", "length", "modificationTime")
-    found = files.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.sum("length").alias("bytes"),
-        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("hash"),
-    ).first()
+    found = (
+        _files(spark, location[0])
+        .agg(
+            F.count(F.lit(1)).alias("files"),
+            F.sum("length").alias("bytes"),
+            F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("hash"),
+        )
+        .first()
+    )
     return f"{found['files']}-{found['bytes']}-{found['hash']}"
 
 

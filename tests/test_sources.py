@@ -90,10 +90,14 @@ def _touch(path, when, text="x"):
 
 def test_listing_has_direct_children_only_and_reads_no_content(spark, tmp_path):
     _touch(tmp_path / "2025-01-01_2025-01-07_delays.csv", 1000)
+    _touch(tmp_path / str(tmp_path)[1:] / "2026-01-01_2026-01-07_delays.csv", 3000)
     _touch(tmp_path / "deeper" / "2026-01-01_2026-01-07_delays.csv", 3000)
     _touch(tmp_path / "year=2026" / "2026-01-01_2026-01-07_delays.csv", 3000)
-    listing = list_folder(spark, str(tmp_path))
-    assert [r["name"] for r in listing.collect()] == ["2025-01-01_2025-01-07_delays.csv"]
+    for folder in (f"{tmp_path}", f"{tmp_path}/", f"file:{tmp_path}", f"file://{tmp_path}"):
+        listing = list_folder(spark, folder)
+        assert [r["name"] for r in listing.collect()] == ["2025-01-01_2025-01-07_delays.csv"]
+    with pytest.raises(ValueError):
+        list_folder(spark, "arrivals")
     plan = listing._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string,modificationTime:timestamp>" in plan
 
