@@ -25,7 +25,7 @@ from dayledger.schemas import (
 from dayledger.session import written
 from dayledger.sinks.folders import write_folder
 from dayledger.sinks.publish import NoRowsError
-from dayledger.sources.registry import in_batch, read_registry
+from dayledger.sources.registry import in_batch, read_registry, with_batch
 from dayledger.sources.responses import read_responses
 from dayledger.sources.tables import list_folder, read_folder
 
@@ -52,9 +52,10 @@ def weather_rows(
     start: str | None = None,
     end: str | None = None,
     thresholds: Thresholds = Thresholds(),
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """Raw weather rows. Flags come from the doubles, narrowing to float comes last."""
-    days = explode_days(checked, MEASURES, ["station_name", "lat", "lon"], start, end)
+    days = explode_days(checked, MEASURES, ["station_name", "lat", "lon", *extra], start, end)
     values = {
         "latitude": F.col("lat"),
         "longitude": F.col("lon"),
@@ -70,7 +71,8 @@ def weather_rows(
         *[
             values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
             for f in RAW_WEATHER.fields
-        ]
+        ],
+        *extra,
     )
 
 
@@ -83,11 +85,13 @@ def land(
     files: int | str | None = None,
     thresholds: Thresholds = Thresholds(),
     on: tuple[str, ...] = STATION_KEY,
+    partition_by: tuple[str, ...] = (),
 ) -> dict[str, int]:
     """Write the raw rows as CSV and return the report.
 
     Bodies are parsed once: the write also counts stations. Expects one response per
-    station at most; a station without one counts as failed.
+    station at most; a station without one counts as failed. ``partition_by`` names columns
+    of the stations that become subfolders of the output.
     """
     spark = stations.sparkSession
     checked = checked_series(stations, responses, start, end, on)
@@ -98,11 +102,11 @@ def land(
     counted = checked.observe(
         outcome, F.count_if(F.col("status") == "ok").alias("successful")
     )
-    rows = weather_rows(counted, start, end, thresholds)
+    rows = weather_rows(counted, start, end, thresholds, partition_by)
     if files is not None:
         # Keep the shuffle for the file count out of the counted pass.
         rows = written(rows)
-    write_folder(rows, output, "csv", files)
+    write_folder(rows, output, "csv", files, partition_by=partition_by)
 
     successful = outcome.get["successful"]
     report = {"successful": successful, "failed": stations.count() - successful}
@@ -131,12 +135,16 @@ def initial_load(
     batch_size: int = BATCH_SIZE,
     last_batch: int = LAST_BATCH,
 ) -> dict[str, int]:
-    """Backfill one batch of stations, or all of them at once."""
+    """Backfill one batch of stations, or all at once with a subfolder per batch."""
     stations = read_registry(spark, registry)
-    if batch is not None:
+    partition_by = ()
+    if batch is None:
+        stations = with_batch(stations, batch_size, last_batch)
+        partition_by = ("batch",)
+    else:
         stations = in_batch(stations, batch, batch_size, last_batch)
     landed = read_responses(spark, responses, responses_format, on)
-    return land(stations, landed, output, start, end, files, thresholds, on)
+    return land(stations, landed, output, start, end, files, thresholds, on, partition_by)
 
 
 def periodic_update(
