@@ -8,10 +8,14 @@ for daily weather (user = station), ``embeddings`` for the responses of the weat
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from dayledger.functions.casts import conform
 from dayledger.functions.filenames import last_segment
 from dayledger.functions.flags import flag_above, flag_outside

@@ -13,7 +13,8 @@ def spark(tmp_path_factory):
 
     session = build_session(
         "tests",
-        "local[8]",
+        # A failed task is tried again, as on a cluster.
+        "local[8, 4]",
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from dayledger.plans.landing import initial_load, periodic_update
+from dayledger.plans.landing import initial_load, land, periodic_update
 from dayledger.plans.rebuild import rebuild_all, rebuild_delays, rebuild_weather
 from dayledger.schemas import DELAYS, RAW_WEATHER, schema_as_text
 from dayledger.sinks.publish import NoRowsError
@@ -117,6 +117,28 @@ def test_periodic_update(spark, tmp_path, inputs):
     assert _landed(spark, output) == sorted(rows)
 
 
+@pytest.mark.parametrize("files", [None, 2])
+def test_counts_are_exact_when_tasks_fail(spark, tmp_path, files):
+    """Every task fails twice after it has handed on all its rows."""
+
+    def lose(batches):
+        from pyspark import TaskContext
+
+        yield from batches
+        if TaskContext.get().attemptNumber() < 2:
+            raise RuntimeError("lost")
+
+    kind = "station_name string, body string"
+    rows = [(f"S{i}", _daily(i)) for i in range(140)]
+    responses = spark.createDataFrame(rows, kind).repartition(4).mapInPandas(lose, kind)
+    stations = spark.createDataFrame([(f"S{i}", 1.0, 2.0) for i in range(150)],
+                                     "station_name string, lat double, lon double")
+    report = land(stations, responses, str(tmp_path / "out"), None, None, files)
+    assert (report["successful"], report["failed"]) == (120, 30)
+    assert report["total_records"] == 120 * 10 + 20 * 4
+    assert len(_landed(spark, str(tmp_path / "out"))) == report["total_records"]
+
+
 def test_nothing_loaded_leaves_the_output(spark, tmp_path, inputs):
     output = str(tmp_path / "out")
     initial_load(spark, **inputs[0], output=output, batch=1)
