@@ -35,6 +35,8 @@ def _arguments() -> argparse.Namespace:
         job = jobs.add_parser(name)
         job.add_argument("--root", required=True)
         job.add_argument("--changed-only", action="store_true")
+        if name != "rebuild-delays":
+            job.add_argument("--cluster-by", nargs="+", default=(), help="e.g. date")
     for job in jobs.choices.values():
         job.add_argument("--files", type=_files, help='a number, or "auto"')
     return parser.parse_args()

@@ -28,7 +28,7 @@ def rebuild(
     root: str,
     fmt: str,
     files: int | str | None = None,
-    **options: str,
+    **options,
 ) -> int:
     """Publish base plus delta as the target table. Each input is read once.
 
@@ -47,7 +47,7 @@ def rebuild_changed(
     root: str,
     fmt: str,
     files: int | str | None = None,
-    **options: str,
+    **options,
 ) -> int:
     """The same rows under the same name, but a large base is written only when it changes.
 
@@ -95,11 +95,12 @@ def rebuild_weather(
     view: str = "unified_all",
     files: int | str | None = None,
     changed_only: bool = False,
+    cluster_by: tuple[str, ...] = (),
     plain: bool = False,
 ) -> int:
     """``plain`` writes without dictionaries, for readers that need it; files grow by far."""
     job = rebuild_changed if changed_only else rebuild
-    options = PARQUET_OPTIONS if plain else {}
+    options = {"cluster_by": tuple(cluster_by), **(PARQUET_OPTIONS if plain else {})}
     rows = job(spark, base, delta, target, WEATHER, root, "parquet", files, **options)
     try:
         create_view(spark, view, delays, target)
@@ -127,10 +128,11 @@ def rebuild_all(
     root: str,
     files: int | str | None = None,
     changed_only: bool = False,
+    cluster_by: tuple[str, ...] = (),
 ) -> dict[str, int]:
     """Delays first, since the view that follows the weather reads both."""
     options = {"files": files, "changed_only": changed_only}
     return {
         "delays": rebuild_delays(spark, root, **options),
-        "weather": rebuild_weather(spark, root, **options),
+        "weather": rebuild_weather(spark, root, **options, cluster_by=cluster_by),
     }

@@ -11,17 +11,22 @@ PARQUET_OPTIONS = {
 }
 
 
-def shaped(df: DataFrame, files: int | str | None, keys: tuple[str, ...] = ()) -> DataFrame:
-    """How many files to write.
+def shaped(
+    df: DataFrame, files: int | str | None, cluster_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """How rows are spread over files.
 
     None keeps the partitions as they are, without a shuffle. "auto" lets adaptive execution
     merge small partitions and cut large ones. A number gives at most that many files, and
     that many tasks write them: for small results only.
+
+    ``cluster_by`` brings rows with equal values together, so that later scans can skip files
+    by their minimum and maximum. Large groups are cut as with "auto".
     """
+    if cluster_by or files == "auto":
+        return df.hint("rebalance", *cluster_by)
     if files is None:
         return df
-    if files == "auto":
-        return df.hint("rebalance", *keys)
     return df.repartition(files)
 
 
@@ -32,14 +37,17 @@ def write_folder(
     files: int | str | None = None,
     mode: str = "overwrite",
     partition_by: tuple[str, ...] = (),
+    cluster_by: tuple[str, ...] = (),
     **options: str,
 ) -> int:
     """Write and return the number of rows, counted by the writing tasks themselves."""
+    if files == "auto":
+        cluster_by = cluster_by or partition_by
     if fmt == "csv":
         options = {"header": "true", **options}
     counted = Observation()
     # Above the shuffle, if there is one: a map task that runs again would count twice.
-    rows = shaped(df, files, partition_by).observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows = shaped(df, files, cluster_by).observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = rows.write.mode(mode).options(**options).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

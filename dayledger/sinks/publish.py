@@ -32,9 +32,12 @@ def write_version(
     fmt: str,
     files: int | str | None = None,
     partition_by: tuple[str, ...] = (),
-    **options: str,
+    **options,
 ) -> tuple[str, int]:
-    """Write a new folder below ``root``. Returns the folder and the row count."""
+    """Write a new folder below ``root``. Returns the folder and the row count.
+
+    The options are those of ``write_folder``.
+    """
     folder = f"{root.rstrip('/')}/{table.split('.')[-1]}-{uuid.uuid4().hex}"
     return folder, write_folder(df, folder, fmt, files, "errorifexists", partition_by, **options)
 
@@ -71,7 +74,7 @@ def publish_table(
     partition_by: tuple[str, ...] = (),
     read_schema: T.StructType | None = None,
     require_rows: bool = False,
-    **options: str,
+    **options,
 ) -> int:
     """Write a new folder, then point the table at it. Returns the row count.
 
