@@ -10,7 +10,13 @@ from dayledger.functions.casts import conform
 from dayledger.operators.combine import base_plus_delta, matched
 from dayledger.schemas import DELAYS, WEATHER
 from dayledger.sinks.folders import PARQUET_OPTIONS
-from dayledger.sinks.publish import point_table, publish_table, publish_union, write_version
+from dayledger.sinks.publish import (
+    expect_kind,
+    point_table,
+    publish_table,
+    publish_union,
+    write_version,
+)
 from dayledger.sinks.views import create_view
 from dayledger.sources.tables import files_fingerprint, read_table
 
@@ -55,6 +61,7 @@ def rebuild_changed(
     The base's table remembers the files it was made from; if they are still the same, only
     the delta is written. Returns the number of rows written.
     """
+    expect_kind(spark, target, view=True)
     base_rows = read_table(spark, base)
     delta_rows = matched(base_rows, read_table(spark, delta))
     base_part, delta_part = f"{target}_base", f"{target}_delta"

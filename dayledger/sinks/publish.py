@@ -25,6 +25,20 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _has_columns(spark: SparkSession, table: str, schema: T.StructType) -> bool:
+    if not spark.catalog.tableExists(table):
+        return False
+    return spark.table(table).schema.simpleString() == schema.simpleString()
+
+
+def expect_kind(spark: SparkSession, name: str, view: bool) -> None:
+    """Fail before anything is written if the name is taken by the other kind."""
+    if spark.catalog.tableExists(name):
+        is_view = spark.catalog.getTable(name).tableType == "VIEW"
+        if is_view != view:
+            raise ValueError(f"{name} is a {'view' if is_view else 'table'}: drop it first")
+
+
 def write_version(
     df: DataFrame,
     table: str,
@@ -51,7 +65,7 @@ def point_table(
     partition_by: tuple[str, ...] = (),
 ) -> None:
     """Let the table mean the files in this folder, from now on."""
-    if spark.catalog.tableExists(table) and not partition_by:
+    if not partition_by and _has_columns(spark, table, schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(folder)}")
     else:
         # A partitioned table keeps a location per partition, so it is defined anew.
@@ -82,6 +96,7 @@ def publish_table(
     failed or empty run leaves the table as it was; readers see the old folder or the new
     one. Old folders stay until they are cleaned up from outside.
     """
+    expect_kind(df.sparkSession, table, view=False)
     folder, rows = write_version(df, table, root, fmt, files, partition_by, **options)
     if require_rows and rows == 0:
         raise NoRowsError(f"no rows for {table}")

@@ -2,6 +2,7 @@
 
 import math
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +124,33 @@ def test_date_range(spark, name, start, end, valid):
     assert tuple(_value(spark, "string", name, date_range)) == (start, end, valid)
 
 
+def _is_day(text):
+    try:
+        datetime.strptime(text, "%Y-%m-%d")
+    except ValueError:
+        return False
+    return True
+
+
+def test_random_names_against_strptime(spark):
+    random.seed(5)
+    pieces = ["2025", "1999", "0001", "25", "-", "-", "-", "_", "_", "1", "01", "12", "13", "2",
+              "29", "30", "31", "00", "_delays.csv", " ", "x", "2025-06-01", "2024-2-29"]
+    names = {"".join(random.choices(pieces, k=random.randint(1, 12))) for _ in range(4000)}
+    names |= {
+        f"{y}-{m}-{d}_{y}-0{m}-{d}_delays.csv"
+        for y in (2024, 2025) for m in range(15) for d in range(33)
+    }
+    df = spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    rows = df.select("name", date_range(F.col("name"))["valid"].alias("valid")).collect()
+    found = set()
+    for name, valid in rows:
+        parts = name.replace("_delays.csv", "").split("_")
+        assert valid == (len(parts) > 1 and _is_day(parts[0]) and _is_day(parts[1])), name
+        found.add(valid)
+    assert found == {True, False}
+
+
 def test_last_segment(spark):
     assert _value(spark, "string", "s3://b/a/x.csv", last_segment) == "x.csv"
     assert _value(spark, "string", "x.csv", last_segment) == "x.csv"

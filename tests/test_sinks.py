@@ -137,6 +137,22 @@ def test_publish_replaces_the_table_it_reads(spark, tmp_path, delays):
     assert bag(spark.table("p_delays")) == sorted(bag(delays) * 2, key=str)
 
 
+def test_published_columns_may_change(spark, tmp_path, delays):
+    root = str(tmp_path / "published")
+    publish_table(delays, "p_columns", root, "parquet")
+    publish_table(delays.drop("train_count"), "p_columns", root, "parquet")
+    assert bag(spark.table("p_columns")) == bag(delays.drop("train_count"))
+
+
+def test_a_view_is_not_replaced_by_a_table(spark, tmp_path, delays):
+    root = tmp_path / "published"
+    publish_table(delays, "p_under", str(root / "a"), "parquet")
+    spark.sql("CREATE OR REPLACE VIEW p_view AS SELECT * FROM p_under")
+    with pytest.raises(ValueError, match="p_view is a view"):
+        publish_table(delays, "p_view", str(root / "b"), "parquet")
+    assert not (root / "b").exists()
+
+
 def test_failed_or_empty_run_leaves_the_table(spark, tmp_path, delays):
     root = str(tmp_path / "published")
     publish_table(delays, "p_kept", root, "parquet")
