@@ -25,6 +25,7 @@ def _arguments() -> argparse.Namespace:
         job.add_argument("--responses-format", default="json")
         job.add_argument("--output", required=True)
         job.add_argument("--batch", type=int, default=0 if name == "periodic-update" else None)
+        job.add_argument("--table", help="publish as this table, below the output folder")
         job.add_argument("--on", nargs="+", default=["station_name"], help="key of a response")
         if name == "periodic-update":
             job.add_argument("--arrivals", required=True)

@@ -24,7 +24,7 @@ from dayledger.schemas import (
 )
 from dayledger.session import written
 from dayledger.sinks.folders import write_folder
-from dayledger.sinks.publish import NoRowsError
+from dayledger.sinks.publish import NoRowsError, publish_table
 from dayledger.sources.registry import in_batch, read_registry, with_batch
 from dayledger.sources.responses import read_responses
 from dayledger.sources.tables import list_folder, read_folder
@@ -86,32 +86,38 @@ def land(
     thresholds: Thresholds = Thresholds(),
     on: tuple[str, ...] = STATION_KEY,
     partition_by: tuple[str, ...] = (),
+    table: str | None = None,
 ) -> dict[str, int]:
     """Write the raw rows as CSV and return the report.
 
+    The output is a folder to overwrite, with a subfolder per value of the ``partition_by``
+    columns of the stations. With ``table`` it is the root below which that table is published,
+    so that a failed run leaves the earlier rows in place.
+
     Bodies are parsed once: the write also counts stations. Expects one response per
-    station at most; a station without one counts as failed. ``partition_by`` names columns
-    of the stations that become subfolders of the output.
+    station at most; a station without one counts as failed.
     """
     spark = stations.sparkSession
     checked = checked_series(stations, responses, start, end, on)
-    if weather_rows(checked, start, end, thresholds).isEmpty():
+    if not table and weather_rows(checked, start, end, thresholds).isEmpty():
         raise NoRowsError("no weather data, nothing written")
 
     outcome = Observation()
-    counted = checked.observe(
-        outcome, F.count_if(F.col("status") == "ok").alias("successful")
-    )
+    counted = checked.observe(outcome, F.count_if(F.col("status") == "ok").alias("successful"))
     rows = weather_rows(counted, start, end, thresholds, partition_by)
     if files is not None:
         # Keep the shuffle for the file count out of the counted pass.
         rows = written(rows)
-    write_folder(rows, output, "csv", files, partition_by=partition_by)
+    text = schema_as_text(RAW_WEATHER)
+    if table:
+        publish_table(rows, table, output, "csv", files, read_schema=text, require_rows=True)
+    else:
+        write_folder(rows, output, "csv", files, partition_by=partition_by)
 
     successful = outcome.get["successful"]
     report = {"successful": successful, "failed": stations.count() - successful}
     try:
-        landed = read_folder(spark, output, "csv", schema_as_text(RAW_WEATHER))
+        landed = spark.table(table) if table else read_folder(spark, output, "csv", text)
         report.update(load_report(landed).first().asDict())
     except Exception:
         # The rows are written; a missing summary must not undo that.
@@ -134,17 +140,22 @@ def initial_load(
     on: tuple[str, ...] = STATION_KEY,
     batch_size: int = BATCH_SIZE,
     last_batch: int = LAST_BATCH,
+    table: str | None = None,
 ) -> dict[str, int]:
-    """Backfill one batch of stations, or all at once with a subfolder per batch."""
+    """Backfill one batch of stations, or all at once: as one table, or as a folder with a
+    subfolder per batch.
+    """
     stations = read_registry(spark, registry)
     partition_by = ()
-    if batch is None:
+    if batch is not None:
+        stations = in_batch(stations, batch, batch_size, last_batch)
+    elif not table:
         stations = with_batch(stations, batch_size, last_batch)
         partition_by = ("batch",)
-    else:
-        stations = in_batch(stations, batch, batch_size, last_batch)
     landed = read_responses(spark, responses, responses_format, on)
-    return land(stations, landed, output, start, end, files, thresholds, on, partition_by)
+    return land(
+        stations, landed, output, start, end, files, thresholds, on, partition_by, table
+    )
 
 
 def periodic_update(
