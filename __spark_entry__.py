@@ -29,7 +29,8 @@ from dayledger.plans.landing import checked_series, weather_rows
 from dayledger.schemas import DELAYS, RAW_WEATHER, WEATHER, schema_as_text
 from dayledger.session import working_folder
 from dayledger.sinks.folders import PARQUET_OPTIONS, write_folder
-from dayledger.sinks.views import create_temp_view
+from dayledger.sinks.publish import publish_table
+from dayledger.sinks.views import create_temp_view, create_view
 from dayledger.sources.registry import batch_sizes, in_batch, parse_registry, with_batch
 from dayledger.sources.responses import usable
 from dayledger.sources.tables import days_between, read_folder
@@ -595,6 +596,44 @@ def delays_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_folder(spark, folder, "csv", DELAYS)
 
 
+_PUBLISHED_SQL = _UNIFIED_SQL.replace(
+    f"({_DELAYS_SQL})", f"({_BASE_SQL} UNION ALL {_DELTA_SQL})"
+)
+
+
+@_query(f"""
+    SELECT data_type, station_name, count(*) AS n, min(date) AS first_date, max(date) AS last_date,
+           CAST(sum(extreme_wind) AS BIGINT) AS extreme_wind,
+           CAST(sum(train_count) AS BIGINT) AS train_count
+    FROM ({_PUBLISHED_SQL}) GROUP BY data_type, station_name""")
+def published_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables published twice, the second time from themselves, under a stored view."""
+    root = working_folder(spark)
+    name = root.rsplit("-", 1)[-1]
+    delays, weather, view = f"delays_{name}", f"weather_{name}", f"unified_{name}"
+    base, delta = _base_and_delta(spark, sf_dir)
+    publish_table(conform(base, DELAYS), delays, root, "csv")
+    published = spark.table(delays)
+    publish_table(
+        base_plus_delta(published, delta.select(*published.columns), DELAYS), delays, root, "csv"
+    )
+    publish_table(_observations(spark, sf_dir), weather, root, "parquet")
+    create_view(spark, view, delays, weather)
+    long = spark.table(view)
+    result = long.groupBy("data_type", "station_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.sum("extreme_wind").alias("extreme_wind"),
+        F.sum("train_count").alias("train_count"),
+    )
+    # The files stay; the names, made up for this run, need not.
+    spark.sql(f"DROP VIEW {view}")
+    spark.sql(f"DROP TABLE {delays}")
+    spark.sql(f"DROP TABLE {weather}")
+    return result
+
+
 @_query(f"""
     WITH {_DAYS_SQL}, loaded AS ({_weather_sql()})
     SELECT count(*) AS total_records, count(DISTINCT date) AS unique_dates,
