@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +35,11 @@ def build_session(name: str = "dayledger", master: str | None = None, **settings
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="dayledger-")
+
+
 def working_folder(spark: SparkSession) -> str:
     """A new folder below the shared one that ``spark.checkpoint.dir`` names.
 
@@ -44,8 +50,7 @@ def working_folder(spark: SparkSession) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="dayledger-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/dayledger-{uuid.uuid4().hex}"
 
 
