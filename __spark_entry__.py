@@ -42,9 +42,12 @@ _SQL: dict[str, str] = {}
 
 
 def _query(sql: str) -> Callable[[Query], Query]:
+    """Register under the function's name; a trailing underscore only avoids a clash."""
+
     def register(function: Query) -> Query:
-        _QUERIES[function.__name__] = function
-        _SQL[function.__name__] = sql
+        name = function.__name__.rstrip("_")
+        _QUERIES[name] = function
+        _SQL[name] = sql
         return function
 
     return register
@@ -329,7 +332,7 @@ def text_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
                      OVER (PARTITION BY user_id, CAST(ts AS DATE)) AS first_bad
           FROM events)
     WHERE first_bad IS NULL OR ts < first_bad""")
-def valid_prefix_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def valid_prefix_(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
     kept = valid_prefix_rows(events, ["user_id", "day"], "ts", F.col("event_type") == "error")
     return kept.select("event_id", "user_id", "day", "value")
@@ -391,7 +394,7 @@ def date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"{_BASE_SQL} UNION ALL {_DELTA_SQL}")
-def base_and_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+def base_plus_delta_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base_plus_delta(*_base_and_delta(spark, sf_dir), DELAYS)
 
 
@@ -399,7 +402,7 @@ def base_and_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT base_rows, delta_rows, base_rows + delta_rows AS total_rows
     FROM (SELECT count(*) AS base_rows FROM ({_BASE_SQL})),
          (SELECT count(*) AS delta_rows FROM ({_DELTA_SQL}))""")
-def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def union_counts_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_counts(*_base_and_delta(spark, sf_dir))
 
 
@@ -415,7 +418,7 @@ _UNIFIED_SQL = f"""
 
 
 @_query(_UNIFIED_SQL)
-def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unified_long_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified_long(conform(_delays(spark, sf_dir), DELAYS), _observations(spark, sf_dir))
 
 
@@ -517,7 +520,7 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM customer LEFT JOIN
          (SELECT user_id, max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS failed
           FROM events GROUP BY user_id) ON c_custkey = user_id""")
-def load_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_status_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as stations: failed without an event or with an error event."""
     stations = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("station_name"))
     events = _table(spark, sf_dir, "events").select(
@@ -596,6 +599,33 @@ def delays_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_folder(spark, folder, "csv", DELAYS)
 
 
+@_query("""
+    SELECT CAST(c_custkey AS VARCHAR) AS station_name, c_name || ', "' || c_mktsegment || '"'
+               AS label,
+           c_acctbal AS value
+    FROM customer""")
+def publish_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with comma and quotes through CSV, in as few files as the size allows."""
+    folder = working_folder(spark)
+    label = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"'))
+    rows = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("station_name"),
+        label.alias("label"),
+        F.col("c_acctbal").alias("value"),
+    )
+    write_folder(rows, folder, "csv", "auto")
+    return read_folder(spark, folder, "csv", rows.schema)
+
+
+@_query(_OBSERVATIONS_SQL)
+def publish_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days written together."""
+    folder = working_folder(spark)
+    rows = _observations(spark, sf_dir)
+    write_folder(rows, folder, "parquet", cluster_by=("date",))
+    return read_folder(spark, folder, "parquet", rows.schema)
+
+
 _PUBLISHED_SQL = _UNIFIED_SQL.replace(
     f"({_DELAYS_SQL})", f"({_BASE_SQL} UNION ALL {_DELTA_SQL})"
 )
@@ -665,7 +695,7 @@ def weather_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """The long table of delays and weather."""
-    return unified(spark, "/root/testdata/sf0.001")
+    return unified_long_(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:

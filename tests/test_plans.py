@@ -10,8 +10,8 @@ SF_DIR = "/root/testdata/sf0.001"
 # Queries whose rows stay in the task that read them.
 NARROW = ["conform_cast", "conform_bad_values", "float_narrow_text", "extreme_band",
           "extreme_above", "json_fields", "explode_series", "text_prefix", "registry_entries",
-          "batch_numbers", "date_window", "base_and_delta", "unified", "file_date_range",
-          "last_path_segment", "registry_join", "valid_prefix_of_rows", "weather_load",
+          "batch_numbers", "date_window", "base_plus_delta", "unified_long", "file_date_range",
+          "last_path_segment", "registry_join", "valid_prefix", "weather_load",
           "weather_update"]
 
 
@@ -45,8 +45,8 @@ def test_filter_reaches_the_scan(spark):
     [("unified_view", {"l_quantity", "l_shipdate", "ts", "props"}),
      ("load_summary", {"ts", "user_id", "value", "props"}),
      ("latest_arrival", {"o_orderkey", "o_orderdate"}),
-     ("row_counts", {"l_shipdate"}),
-     ("valid_prefix_of_rows",
+     ("union_counts", {"l_shipdate"}),
+     ("valid_prefix",
       {"event_id", "ts", "user_id", "value", "day", "_first_bad"})],
 )
 def test_only_needed_columns_are_read(spark, name, columns):
