@@ -152,6 +152,8 @@ def initial_load(
     elif not table:
         stations = with_batch(stations, batch_size, last_batch)
         partition_by = ("batch",)
+    # The document is parsed once, and an entry without its keys fails the job right here.
+    stations = written(stations)
     landed = read_responses(spark, responses, responses_format, on)
     return land(
         stations, landed, output, start, end, files, thresholds, on, partition_by, table

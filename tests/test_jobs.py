@@ -139,6 +139,20 @@ def test_counts_are_exact_when_tasks_fail(spark, tmp_path, files):
     assert len(_landed(spark, str(tmp_path / "out"))) == report["total_records"]
 
 
+def test_incomplete_registry_entry_fails_its_batch(spark, tmp_path, inputs):
+    entries = [{"station_name": f"S{i}", "lat": 47.0, "lon": 19.5} for i in range(901)]
+    del entries[900]["lat"]
+    registry = tmp_path / "incomplete.json"
+    registry.write_text(json.dumps(entries))
+    paths = {**inputs[0], "registry": str(registry)}
+    report = initial_load(spark, **paths, output=str(tmp_path / "out"), batch=0)
+    assert report["successful"] + report["failed"] == 900
+    for batch in (1, None):
+        with pytest.raises(Exception, match="registry entry without"):
+            initial_load(spark, **paths, output=str(tmp_path / "other"), batch=batch)
+    assert not (tmp_path / "other").exists()
+
+
 def test_nothing_loaded_leaves_the_output(spark, tmp_path, inputs):
     output = str(tmp_path / "out")
     initial_load(spark, **inputs[0], output=output, batch=1)
