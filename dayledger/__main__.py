@@ -5,8 +5,13 @@ from __future__ import annotations
 import argparse
 import json
 
-from dayledger.plans.landing import initial_load, periodic_update
-from dayledger.plans.rebuild import rebuild_all, rebuild_delays, rebuild_weather
+from dayledger.plans import (
+    initial_load,
+    periodic_update,
+    rebuild_all,
+    rebuild_delays,
+    rebuild_weather,
+)
 from dayledger.schemas import BACKFILL_END, BACKFILL_START
 from dayledger.session import build_session
 
