@@ -12,7 +12,6 @@ from dayledger.plans import (
     rebuild_delays,
     rebuild_weather,
 )
-from dayledger.schemas import BACKFILL_END, BACKFILL_START
 from dayledger.session import build_session
 
 
@@ -27,22 +26,28 @@ def _arguments() -> argparse.Namespace:
         job = jobs.add_parser(name)
         job.add_argument("--registry", required=True)
         job.add_argument("--responses", required=True)
-        job.add_argument("--responses-format", default="json")
+        job.add_argument("--responses-format", help="json or parquet")
         job.add_argument("--output", required=True)
-        job.add_argument("--batch", type=int, default=0 if name == "periodic-update" else None)
+        job.add_argument("--batch", type=int)
         job.add_argument("--table", help="publish as this table, below the output folder")
-        job.add_argument("--on", nargs="+", default=["station_name"], help="key of a response")
+        job.add_argument("--on", nargs="+", help="key of a response")
         if name == "periodic-update":
             job.add_argument("--arrivals", required=True)
         else:
-            job.add_argument("--start", default=BACKFILL_START)
-            job.add_argument("--end", default=BACKFILL_END)
+            job.add_argument("--start")
+            job.add_argument("--end")
     for name in ("rebuild-weather", "rebuild-delays", "rebuild-all"):
         job = jobs.add_parser(name)
         job.add_argument("--root", required=True)
         job.add_argument("--changed-only", action="store_true")
         if name != "rebuild-delays":
-            job.add_argument("--cluster-by", nargs="+", default=(), help="e.g. date")
+            job.add_argument("--cluster-by", nargs="+", help="e.g. date")
+        tables = {
+            "rebuild-weather": ("--base", "--delta", "--target", "--delays", "--view"),
+            "rebuild-delays": ("--base", "--delta", "--target"),
+        }
+        for table in tables.get(name, ()):
+            job.add_argument(table, help="catalog name")
     for job in jobs.choices.values():
         job.add_argument("--files", type=_files, help='a number, or "auto"')
     return parser.parse_args()
@@ -56,7 +61,8 @@ def main() -> None:
         "rebuild-delays": rebuild_delays,
         "rebuild-all": rebuild_all,
     }
-    options = vars(_arguments())
+    # What is not given keeps the job's own default.
+    options = {key: value for key, value in vars(_arguments()).items() if value is not None}
     job = jobs[options.pop("job")]
     print(json.dumps(job(build_session(), **options)))
 

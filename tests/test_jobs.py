@@ -253,10 +253,21 @@ def test_unchanged_base_is_not_written_again(spark, tmp_path):
 def test_command_line(monkeypatch, capsys, spark, tmp_path, inputs):
     from dayledger import __main__ as command
 
+    def run(*arguments):
+        monkeypatch.setattr("sys.argv", ["dayledger", *arguments])
+        command.main()
+        return json.loads(capsys.readouterr().out)
+
     paths = [part for key, value in inputs[0].items() for part in (f"--{key}", value)]
-    argv = ["dayledger", "periodic-update", *paths, "--arrivals", inputs[1],
-            "--output", str(tmp_path / "out"), "--files", "1"]
-    monkeypatch.setattr("sys.argv", argv)
-    command.main()
-    rows, ok = _by_hand(range(900), "2025-06-02", "2025-06-04")
-    assert json.loads(capsys.readouterr().out) == _report(rows, ok, 900)
+    paths += ["--output", str(tmp_path / "out")]
+    updated = run("periodic-update", *paths, "--arrivals", inputs[1], "--files", "1",
+                  "--table", "l_delta")
+    assert updated == _report(*_by_hand(range(900), "2025-06-02", "2025-06-04"), 900)
+    loaded = run("initial-load", *paths, "--start", DAYS[0], "--end", DAYS[1], "--on",
+                 "station_name", "--batch", "1", "--table", "l_base")
+    assert loaded == _report(*_by_hand(range(900, 1000), DAYS[0], DAYS[1]), 100)
+    rows = run("rebuild-weather", "--root", str(tmp_path / "published"), "--base", "l_base",
+               "--delta", "l_delta", "--target", "l_all", "--view", "l_view", "--delays",
+               "no_such_table", "--cluster-by", "date")
+    assert rows == updated["total_records"] + loaded["total_records"]
+    assert spark.table("l_all").count() == rows
