@@ -56,7 +56,12 @@ def files_fingerprint(spark: SparkSession, table: str) -> str | None:
     if any(column.isPartition for column in spark.catalog.listColumns(table)):
         return None
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    location = described.where("col_name = 'Location'").select("data_type").first()
+    # A column may be called Location, too, but no type has a slash.
+    location = (
+        described.where("col_name = 'Location' AND contains(data_type, '/')")
+        .select("data_type")
+        .first()
+    )
     if location is None:
         return None
     found = (

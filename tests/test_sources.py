@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dayledger.operators.arrivals import ArrivalError, newest, newest_range, with_date_range
 from dayledger.sources.registry import batch_sizes, in_batch, read_registry, with_batch
 from dayledger.sources.responses import read_responses
-from dayledger.sources.tables import days_between, list_folder
+from dayledger.sources.tables import days_between, files_fingerprint, list_folder
 
 
 def _registry(spark, folder, entries):
@@ -128,6 +128,23 @@ def test_newest_is_a_top_one(spark):
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 
+def test_fingerprint_changes_with_the_files(spark, tmp_path):
+    folder = tmp_path / "t"
+    _touch(folder / "a.csv", 1000, "1,x\n")
+    spark.sql(f"CREATE TABLE f_table (n INT, Location STRING) USING csv LOCATION '{folder}'")
+    first = files_fingerprint(spark, "f_table")
+    assert first is not None and first == files_fingerprint(spark, "f_table")
+    _touch(folder / "b.csv", 1000, "2,y\n")
+    second = files_fingerprint(spark, "f_table")
+    _touch(folder / "b.csv", 2000, "2,z\n")
+    assert len({first, second, files_fingerprint(spark, "f_table")}) == 3
+    spark.sql("CREATE OR REPLACE TEMP VIEW f_view AS SELECT * FROM f_table")
+    assert files_fingerprint(spark, "f_view") is None
+    spark.sql(f"CREATE TABLE f_parts (n INT, p INT) USING csv PARTITIONED BY (p) "
+              f"LOCATION '{tmp_path / 'p'}'")
+    assert files_fingerprint(spark, "f_parts") is None
+
+
 def test_range_columns(spark):
     manifest = spark.createDataFrame([("2025-1-5_2025-1-11_delays.csv",)], "name string")
     assert tuple(with_date_range(manifest).first()) == (
