@@ -313,7 +313,7 @@ def explode_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                  CAST(coalesce(list_position(list_transform(words, lambda w: length(w) > 12), true),
                                0) AS INT) AS cut
           FROM (SELECT doc_id, string_split(text, ' ') AS words FROM documents))""")
-def text_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+def word_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each whole text as a series that ends before the first long word."""
     words = F.split("text", " ")
     documents = _table(spark, sf_dir, "documents").select(

@@ -48,17 +48,15 @@ def bounded_join(
     hot = written(
         big.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > threshold)
     ).select(*on)
+    if hot.isEmpty():
+        return _null_safe(big, small, on, how)
+    hot = F.broadcast(hot)
     # Copies of a hot key in the small side are not bounded by the number of hot keys.
-    small_hot = written(_null_safe(small, F.broadcast(hot), on, "left_semi"))
+    small_hot = written(_null_safe(small, hot, on, "left_semi"))
     if measured_bytes(small_hot) <= limit:
         small_hot = F.broadcast(small_hot)
-    return _null_safe(
-        _null_safe(big, F.broadcast(hot), on, "left_semi"), small_hot, on, how
-    ).unionByName(
-        _null_safe(
-            _null_safe(big, F.broadcast(hot), on, "left_anti"),
-            _null_safe(small, F.broadcast(hot), on, "left_anti"),
-            on,
-            how,
-        )
+    hot_rows = _null_safe(_null_safe(big, hot, on, "left_semi"), small_hot, on, how)
+    other_rows = _null_safe(
+        _null_safe(big, hot, on, "left_anti"), _null_safe(small, hot, on, "left_anti"), on, how
     )
+    return hot_rows.unionByName(other_rows)

@@ -9,7 +9,7 @@ from __spark_entry__ import queries
 SF_DIR = "/root/testdata/sf0.001"
 # Queries whose rows stay in the task that read them.
 NARROW = ["conform_cast", "conform_bad_values", "float_narrow_text", "extreme_band",
-          "extreme_above", "json_fields", "explode_series", "text_prefix", "registry_entries",
+          "extreme_above", "json_fields", "explode_series", "word_series", "registry_entries",
           "batch_numbers", "date_window", "base_plus_delta", "unified_long", "file_date_range",
           "last_path_segment", "registry_join", "valid_prefix", "weather_load",
           "weather_update"]
