@@ -13,15 +13,13 @@ from dayledger.schemas import DAILY_SERIES
 _NUMBER_TYPES = "^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
 
 
-def _element_wise(body: Column, field: str) -> Column:
-    """The series of a body in which some element is no number: that element is NULL.
+def _numbers(value: Column) -> Column:
+    """A series of mixed JSON values as doubles, in which what is no number is NULL.
 
-    A key whose value is no array gives an empty series; a missing key gives NULL.
+    A value that is no array gives an empty series; a missing one gives NULL.
     """
-    value = F.try_variant_get(F.try_parse_json(body), f"$.daily.{field}", "variant")
-    elements = F.try_variant_get(value, "$", "array<variant>")
     numbers = F.transform(
-        elements,
+        F.try_variant_get(value, "$", "array<variant>"),
         lambda x: F.when(
             F.schema_of_variant(x).rlike(_NUMBER_TYPES), F.try_variant_get(x, "$", "double")
         ),
@@ -35,34 +33,35 @@ def parse_daily(
     """Replace the body by ``time`` and one array of doubles per series.
 
     Only the named series are in the read schema, so others are skipped while parsing.
-    ``from_json`` drops a whole array for one element of a wrong type; only such rows are
-    parsed again, element by element.
+    A read of typed arrays drops a whole array for one element of another type. Bodies that
+    come out incomplete are read again, with types that keep such elements apart.
     """
-    daily = T.StructType([T.StructField("time", T.ArrayType(T.StringType()))])
-    for field in series:
-        daily = daily.add(field, T.ArrayType(T.DoubleType()))
-    schema = T.StructType([T.StructField("daily", daily)])
-    kept = [c for c in df.columns if c != body]
 
-    def daily_of(non_numeric: str) -> Column:
-        options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": non_numeric}
+    def daily(kind: T.DataType, bare_names: bool) -> Column:
+        fields = [T.StructField("time", T.ArrayType(T.StringType()))]
+        fields += [T.StructField(field, kind) for field in series]
+        schema = T.StructType([T.StructField("daily", T.StructType(fields))])
+        # With bare NaN and Infinity allowed, a typed read would take the same words as text
+        # for numbers, too.
+        options = {
+            "allowSingleQuotes": "false",
+            "allowNonNumericNumbers": str(bare_names).lower(),
+        }
         return F.from_json(body, schema, options)["daily"]
 
-    parsed = df.select(*kept, body, daily_of("false").alias("_daily"))
-    # With NaN and Infinity allowed, texts that read so would pass for numbers, too. So this
-    # is the last resort.
-    partial = F.col("_daily.time").isNull()
+    kept = [c for c in df.columns if c != body]
+    typed = df.select(*kept, body, daily(T.ArrayType(T.DoubleType()), False).alias("_typed"))
+    incomplete = F.col("_typed.time").isNull()
     for field in series:
-        partial = partial | F.col(f"_daily.{field}").isNull()
-    named = F.col(body).contains("NaN") | F.col(body).contains("Infinity")
-    parsed = parsed.withColumn("_named", F.when(partial & named, daily_of("true")))
+        incomplete = incomplete | F.col(f"_typed.{field}").isNull()
+    parsed = typed.select(
+        *kept, "_typed", F.when(incomplete, daily(T.VariantType(), True)).alias("_mixed")
+    )
     return parsed.select(
         *kept,
-        F.coalesce("_daily.time", "_named.time").alias("time"),
+        F.coalesce("_typed.time", "_mixed.time").alias("time"),
         *[
-            F.coalesce(
-                F.col(f"_daily.{field}"), _element_wise(F.col(body), field), f"_named.{field}"
-            ).alias(name)
+            F.coalesce(f"_typed.{field}", _numbers(F.col(f"_mixed.{field}"))).alias(name)
             for field, name in series.items()
         ],
     )

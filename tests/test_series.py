@@ -50,6 +50,8 @@ CASES = {
     "cut off": (body([D1], [1], [1], [1])[:-3], [], "error"),
     "brace missing": (body([D1], [1], [1], [1])[:-1], [], "error"),
     "braces missing": (body([D1], [1], [1], [1])[:-2], [], "error"),
+    "NaN and text": (body([D1, D2], [NAN, 1], [1, "2"], [1, 1]), [D1], "error"),
+    "NaN and gap": (body([D1, D2], [1, NAN], [1, 1], [1, None]), [D1], "error"),
     "empty body": ("", [], "error"),
     "no body": (None, [], "error"),
     "an array": ("[" + body([D1], [1], [1], [1]) + "]", [], "error"),
@@ -167,7 +169,7 @@ def _by_hand(document, thresholds):
 
 def test_random_bodies_against_brute_force(spark):
     random.seed(7)
-    strange = [None, "5", True, [], -15, 35, 60, 20, -15.0, 35.0, 1e9, -0.0]
+    strange = [None, NAN, "NaN", float("-inf"), "5", True, [], -15, 35, 60, 20, -15.0, 35.0, 1e9, -0.0]
 
     def series(n):
         odd = random.random() < 0.4
