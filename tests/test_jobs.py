@@ -198,6 +198,16 @@ def test_from_landing_to_view(spark, tmp_path, inputs):
     counts = {r["data_type"]: r["count"] for r in
               spark.table("unified_all").groupBy("data_type").count().collect()}
     assert counts == {"delay": 4, "weather": weather_rows}
+    with pytest.raises(ValueError, match="delays_all is a table"):
+        rebuild_all(spark, str(tmp_path / "published"), changed_only=True)
+    whole = sorted(map(str, spark.table("unified_all").collect()))
+    spark.sql("DROP TABLE delays_all")
+    spark.sql("DROP TABLE weather_all")
+    for expected in ({"delays": 4, "weather": weather_rows},
+                     {"delays": 2, "weather": updated["total_records"]}):
+        done = rebuild_all(spark, str(tmp_path / "published"), changed_only=True, cluster_by=("date",))
+        assert done == expected
+        assert sorted(map(str, spark.table("unified_all").collect())) == whole
     bad = spark.table("delays_all").where("station_name = 'S2'").first()
     assert tuple(bad) == (None, "S2", None, 12, None)
     assert spark.table("weather_all").where("date is null").isEmpty()
