@@ -8,6 +8,7 @@ for daily weather (user = station), ``embeddings`` for the responses of the weat
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -698,9 +699,32 @@ def entry(spark: SparkSession) -> DataFrame:
     return unified_long_(spark, "/root/testdata/sf0.001")
 
 
+def _is_there(module: str) -> bool:
+    """Whether the file is there; an error while it is imported still shows."""
+    return importlib.util.find_spec(module) is not None
+
+
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """The operators for training data and their pipeline, where they are installed."""
+    found: dict[str, Query] = {}
+    sql: dict[str, str] = {}
+    if _is_there("dayledger.llm"):
+        from dayledger.llm import queries as llm
+
+        found |= llm.QUERIES
+        sql |= llm.SQL
+    if _is_there("corpus_pipeline"):
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | _training_data()[1]
