@@ -34,30 +34,30 @@ LONG_WORD = 1_000
 #: Rows that one recursive query may make.
 QUERY_ROWS = 1_500_000
 
-# at: the word's number and the token's position in one number.
+# slot: the word's number and the token's position in one number.
 _CONTRACT = """
 WITH RECURSIVE step AS (
-    SELECT at, id, 0 AS round FROM start
+    SELECT slot, id, 0 AS round FROM start
     UNION ALL
-    SELECT s.at, CASE WHEN s.at = b.at THEN b.merged ELSE s.id END, s.round + 1
+    SELECT s.slot, CASE WHEN s.slot = b.slot THEN b.merged ELSE s.id END, s.round + 1
     FROM step s JOIN (
         -- rank and position in one number: the least is the leftmost pair of least rank
-        SELECT word, (word << 20) | (min(key) & 1048575) AS at, (min(key) >> 20)::INT AS merged,
-               arg_min(next, key) AS gone
-        FROM (SELECT at >> 20 AS word, (rank::BIGINT << 20) | (at & 1048575) AS key, next
-              FROM (SELECT at, lead(at) OVER w AS next,
+        SELECT word, (word << 20) | (min(key) & 1048575) AS slot, (min(key) >> 20)::INT AS merged,
+               arg_min(next_slot, key) AS gone
+        FROM (SELECT slot >> 20 AS word, (rank::BIGINT << 20) | (slot & 1048575) AS key, next_slot
+              FROM (SELECT slot, lead(slot) OVER w AS next_slot,
                            (id::BIGINT << 32) | lead(id) OVER w AS pair
-                    FROM step WINDOW w AS (ORDER BY at))
+                    FROM step WINDOW w AS (ORDER BY slot))
               JOIN merges USING (pair)
-              WHERE next >> 20 = at >> 20)
+              WHERE next_slot >> 20 = slot >> 20)
         GROUP BY word
-    ) b ON s.at >> 20 = b.word
-    WHERE s.at <> b.gone
+    ) b ON s.slot >> 20 = b.word
+    WHERE s.slot <> b.gone
 )
-SELECT at >> 20 AS word, id
-FROM step JOIN (SELECT at >> 20 AS word, max(round) AS round FROM step GROUP BY word) last
-    ON at >> 20 = last.word AND step.round = last.round
-ORDER BY at
+SELECT slot >> 20 AS word, id
+FROM step JOIN (SELECT slot >> 20 AS word, max(round) AS round FROM step GROUP BY word) last
+    ON slot >> 20 = last.word AND step.round = last.round
+ORDER BY slot
 """
 
 # One thread aggregates in the order that the inner query gives.
@@ -157,7 +157,7 @@ class Codec:
         pos = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         start = pa.table(
             {
-                "at": (np.repeat(np.arange(len(batch)), lengths) << 20) | pos,
+                "slot": (np.repeat(np.arange(len(batch)), lengths) << 20) | pos,
                 "id": self.byte_ids[flat],
             }
         )
