@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .bpe import op1_byte_bpe
+from .counts import op6_token_counts
+from .tokenfile import op3_token_file
 
-QUERIES = {q.__name__: q for q in (op1_byte_bpe,)}
+QUERIES = {q.__name__: q for q in (op1_byte_bpe, op3_token_file, op6_token_counts)}
 SQL: dict[str, str] = {}
