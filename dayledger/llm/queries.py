@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from .bpe import op1_byte_bpe
 from .counts import op6_token_counts
+from .simhash import op7_simhash
 from .tokenfile import op3_token_file
 
-QUERIES = {q.__name__: q for q in (op1_byte_bpe, op3_token_file, op6_token_counts)}
+QUERIES = {q.__name__: q for q in (op1_byte_bpe, op3_token_file, op6_token_counts, op7_simhash)}
 SQL: dict[str, str] = {}
