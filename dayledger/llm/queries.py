@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from .bpe import op1_byte_bpe
 from .counts import op6_token_counts
+from .decontaminate import OP10_SQL, op10_decontamination
 from .langid import op9_language
 from .simhash import op7_simhash
 from .tokenfile import op3_token_file
 
-QUERIES = {q.__name__: q for q in (op1_byte_bpe, op3_token_file, op6_token_counts, op7_simhash, op9_language)}
-SQL: dict[str, str] = {}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_byte_bpe,
+        op3_token_file,
+        op6_token_counts,
+        op7_simhash,
+        op9_language,
+        op10_decontamination,
+    )
+}
+SQL = {"op10_decontamination": OP10_SQL}
