@@ -6,6 +6,7 @@ from .bpe import op1_byte_bpe
 from .counts import op6_token_counts
 from .decontaminate import OP10_SQL, op10_decontamination
 from .langid import op9_language
+from .pii import op5_pii
 from .simhash import op7_simhash
 from .tokenfile import op3_token_file
 
@@ -14,6 +15,7 @@ QUERIES = {
     for q in (
         op1_byte_bpe,
         op3_token_file,
+        op5_pii,
         op6_token_counts,
         op7_simhash,
         op9_language,
