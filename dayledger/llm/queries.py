@@ -9,12 +9,14 @@ from .langid import op9_language
 from .pii import op5_pii
 from .simhash import op7_simhash
 from .tokenfile import op3_token_file
+from .topk import OP4_SQL, op4_top_k
 
 QUERIES = {
     q.__name__: q
     for q in (
         op1_byte_bpe,
         op3_token_file,
+        op4_top_k,
         op5_pii,
         op6_token_counts,
         op7_simhash,
@@ -22,4 +24,4 @@ QUERIES = {
         op10_decontamination,
     )
 }
-SQL = {"op10_decontamination": OP10_SQL}
+SQL = {"op4_top_k": OP4_SQL, "op10_decontamination": OP10_SQL}
