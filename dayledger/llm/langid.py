@@ -103,7 +103,7 @@ class Model:
         family = np.array([self.families.index(g) for g in group], np.int64)[label] if names else label
         self.family_machines = np.array(
             [_machine(x, np.where(family == k, 1.0, -1.0)) for k in range(len(self.families))]
-        ).reshape(len(self.families), -1)
+        ).reshape(len(self.families), x.shape[1] + 1)
         self.pairs = {}
         for members in self.members:
             for a, b in combinations(members, 2):

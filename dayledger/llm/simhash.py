@@ -78,7 +78,8 @@ def fingerprints(
         )
 
     kind = df.schema[key].dataType.simpleString()
-    return map_blocks(df.select(key, text), run, f"{key} {kind}, fingerprint long", text)
+    given = df.select(*dict.fromkeys((key, text)))
+    return map_blocks(given, run, f"{key} {kind}, fingerprint long", text)
 
 
 # ---------------------------------------------------------------- Golay code
