@@ -17,7 +17,7 @@ BATCH_BYTES = 8 << 20
 BLOCK_CHARS = 4 << 20
 
 __all__ = [
-    "BLOCK_CHARS", "connected_components", "map_blocks", "table", "text_blocks", "to_driver",
+    "BLOCK_CHARS", "connected_components", "map_batches", "map_blocks", "table", "text_blocks", "to_driver",
     "working_folder", "written",
 ]
 
@@ -64,15 +64,24 @@ def map_blocks(
     chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """``mapInArrow`` over blocks of bounded size, whatever the session's batch length is."""
-    spark = df.sparkSession
-    if spark.conf.get(_LIMIT, None) is None:
-        spark.conf.set(_LIMIT, str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, text, chars):
             yield function(block)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
+
+
+def map_batches(
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+) -> DataFrame:
+    """``mapInArrow`` with batches of bounded size, unless the session says otherwise."""
+    spark = df.sparkSession
+    if spark.conf.get(_LIMIT, None) is None:
+        spark.conf.set(_LIMIT, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
 
 
 def to_driver(df: DataFrame, bound: int) -> list:

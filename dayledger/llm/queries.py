@@ -6,6 +6,7 @@ from .bpe import op1_byte_bpe
 from .counts import op6_token_counts
 from .decontaminate import OP10_SQL, op10_decontamination
 from .langid import op9_language
+from .lm import op2_log_bilinear
 from .pii import op5_pii
 from .simhash import op7_simhash
 from .tokenfile import op3_token_file
@@ -15,6 +16,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_byte_bpe,
+        op2_log_bilinear,
         op3_token_file,
         op4_top_k,
         op5_pii,
