@@ -11,32 +11,26 @@ from __future__ import annotations
 
 from functools import cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import map_blocks, table
-from .words import CACHE, words
+from .words import PARTS, PIECES, Words, byte_letters, words
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
 
 
-@cache
-def _byte_of() -> dict[str, int]:
-    """The byte-level alphabet: printable bytes stand for themselves, the others follow 255."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 def _plain(token: str) -> str:
     """What a token at a word's end stands for; empty if that is no text."""
     if not token.endswith("</w>"):
         return ""
+    byte_of = {chr(letter): byte for byte, letter in byte_letters().items()}
     try:
-        return bytes(_byte_of()[c] for c in token.removesuffix("</w>")).decode()
+        return bytes(byte_of[c] for c in token.removesuffix("</w>")).decode()
     except (KeyError, UnicodeDecodeError):
         return ""
 
@@ -51,49 +45,45 @@ def single_tokens(path: str) -> frozenset[str]:
     if own.pre_tokens is None:
         return frozenset()
     strings = {s for token in own.tokenizer.get_vocab() if (s := _plain(token))}
-    alone = [s for s in strings if own.parts(s) == [s]]
-    return frozenset(s for s, ids in own.encode(alone) if len(ids) == 1)
+    return frozenset(s for s in strings if own.parts(s) == [s] and len(own.encode(s)) == 1)
+
+
+class _Merged(dict):
+    """Tokens of the pre-tokens that are not one token."""
 
+    def __init__(self, words_: Words) -> None:
+        self.words = words_
+
+    def __missing__(self, part: str) -> int:
+        n = len(self.words.merge(part))
+        if len(self) < PARTS:
+            self[part] = n
+        return n
+
+
+class Counts(dict):
+    """Tokens of pieces; at first those that are proved to be one."""
 
-class Counter:
     def __init__(self, path: str) -> None:
         self.words = words(path)
         self.single = single_tokens(path)
-        self.pieces: dict[str, int] = {"": 0}
-        self.merged: dict[str, int] = {}
-
-    def count(self, texts: list[str]) -> list[int]:
-        cut = [self.words.cut(text) for text in texts]
-        seen = {piece for pieces in cut for piece in pieces}
-        learnt = self._learn(seen.difference(self.pieces))
-        if self.words.pre_tokens is not None and len(self.pieces) < CACHE:
-            self.pieces.update(learnt)
-            find = self.pieces.__getitem__
+        super().__init__(dict.fromkeys(self.single, 1) | {"": 0})
+        self.merged = _Merged(self.words)
+
+    def __missing__(self, piece: str) -> int:
+        parts = self.words.parts(piece)
+        if parts is None:
+            n = len(self.words.encode(piece))
         else:
-            learnt.update((p, self.pieces[p]) for p in seen.difference(learnt))
-            find = learnt.__getitem__
-        return [sum(map(find, pieces)) for pieces in cut]
-
-    def _learn(self, pieces: set[str]) -> dict[str, int]:
-        single, found, rest = self.single, {}, {}
-        for piece in pieces:
-            if piece in single:
-                found[piece] = 1
-            else:
-                rest[piece] = [p for p in self.words.parts(piece)]
-        merged = {p for parts in rest.values() for p in parts if p not in single}
-        lengths = {p: len(ids) for p, ids in self.words.encode(merged.difference(self.merged))}
-        lengths.update((p, self.merged[p]) for p in merged.difference(lengths))
-        if self.words.pre_tokens is not None and len(self.merged) < 2 * CACHE:
-            self.merged.update(lengths)
-        for piece, parts in rest.items():
-            found[piece] = sum([1 if p in single else lengths[p] for p in parts])
-        return found
+            n = sum([1 if part in self.single else self.merged[part] for part in parts])
+        if len(self) < PIECES and self.words.pre_tokens is not None:
+            self[piece] = n
+        return n
 
 
 @cache
-def counter(path: str) -> Counter:
-    return Counter(path)
+def counts(path: str) -> Counts:
+    return Counts(path)
 
 
 def count_tokens(
@@ -109,7 +99,11 @@ def count_tokens(
 
     def run(block: pa.RecordBatch) -> pa.RecordBatch:
         texts = block.column(text)
-        n = pa.array(counter(path).count([t or "" for t in texts.to_pylist()]), pa.int64())
+        own = counts(path)
+        cut = own.words.cut(texts)
+        each = np.fromiter(map(own.__getitem__, cut.pieces), np.int64, len(cut.pieces))
+        ends = np.concatenate([[0], np.cumsum(each[cut.at])])
+        n = pa.array(np.diff(ends[cut.bounds]), pa.int64())
         size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
         return pa.record_batch(
             {key: block.column(key), "n_bytes": size, "n_tokens": n,

@@ -11,6 +11,7 @@ from .pii import op5_pii
 from .simhash import op7_simhash
 from .tokenfile import op3_token_file
 from .topk import OP4_SQL, op4_top_k
+from .urls import op8_url_filter
 
 QUERIES = {
     q.__name__: q
@@ -22,6 +23,7 @@ QUERIES = {
         op5_pii,
         op6_token_counts,
         op7_simhash,
+        op8_url_filter,
         op9_language,
         op10_decontamination,
     )

@@ -24,12 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import map_blocks, table, text_blocks, to_driver, working_folder, written
-from .words import CACHE, Words, words
+from .words import Pieces, rows_of, words
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Ids between two checkpoints.
 STEP = 256
+#: Ids that are coded at once, a multiple of STEP.
+PART = 1 << 15
 #: Least limit of a code's length; with more than 2 ** 15 ids in use it grows by their logarithm.
 CODE_BITS = 16
 #: Ids that a code may have at most: lengths and ranks go through the driver.
@@ -41,38 +43,9 @@ BLOCK_BYTES = 4 << 20
 # ---------------------------------------------------------------- ids
 
 
-class _Ids:
-    def __init__(self, path: str) -> None:
-        self.words: Words = words(path)
-        self.pieces: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        cut = [self.words.cut(text) for text in texts]
-        seen = {piece for pieces in cut for piece in pieces}
-        learnt = self._learn(seen.difference(self.pieces))
-        if self.words.pre_tokens is not None and len(self.pieces) < CACHE:
-            self.pieces.update(learnt)
-            find = self.pieces.__getitem__
-        else:
-            learnt.update((p, self.pieces[p]) for p in seen.difference(learnt))
-            find = learnt.__getitem__
-        return [b"".join(map(find, pieces)) + end for pieces in cut]
-
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        found = {piece: self.words.parts(piece) for piece in pieces}
-        all_parts = {p for parts in found.values() for p in parts}
-        new = all_parts.difference(self.parts)
-        ids = {p: np.array(row, np.int32).tobytes() for p, row in self.words.encode(new)}
-        ids.update((p, self.parts[p]) for p in all_parts.difference(ids))
-        if self.words.pre_tokens is not None and len(self.parts) < 2 * CACHE:
-            self.parts.update(ids)
-        return {piece: b"".join([ids[p] for p in parts]) for piece, parts in found.items()}
-
-
 @cache
-def _encoder(path: str) -> _Ids:
-    return _Ids(path)
+def _pieces(path: str) -> Pieces:
+    return Pieces(words(path))
 
 
 def encode_ids(
@@ -81,15 +54,20 @@ def encode_ids(
     text: str = "text",
     tokenizer_path: str | None = None,
     end_id: int | None = END_ID,
+    width: int = 4,
 ) -> DataFrame:
-    """``key, ids``: the ids of each row as little-endian 32-bit integers."""
+    """``key, ids``: the ids of each row as little-endian unsigned integers of ``width`` bytes."""
     path = tokenizer_path or public_tokenizers.path(TOKENIZER)
-    end = b"" if end_id is None else np.array([end_id], "<i4").tobytes()
+    end = b"" if end_id is None else np.array([end_id], f"<u{width}").tobytes()
 
     def run(block: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t or "" for t in block.column(text).to_pylist()]
-        rows = _encoder(path).encode(texts, end)
-        return pa.record_batch({key: block.column(key), "ids": pa.array(rows, pa.binary())})
+        pieces = _pieces(path)
+        if max(pieces.words.size - 1, end_id or 0) >= 1 << (8 * width):
+            raise ValueError(f"ids do not fit into {width} bytes")
+        cut = pieces.words.cut(block.column(text))
+        rows = rows_of(cut, list(map(pieces.__getitem__, cut.pieces)), width)
+        ids = pa.array([row + end for row in rows], pa.binary())
+        return pa.record_batch({key: block.column(key), "ids": ids})
 
     kind = df.schema[key].dataType.simpleString()
     return map_blocks(df.select(key, text), run, f"{key} {kind}, ids binary", text)
@@ -154,18 +132,29 @@ class Code:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray, int]:
         """Payload, the bit offset of each STEP-th id, the number of bits."""
-        length = self.length[ids]
-        end = np.cumsum(length)
-        total = int(end[-1]) if len(ids) else 0
-        at = end - length
-        shift = (64 - (at & 31) - length).astype(np.uint64)
-        value = self.code[ids] << shift
-        word = at >> 5
-        size = total // 32 + 2
-        # Bits of different ids never overlap, so that sums of doubles below 2 ** 32 are exact.
-        out = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), size)
-        out[1:] += np.bincount(word, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), size)[:-1]
-        return out.astype(">u4").tobytes(), at[::STEP], total
+        n = len(ids)
+        bits = int(self.length[ids].sum())
+        out = np.zeros(bits // 32 + 2)
+        checkpoints, start = [], 0
+        # In parts that stay in a processor's cache.
+        for k in range(0, n, PART):
+            part = ids[k : k + PART]
+            length = self.length[part]
+            end = start + np.cumsum(length)
+            at = end - length
+            shift = (64 - (at & 31) - length).astype(np.uint64)
+            value = self.code[part] << shift
+            first = start >> 5
+            word = (at >> 5) - first
+            # Bits of different ids never overlap, so that sums of doubles below 2 ** 32 are exact.
+            high = np.bincount(word, (value >> np.uint64(32)).astype(np.float64))
+            low = np.bincount(word, (value & np.uint64(0xFFFFFFFF)).astype(np.float64))
+            out[first : first + len(high)] += high
+            out[first + 1 : first + 1 + len(low)] += low
+            checkpoints.append(at[::STEP])
+            start = int(end[-1])
+        at = np.concatenate([np.empty(0, np.int64), *checkpoints])
+        return out.astype(">u4").tobytes(), at, bits
 
     def decode(self, payload: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
         raw = np.frombuffer(payload, np.uint8)
@@ -186,9 +175,10 @@ class Code:
 # ---------------------------------------------------------------- files
 
 
-def _id_counts(rows: DataFrame) -> DataFrame:
+def _id_counts(rows: DataFrame, width: int) -> DataFrame:
     def run(block: pa.RecordBatch) -> pa.RecordBatch:
-        flat = np.frombuffer(b"".join(x or b"" for x in block.column("ids").to_pylist()), "<i4")
+        raw = b"".join(x or b"" for x in block.column("ids").to_pylist())
+        flat = np.frombuffer(raw, f"<u{width}")
         ids, n = np.unique(flat, return_counts=True) if len(flat) else (flat, flat)
         return pa.record_batch(
             {"id": pa.array(ids, pa.int32()), "n": pa.array(n, pa.int64())}
@@ -198,11 +188,13 @@ def _id_counts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def write_token_file(rows: DataFrame, folder: str, key: str = "doc_id") -> None:
-    """Rows ``key, ids`` to the files of ``folder``, in ascending key order."""
+def write_token_file(
+    rows: DataFrame, folder: str, key: str = "doc_id", width: int = 4
+) -> None:
+    """Rows ``key, ids`` (of ``width`` bytes) to the files of ``folder``, in ascending key order."""
     spark = rows.sparkSession
     found = np.array(
-        [(r["id"], r["n"]) for r in to_driver(_id_counts(rows), ALPHABET)], np.int64
+        [(r["id"], r["n"]) for r in to_driver(_id_counts(rows, width), ALPHABET)], np.int64
     ).reshape(-1, 2)
     found = found[np.argsort(found[:, 0])]
     limit = max(CODE_BITS, int(len(found)).bit_length() + 1)
@@ -217,7 +209,7 @@ def write_token_file(rows: DataFrame, folder: str, key: str = "doc_id") -> None:
         code, part, before = Code(ids, lengths), TaskContext.get().partitionId(), 0
         for number, block in enumerate(text_blocks(batches, "ids", BLOCK_BYTES)):
             each = [x or b"" for x in block.column("ids").to_pylist()]
-            flat = np.frombuffer(b"".join(each), "<i4")
+            flat = np.frombuffer(b"".join(each), f"<u{width}")
             payload, checkpoints, bits = code.encode(flat)
             keys = block.column(key)
             yield pa.record_batch(
@@ -228,7 +220,7 @@ def write_token_file(rows: DataFrame, folder: str, key: str = "doc_id") -> None:
                     "n_ids": pa.array([len(flat)], pa.int64()),
                     "bits": pa.array([bits], pa.int64()),
                     "keys": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-                    "lengths": pa.array([[len(x) // 4 for x in each]], pa.list_(pa.int64())),
+                    "lengths": pa.array([[len(x) // width for x in each]], pa.list_(pa.int64())),
                     "checkpoints": pa.array([checkpoints.astype("<u4" if bits < 1 << 32 else "<u8").tobytes()]),
                     "payload": pa.array([payload]),
                 }
@@ -283,9 +275,9 @@ def read_token_file(spark: SparkSession, folder: str, key: str = "doc_id") -> Da
 
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = working_folder(spark)
-    # Kept, as counting and writing both need the ids.
-    rows = written(encode_ids(table(spark, sf_dir, "documents")))
-    write_token_file(rows, folder)
+    # Kept, as counting and writing both need the ids; they fit into two bytes.
+    rows = written(encode_ids(table(spark, sf_dir, "documents"), width=2))
+    write_token_file(rows, folder, width=2)
 
     def run(block: pa.RecordBatch) -> pa.RecordBatch:
         each = block.column("ids").to_pylist()
