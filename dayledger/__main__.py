@@ -28,13 +28,13 @@ def _arguments() -> argparse.Namespace:
         job.add_argument("--responses", required=True)
         job.add_argument("--responses-format", help="json or parquet")
         job.add_argument("--output", required=True)
-        job.add_argument("--batch", type=int)
+        job.add_argument("--batch", type=int, help="all stations if not given")
         job.add_argument("--table", help="publish as this table, below the output folder")
         job.add_argument("--on", nargs="+", help="key of a response")
         if name == "periodic-update":
             job.add_argument("--arrivals", required=True)
         else:
-            job.add_argument("--start")
+            job.add_argument("--start", help="all landed days if not given")
             job.add_argument("--end")
     for name in ("rebuild-weather", "rebuild-delays", "rebuild-all"):
         job = jobs.add_parser(name)
@@ -42,6 +42,7 @@ def _arguments() -> argparse.Namespace:
         job.add_argument("--changed-only", action="store_true")
         if name != "rebuild-delays":
             job.add_argument("--cluster-by", nargs="+", help="e.g. date")
+            job.add_argument("--plain", action="store_true", help="Parquet without dictionaries")
         tables = {
             "rebuild-weather": ("--base", "--delta", "--target", "--delays", "--view"),
             "rebuild-delays": ("--base", "--delta", "--target"),

@@ -47,10 +47,14 @@ def lenient_cast(value: Column, source: T.DataType, target: T.DataType) -> Colum
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns by name, each cast to the schema's type."""
-    return df.select(
+    """Select the schema's columns by name, each cast to the schema's type.
+
+    Names are found as the session finds them: without regard to case, unless it is told so.
+    """
+    found = df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return found.select(
         *[
-            lenient_cast(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.dataType).alias(f.name)
-            for f in schema.fields
+            lenient_cast(F.col(f"`{f.name}`"), own.dataType, f.dataType).alias(f.name)
+            for f, own in zip(schema.fields, found.schema.fields, strict=True)
         ]
     )

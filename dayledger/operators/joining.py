@@ -1,62 +1,24 @@
-"""Joins of a large side with a side that is usually small."""
+"""Joins on keys in which NULL equals NULL."""
 
 from __future__ import annotations
 
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from dayledger.session import written
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 1000
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows as text plus eight bytes per value: one aggregate, one row back."""
-    row = F.coalesce(F.octet_length(F.to_csv(F.struct("*"))), F.lit(0)) + 8 * len(df.columns)
-    return df.agg(F.sum(row.cast("long")).alias("size")).first()["size"] or 0
-
-
-def _null_safe(big: DataFrame, small: DataFrame, on: list[str], how: str) -> DataFrame:
-    renamed = small.withColumnsRenamed({key: f"_right_{key}" for key in on})
-    matches = reduce(and_, [big[key].eqNullSafe(renamed[f"_right_{key}"]) for key in on])
-    return big.join(renamed, matches, how).drop(*[f"_right_{key}" for key in on])
-
-
-def bounded_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    limit: int = BROADCAST_BYTES,
+def null_safe_join(
+    big: DataFrame, small: DataFrame, on: list[str], how: str = "inner"
 ) -> DataFrame:
-    """Inner or left join on keys in which NULL equals NULL.
+    """Inner, left, semi or anti join, planned by Spark.
 
-    The small side is broadcast if it measures at most ``limit`` bytes. Otherwise the keys
-    that hold more than one in ``HOT_SHARE`` rows of the big side are joined on their own:
-    there can be at most ``HOT_SHARE`` of them, so their rows of the small side are broadcast
-    and no hot key is shuffled. All other keys go through a shuffle join.
+    The key columns come from the big side; other columns of equal names stay apart only by
+    their side. Nothing is measured beforehand: adaptive execution broadcasts the side that
+    turns out small and splits the keys that turn out hot.
     """
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    if measured_bytes(small) <= limit:
-        return _null_safe(big, F.broadcast(small), on, how)
-
-    threshold = big.count() / HOT_SHARE
-    hot = written(
-        big.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > threshold)
-    ).select(*on)
-    if hot.isEmpty():
-        return _null_safe(big, small, on, how)
-    hot = F.broadcast(hot)
-    # Copies of a hot key in the small side are not bounded by the number of hot keys.
-    small_hot = written(_null_safe(small, hot, on, "left_semi"))
-    if measured_bytes(small_hot) <= limit:
-        small_hot = F.broadcast(small_hot)
-    hot_rows = _null_safe(_null_safe(big, hot, on, "left_semi"), small_hot, on, how)
-    other_rows = _null_safe(
-        _null_safe(big, hot, on, "left_anti"), _null_safe(small, hot, on, "left_anti"), on, how
-    )
-    return hot_rows.unionByName(other_rows)
+    renamed = small.withColumnsRenamed({key: f"_right_{key}" for key in on})
+    matches = reduce(and_, [big[key].eqNullSafe(renamed[f"_right_{key}"]) for key in on])
+    return big.join(renamed, matches, how).drop(*[f"_right_{key}" for key in on])

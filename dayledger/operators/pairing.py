@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from dayledger.operators.joining import BROADCAST_BYTES, bounded_join
+from dayledger.operators.joining import null_safe_join
 
-STATION_KEY = ("station_name",)
+#: A station's place in the registry; names may repeat or be missing.
+STATION_KEY = ("position",)
+
+
+def one_response(responses: DataFrame, on: tuple[str, ...] = STATION_KEY) -> DataFrame:
+    """One row per key, as one request is made per station: of responses landed again the one
+    with a body, and of several bodies the greatest, stays.
+    """
+    others = [c for c in responses.columns if c not in on]
+    best = F.max(F.struct("body", *[c for c in others if c != "body"])).alias("_best")
+    chosen = responses.groupBy(*on).agg(best)
+    return chosen.select(
+        *[F.col(c) if c in on else F.col(f"_best.{c}").alias(c) for c in responses.columns]
+    )
 
 
 def pair(
-    stations: DataFrame,
-    responses: DataFrame,
-    on: tuple[str, ...] = STATION_KEY,
-    limit: int = BROADCAST_BYTES,
+    stations: DataFrame, responses: DataFrame, on: tuple[str, ...] = STATION_KEY
 ) -> DataFrame:
-    """Responses that belong to a station, with the station's columns beside them.
+    """A row for each station that has a response: its body, and the station's columns beside it.
 
-    The registry is the measured, usually broadcast side; the bodies stay where they were
-    read. ``on`` must identify a station; where names repeat, pair on the position.
+    Stations that share a key share its response, so rows never multiply.
     """
-    return bounded_join(responses, stations, list(on), "inner", limit)
+    mine = [c for c in responses.columns if c in on or c not in stations.columns]
+    return null_safe_join(one_response(responses, on).select(*mine), stations, list(on))

@@ -4,34 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from dayledger.operators.joining import bounded_join
-from dayledger.session import written
+from dayledger.operators.joining import null_safe_join
+from dayledger.operators.pairing import STATION_KEY
+
+# Names of the report and the flags that they total.
+FLAG_TOTALS = {
+    "extreme_temp_count": "extreme_temperature",
+    "extreme_wind_count": "extreme_wind",
+    "extreme_precip_count": "extreme_precipitation",
+}
 
 
 def load_report(rows: DataFrame, approximate: bool = False) -> DataFrame:
     """One row: records, distinct dates and stations, totals of the three flags.
 
-    The exact distinct counts are combined map side, so that each task sends on at most its
-    own distinct dates and stations.
+    One pass: rows become one per station, map side first, with the station's totals and its
+    set of dates. Only these sets are exploded; each task sends on its own distinct dates.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    return rows.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        distinct("date").alias("unique_dates"),
-        distinct("station_name").alias("unique_stations"),
-        F.sum("extreme_temperature").alias("extreme_temp_count"),
-        F.sum("extreme_wind").alias("extreme_wind_count"),
-        F.sum("extreme_precipitation").alias("extreme_precip_count"),
+    if approximate:
+        return rows.agg(
+            F.count(F.lit(1)).alias("total_records"),
+            F.approx_count_distinct("date").alias("unique_dates"),
+            F.approx_count_distinct("station_name").alias("unique_stations"),
+            *[F.sum(flag).alias(name) for name, flag in FLAG_TOTALS.items()],
+        )
+    stations = rows.groupBy("station_name").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.collect_set("date").alias("_dates"),
+        *[F.sum(flag).alias(name) for name, flag in FLAG_TOTALS.items()],
+    )
+    dates = stations.select("*", F.posexplode_outer("_dates").alias("_k", "_date"))
+    first = F.coalesce(F.col("_k"), F.lit(0)) == 0
+    return dates.agg(
+        F.coalesce(F.sum(F.when(first, F.col("_rows"))), F.lit(0)).alias("total_records"),
+        F.size(F.collect_set("_date")).cast("long").alias("unique_dates"),
+        F.count_if(first & F.col("station_name").isNotNull()).alias("unique_stations"),
+        *[F.sum(F.when(first, F.col(name))).alias(name) for name in FLAG_TOTALS],
     )
 
 
 def station_status(
-    stations: DataFrame, checked: DataFrame, on: tuple[str, ...] = ("station_name",)
+    stations: DataFrame, checked: DataFrame, on: tuple[str, ...] = STATION_KEY
 ) -> DataFrame:
     """Each station with ``status``: ok if it has responses and all of them are ok."""
     failed = (F.col("status") == "error").cast("int")
-    per_station = written(checked.groupBy(*on).agg(F.max(failed).alias("_failed")))
-    joined = bounded_join(stations, per_station, list(on), "left")
+    per_station = checked.groupBy(*on).agg(F.max(failed).alias("_failed"))
+    joined = null_safe_join(stations, per_station, list(on), "left")
     return joined.select(
         *stations.columns,
         F.when(F.col("_failed") == 0, "ok").otherwise("error").alias("status"),

@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from dayledger.functions.flags import flag_above, flag_outside
 from dayledger.operators.arrivals import newest_range
-from dayledger.operators.joining import BROADCAST_BYTES
 from dayledger.operators.pairing import STATION_KEY, pair
 from dayledger.operators.report import load_report
-from dayledger.operators.series import explode_days, parse_daily, valid_prefix
+from dayledger.operators.series import explode_days, in_range, parse_daily, valid_prefix
 from dayledger.schemas import (
-    BACKFILL_END,
-    BACKFILL_START,
     BATCH_SIZE,
     DAILY_SERIES,
     LAST_BATCH,
@@ -22,8 +20,7 @@ from dayledger.schemas import (
     Thresholds,
     schema_as_text,
 )
-from dayledger.session import written
-from dayledger.sinks.folders import write_folder
+from dayledger.sinks.folders import discard_folder, replace_folder, write_folder
 from dayledger.sinks.publish import NoRowsError, publish_table
 from dayledger.sources.registry import in_batch, read_registry, with_batch
 from dayledger.sources.responses import read_responses
@@ -40,10 +37,9 @@ def checked_series(
     start: str | None = None,
     end: str | None = None,
     on: tuple[str, ...] = STATION_KEY,
-    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """One row per response of a station: its series, ``keep`` and ``status``."""
-    paired = pair(stations, responses, on, limit)
+    """One row per station that has a response: its series, ``keep`` and ``status``."""
+    paired = pair(stations, responses, on)
     return valid_prefix(parse_daily(paired), MEASURES, ("lat", "lon"), start, end)
 
 
@@ -90,32 +86,47 @@ def land(
 ) -> dict[str, int]:
     """Write the raw rows as CSV and return the report.
 
-    The output is a folder to overwrite, with a subfolder per value of the ``partition_by``
-    columns of the stations. With ``table`` it is the root below which that table is published,
-    so that a failed run leaves the earlier rows in place.
+    The output is a folder to replace, with a subfolder per value of the ``partition_by``
+    columns of the stations. With ``table`` it is the root below which that table is published.
+    Either way rows are written to a new place first, so a failed or empty run leaves the
+    earlier ones.
 
-    Bodies are parsed once: the write also counts stations. Expects one response per
-    station at most; a station without one counts as failed.
+    Stations that succeed are counted by the writing pass itself, unless a shuffle for the
+    number of files lies above them. A station without a response counts as failed. Days
+    outside the range are counted, too.
     """
     spark = stations.sparkSession
     checked = checked_series(stations, responses, start, end, on)
-    if not table and weather_rows(checked, start, end, thresholds).isEmpty():
-        raise NoRowsError("no weather data, nothing written")
-
-    outcome = Observation()
-    counted = checked.observe(outcome, F.count_if(F.col("status") == "ok").alias("successful"))
-    rows = weather_rows(counted, start, end, thresholds, partition_by)
-    if files is not None:
-        # Keep the shuffle for the file count out of the counted pass.
-        rows = written(rows)
+    status = [
+        F.count_if(F.col("status") == "ok").alias("successful"),
+        F.coalesce(F.sum(_left_out(start, end)), F.lit(0)).alias("days_left_out"),
+    ]
+    outcome = None
+    if files is None:
+        outcome = Observation()
+        checked = checked.observe(outcome, *status)
+    rows = weather_rows(checked, start, end, thresholds, partition_by)
     text = schema_as_text(RAW_WEATHER)
     if table:
         publish_table(rows, table, output, "csv", files, read_schema=text, require_rows=True)
     else:
-        write_folder(rows, output, "csv", files, partition_by=partition_by)
-
-    successful = outcome.get["successful"]
-    report = {"successful": successful, "failed": stations.count() - successful}
+        staged = f"{output.rstrip('/')}._new-{uuid.uuid4().hex}"
+        try:
+            written = write_folder(rows, staged, "csv", files, partition_by=partition_by)
+            if written == 0:
+                raise NoRowsError("no weather data, nothing written")
+            replace_folder(spark, staged, output)
+        except Exception:
+            discard_folder(spark, staged)
+            raise
+
+    counted = outcome.get if outcome else checked.agg(*status).first().asDict()
+    successful = counted["successful"]
+    report = {
+        "successful": successful,
+        "failed": stations.count() - successful,
+        "days_left_out": counted["days_left_out"],
+    }
     try:
         landed = spark.table(table) if table else read_folder(spark, output, "csv", text)
         report.update(load_report(landed).first().asDict())
@@ -126,14 +137,27 @@ def land(
     return report
 
 
+def _left_out(start: str | None, end: str | None) -> Column:
+    """Days of a station's series outside the range."""
+    if start is None and end is None:
+        return F.lit(0)
+    outside = F.filter("time", lambda day: ~in_range(day, start, end))
+    return F.when(F.col("time").isNotNull(), F.size(outside))
+
+
+def _registry(spark: SparkSession, registry: str | DataFrame) -> DataFrame:
+    """A document's path, or a table with position, station_name, lat and lon."""
+    return read_registry(spark, registry) if isinstance(registry, str) else registry
+
+
 def initial_load(
     spark: SparkSession,
-    registry: str,
+    registry: str | DataFrame,
     responses: str,
     output: str,
     batch: int | None = None,
-    start: str = BACKFILL_START,
-    end: str = BACKFILL_END,
+    start: str | None = None,
+    end: str | None = None,
     files: int | str | None = None,
     responses_format: str = "json",
     thresholds: Thresholds = Thresholds(),
@@ -142,34 +166,38 @@ def initial_load(
     last_batch: int = LAST_BATCH,
     table: str | None = None,
 ) -> dict[str, int]:
-    """Backfill one batch of stations, or all at once: as one table, or as a folder with a
-    subfolder per batch.
+    """Load all stations and all landed days: as one table, or as a folder with a subfolder per
+    batch. A batch or dates, if given, leave the others out, and the report says how many.
+
+    The registry is a document's path or a table of stations.
     """
-    stations = read_registry(spark, registry)
+    stations = everyone = _registry(spark, registry)
     partition_by = ()
     if batch is not None:
         stations = in_batch(stations, batch, batch_size, last_batch)
     elif not table:
         stations = with_batch(stations, batch_size, last_batch)
         partition_by = ("batch",)
-    # The document is parsed once, and an entry without its keys fails the job right here.
-    stations = written(stations)
     landed = read_responses(spark, responses, responses_format, on)
-    return land(
+    report = land(
         stations, landed, output, start, end, files, thresholds, on, partition_by, table
     )
+    left_out = 0
+    if batch is not None:
+        left_out = everyone.select("position").count() - report["successful"] - report["failed"]
+    return {**report, "stations_left_out": left_out}
 
 
 def periodic_update(
     spark: SparkSession,
     arrivals: str,
-    registry: str,
+    registry: str | DataFrame,
     responses: str,
     output: str,
-    batch: int | None = 0,
+    batch: int | None = None,
     **options,
 ) -> dict[str, int]:
-    """Load the date range named by the newest arrived file; the first batch by default.
+    """Load the date range named by the newest arrived file, for all stations unless told.
 
     Takes the options of ``initial_load`` but for the dates.
     """

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import re
+import uuid
 
 from pyspark.sql import SparkSession, types as T
 
@@ -11,8 +13,8 @@ from dayledger.operators.combine import base_plus_delta, matched
 from dayledger.schemas import DELAYS, WEATHER
 from dayledger.sinks.folders import PARQUET_OPTIONS
 from dayledger.sinks.publish import (
+    define_table,
     expect_kind,
-    point_table,
     publish_table,
     publish_union,
     write_version,
@@ -40,10 +42,17 @@ def rebuild(
 
     Returns the number of rows.
     """
+    _look_again(spark, base, delta)
     merged = base_plus_delta(read_table(spark, base), read_table(spark, delta), schema)
     return publish_table(merged, target, root, fmt, files, **options)
 
 
+def _look_again(spark: SparkSession, *tables: str) -> None:
+    """Forget cached listings: files may have come or gone since this session last looked."""
+    for table in tables:
+        spark.catalog.refreshTable(table)
+
+
 def rebuild_changed(
     spark: SparkSession,
     base: str,
@@ -57,39 +66,59 @@ def rebuild_changed(
 ) -> int:
     """The same rows under the same name, but a large base is written only when it changes.
 
-    Base and delta are published as tables of their own, and the target is a view over them.
-    The base's table remembers the files it was made from; if they are still the same, only
-    the delta is written. Returns the number of rows written.
+    The target is a view over finished tables, one for the base and one for the delta. The
+    base's table remembers the files it was made from; if they are still the same, it stays
+    and only the delta is written. One statement then points the view at the new tables, so
+    that readers see old base and delta or new ones. Returns the number of rows written.
+
+    What is remembered are the files before the base is read, and only if they are the same
+    after it is written: a file that comes meanwhile is found by the next run.
     """
     expect_kind(spark, target, view=True)
-    base_rows = read_table(spark, base)
-    delta_rows = matched(base_rows, read_table(spark, delta))
-    base_part, delta_part = f"{target}_base", f"{target}_delta"
+    _look_again(spark, base, delta)
     fingerprint = files_fingerprint(spark, base)
-    changed = {delta_part: delta_rows}
-    if fingerprint is None or fingerprint != _remembered(spark, base_part):
-        changed[base_part] = base_rows
-    versions = {
-        part: write_version(conform(rows, schema), part, root, fmt, files, **options)
-        for part, rows in changed.items()
-    }
-    # Everything is written; only names change from here on.
-    for part, (folder, _) in versions.items():
-        point_table(spark, part, folder, fmt, schema)
-    if base_part in versions:
-        spark.sql(
-            f"ALTER TABLE {base_part} SET TBLPROPERTIES ('{_SOURCE_FILES}' = '{fingerprint}')"
-        )
-    publish_union(spark, target, [base_part, delta_part], schema.names)
-    return sum(rows for _, rows in versions.values())
+    kept = _base_of(spark, target, fingerprint)
+    base_rows = read_table(spark, base)
+    changed = {"delta": matched(base_rows, read_table(spark, delta))}
+    if kept is None:
+        changed["base"] = base_rows
+    made, rows = {}, 0
+    for part, part_rows in changed.items():
+        table = f"{target}_{part}_{uuid.uuid4().hex}"
+        folder, n = write_version(conform(part_rows, schema), table, root, fmt, files, **options)
+        made[part], rows = (table, folder), rows + n
+    for part, (table, folder) in made.items():
+        remembered = {}
+        if part == "base" and fingerprint and fingerprint == files_fingerprint(spark, base):
+            remembered[_SOURCE_FILES] = fingerprint
+        define_table(spark, table, folder, fmt, schema, properties=remembered)
+    tables = [kept or made["base"][0], made["delta"][0]]
+    before = _tables_of(spark, target)
+    publish_union(spark, target, tables, schema.names)
+    # The old files stay for readers that have begun; the names are not needed any more.
+    for table in before:
+        if table not in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return rows
+
 
+def _tables_of(spark: SparkSession, view: str) -> list[str]:
+    """The tables that a published union reads, by the names in its text."""
+    if not spark.catalog.tableExists(view):
+        return []
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {view}")
+    text = described.where("col_name = 'View Text'").first()["data_type"]
+    return re.findall(r"FROM (\S+)", text)
 
-def _remembered(spark: SparkSession, table: str) -> str | None:
-    if not spark.catalog.tableExists(table):
-        return None
-    properties = spark.sql(f"SHOW TBLPROPERTIES {table}").where(f"key = '{_SOURCE_FILES}'")
-    row = properties.first()
-    return row["value"] if row else None
+
+def _base_of(spark: SparkSession, view: str, fingerprint: str | None) -> str | None:
+    """The view's base table, if it was made from just these files."""
+    for table in _tables_of(spark, view)[:1]:
+        properties = spark.sql(f"SHOW TBLPROPERTIES {table}").where(f"key = '{_SOURCE_FILES}'")
+        row = properties.first()
+        if fingerprint is not None and row and row["value"] == fingerprint:
+            return table
+    return None
 
 
 def rebuild_weather(
@@ -136,10 +165,11 @@ def rebuild_all(
     files: int | str | None = None,
     changed_only: bool = False,
     cluster_by: tuple[str, ...] = (),
+    plain: bool = False,
 ) -> dict[str, int]:
     """Delays first, since the view that follows the weather reads both."""
     options = {"files": files, "changed_only": changed_only}
     return {
         "delays": rebuild_delays(spark, root, **options),
-        "weather": rebuild_weather(spark, root, **options, cluster_by=cluster_by),
+        "weather": rebuild_weather(spark, root, **options, cluster_by=cluster_by, plain=plain),
     }

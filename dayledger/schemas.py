@@ -72,9 +72,7 @@ DAILY_SERIES = {
     "precipitation_sum": "precipitation_sum_mm",
 }
 
-# Date range of the backfill, stations per batch, last batch.
-BACKFILL_START = "2025-06-01"
-BACKFILL_END = "2025-11-23"
+# Stations per batch, last batch.
 BATCH_SIZE = 900
 LAST_BATCH = 2
 

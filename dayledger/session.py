@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,10 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
-# Adaptive execution merges what is too small, so a cluster may start from many partitions:
-# a shuffle of 100 TB then has a few GB in each.
-CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768"}
-
 
 def build_session(name: str = "dayledger", master: str | None = None, **settings) -> SparkSession:
     builder = SparkSession.builder.appName(name)
@@ -28,29 +22,23 @@ def build_session(name: str = "dayledger", master: str | None = None, **settings
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    local = spark.sparkContext.master.startswith("local")
-    for key, value in {**SETTINGS, **({} if local else CLUSTER_SETTINGS)}.items():
+    for key, value in SETTINGS.items():
         if not spark.sparkContext.getConf().contains(key):
             spark.conf.set(key, value)
     return spark
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="dayledger-")
-
-
 def working_folder(spark: SparkSession) -> str:
     """A new folder below the shared one that ``spark.checkpoint.dir`` names.
 
-    Where the setting is missing, only a local session gets a folder of its own;
-    a cluster's executors could not see it.
+    Where the setting is missing, a local session works beside its tables, in the
+    warehouse; on a cluster the setting is required.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = _local_folder()
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_working"
     return f"{shared.rstrip('/')}/dayledger-{uuid.uuid4().hex}"
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from dayledger.sources.tables import file_system
 
 # Writer options of the published Parquet table.
 PARQUET_OPTIONS = {
@@ -53,3 +57,27 @@ def write_folder(
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
     return counted.get["rows"]
+
+
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in the place of another, which goes only when that is done.
+
+    Between two renames there is no folder; if the second one fails, the old one comes back.
+    """
+    new, files = file_system(spark, staged)
+    target, _ = file_system(spark, path.rstrip("/"))
+    old, _ = file_system(spark, f"{path.rstrip('/')}._old-{uuid.uuid4().hex}")
+    had = files.exists(target)
+    if had and not files.rename(target, old):
+        raise OSError(f"{path} was not replaced")
+    if not files.rename(new, target):
+        if had:
+            files.rename(old, target)
+        raise OSError(f"{path} was not replaced; the new rows are in {staged}")
+    if had:
+        files.delete(old, True)
+
+
+def discard_folder(spark: SparkSession, path: str) -> None:
+    place, files = file_system(spark, path)
+    files.delete(place, True)

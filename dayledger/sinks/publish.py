@@ -1,4 +1,9 @@
-"""Replace a published table as a whole, without a moment in which it is half written."""
+"""Replace a published table as a whole; readers never see it half written.
+
+Where columns and partitioning stay, one statement moves the table's location. Otherwise the
+new table is made complete under a name of its own, with all partitions, and then takes the old
+one's name: between these two statements of the catalog the name is free for a moment.
+"""
 
 from __future__ import annotations
 
@@ -67,16 +72,39 @@ def point_table(
     """Let the table mean the files in this folder, from now on."""
     if not partition_by and _has_columns(spark, table, schema):
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(folder)}")
-    else:
-        # A partitioned table keeps a location per partition, so it is defined anew.
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        header = "OPTIONS (header 'true')" if fmt == "csv" else ""
-        partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        spark.sql(
-            f"CREATE TABLE {table} ({_columns(schema)}) USING {fmt} {header} "
-            f"{partitions} LOCATION {_text(folder)}"
-        )
-    refresh(spark, table, bool(partition_by))
+        refresh(spark, table)
+        return
+    # A partitioned table keeps a location per partition, so it is defined anew.
+    made = f"{table}_{uuid.uuid4().hex}"
+    try:
+        define_table(spark, made, folder, fmt, schema, partition_by)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {made}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {made} RENAME TO {table}")
+    refresh(spark, table)
+
+
+def define_table(
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    fmt: str,
+    schema: T.StructType,
+    partition_by: tuple[str, ...] = (),
+    properties: dict[str, str] | None = None,
+) -> None:
+    """A new table over a finished folder, with all its partitions."""
+    header = "OPTIONS (header 'true')" if fmt == "csv" else ""
+    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    own = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in (properties or {}).items())
+    spark.sql(
+        f"CREATE TABLE {table} ({_columns(schema)}) USING {fmt} {header} {partitions} "
+        f"LOCATION {_text(folder)} {f'TBLPROPERTIES ({own})' if own else ''}"
+    )
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
 
 
 def publish_table(
@@ -93,8 +121,8 @@ def publish_table(
     """Write a new folder, then point the table at it. Returns the row count.
 
     The plan may read the table that it replaces, since the old folder is left alone. A
-    failed or empty run leaves the table as it was; readers see the old folder or the new
-    one. Old folders stay until they are cleaned up from outside.
+    failed or empty run leaves the table as it was. Old folders stay until they are cleaned
+    up from outside.
     """
     expect_kind(df.sparkSession, table, view=False)
     folder, rows = write_version(df, table, root, fmt, files, partition_by, **options)
@@ -104,9 +132,7 @@ def publish_table(
     return rows
 
 
-def refresh(spark: SparkSession, table: str, partitioned: bool = False) -> None:
-    if partitioned:
-        spark.catalog.recoverPartitions(table)
+def refresh(spark: SparkSession, table: str) -> None:
     try:
         spark.catalog.refreshTable(table)
     except Exception:

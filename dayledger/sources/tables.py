@@ -6,8 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from dayledger.functions.filenames import last_segment
-
 
 def read_table(spark: SparkSession, table: str, database: str | None = None) -> DataFrame:
     return spark.table(f"{database}.{table}" if database else table)
@@ -37,15 +35,28 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def list_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, modificationTime, name) of the files directly in a folder."""
-    parent = re.sub(_ROOT, "", folder).rstrip("/")
-    if parent and not parent.startswith("/"):
+    """(path, modificationTime, name) of the files directly in a folder.
+
+    The file system is asked for this one folder; Spark's readers would list all below it.
+    Names that begin with ``_`` or ``.`` are left out, as in Spark's own listings.
+    """
+    if not folder.startswith("/") and not re.match(_ROOT, folder):
         raise ValueError(f"not an absolute path: {folder}")
-    listing = _files(spark, folder).select(
-        "path", "modificationTime", last_segment(F.col("path")).alias("name")
-    )
-    direct = F.concat(F.lit(f"{parent}/"), F.col("name"))
-    return listing.where(F.regexp_replace("path", _ROOT, "") == direct)
+    place, files = file_system(spark, folder)
+    found = [f for f in files.listStatus(place) if f.isFile()]
+    rows = [
+        (f.getPath().toString(), f.getModificationTime(), f.getPath().getName())
+        for f in found
+        if not f.getPath().getName().startswith(("_", "."))
+    ]
+    listed = spark.createDataFrame(rows, "path string, millis long, name string")
+    return listed.select("path", F.timestamp_millis("millis").alias("modificationTime"), "name")
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, as Hadoop's own objects."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
 def files_fingerprint(spark: SparkSession, table: str) -> str | None:

@@ -34,7 +34,7 @@ def inputs(tmp_path):
     responses = tmp_path / "responses"
     responses.mkdir()
     (responses / "a.json").write_text("\n".join(
-        json.dumps({"station_name": f"S{i}", "status": 503 if i % 10 == 0 else 200, "body": _daily(i)})
+        json.dumps({"position": i, "station_name": f"S{i}", "status": 503 if i % 10 == 0 else 200, "body": _daily(i)})
         for i in range(1000)
     ))
     arrivals = tmp_path / "arrivals"
@@ -58,10 +58,12 @@ def _by_hand(stations, start, end):
     return rows, ok
 
 
-def _report(rows, ok, n):
+def _report(rows, ok, n, days=0, stations=0):
     return {
         "successful": ok,
         "failed": n - ok,
+        "days_left_out": days,
+        "stations_left_out": stations,
         "total_records": len(rows),
         "unique_dates": len({r[1] for r in rows}),
         "unique_stations": len({r[0] for r in rows}),
@@ -84,8 +86,8 @@ def _landed(spark, path):
 def test_initial_load(spark, tmp_path, inputs, batch, stations, files):
     output = str(tmp_path / "out")
     report = initial_load(spark, **inputs[0], output=output, batch=batch, files=files)
-    rows, ok = _by_hand(stations, "2025-06-01", "2025-11-23")
-    assert report == _report(rows, ok, len(stations))
+    rows, ok = _by_hand(stations, DAYS[0], DAYS[9])
+    assert report == _report(rows, ok, len(stations), 0, 1000 - len(stations))
     assert _landed(spark, output) == sorted(rows)
     if batch is None:
         batches = spark.read.csv(output, header=True).groupBy("batch").count().collect()
@@ -112,11 +114,55 @@ def test_repeated_names_are_paired_on_the_position(spark, tmp_path):
 def test_periodic_update(spark, tmp_path, inputs):
     output = str(tmp_path / "out")
     report = periodic_update(spark, inputs[1], **inputs[0], output=output)
+    rows, ok = _by_hand(range(1000), "2025-06-02", "2025-06-04")
+    # Seven of ten days of each response with a body.
+    assert report == _report(rows, ok, 1000, 900 * 7)
+    assert _landed(spark, output) == sorted(rows)
+    first = periodic_update(spark, inputs[1], **inputs[0], output=output, batch=0)
     rows, ok = _by_hand(range(900), "2025-06-02", "2025-06-04")
-    assert report == _report(rows, ok, 900)
+    assert first == _report(rows, ok, 900, 810 * 7, 100)
     assert _landed(spark, output) == sorted(rows)
 
 
+def test_a_registry_may_be_a_table(spark, tmp_path, inputs):
+    stations = spark.range(1000).selectExpr(
+        "cast(id as int) as position", "concat('S', id) as station_name", "47D as lat", "19.5D as lon"
+    )
+    paths = {**inputs[0], "registry": stations}
+    report = periodic_update(spark, inputs[1], **paths, output=str(tmp_path / "out"))
+    rows, ok = _by_hand(range(1000), "2025-06-02", "2025-06-04")
+    assert report == _report(rows, ok, 1000, 900 * 7)
+
+
+def test_a_response_landed_again_counts_once(spark, tmp_path):
+    names = ["A", "A", None]
+    registry = spark.createDataFrame(
+        [(i, name, 1.0, 2.0) for i, name in enumerate(names)],
+        "position int, station_name string, lat double, lon double",
+    )
+    lines = [{"position": i, "station_name": n, "body": _daily(i + 1)} for i, n in enumerate(names)]
+    lines += [lines[0], lines[0], {**lines[1], "status": 503}, {**lines[0], "position": None}]
+    (tmp_path / "r.json").write_text("\n".join(json.dumps(line) for line in lines))
+    report = initial_load(spark, registry, str(tmp_path / "r.json"), str(tmp_path / "out"))
+    assert (report["successful"], report["failed"], report["total_records"]) == (3, 0, 30)
+    assert report["unique_stations"] == 1
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark, tmp_path, inputs, monkeypatch):
+    from dayledger.plans import landing
+
+    output = str(tmp_path / "out")
+    initial_load(spark, **inputs[0], output=output, batch=1)
+    before = _landed(spark, output)
+    for step in ("write_folder", "replace_folder"):
+        with monkeypatch.context() as broken:
+            broken.setattr(landing, step, lambda *a, **b: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError, match="lost"):
+                initial_load(spark, **inputs[0], output=output)
+        assert _landed(spark, output) == before
+        assert [p.name for p in tmp_path.iterdir() if "._" in p.name] == []
+
+
 @pytest.mark.parametrize("files", [None, 2])
 def test_counts_are_exact_when_tasks_fail(spark, tmp_path, files):
     """Every task fails twice after it has handed on all its rows."""
@@ -133,7 +179,7 @@ def test_counts_are_exact_when_tasks_fail(spark, tmp_path, files):
     responses = spark.createDataFrame(rows, kind).repartition(4).mapInPandas(lose, kind)
     stations = spark.createDataFrame([(f"S{i}", 1.0, 2.0) for i in range(150)],
                                      "station_name string, lat double, lon double")
-    report = land(stations, responses, str(tmp_path / "out"), None, None, files)
+    report = land(stations, responses, str(tmp_path / "out"), None, None, files, on=("station_name",))
     assert (report["successful"], report["failed"]) == (120, 30)
     assert report["total_records"] == 120 * 10 + 20 * 4
     assert len(_landed(spark, str(tmp_path / "out"))) == report["total_records"]
@@ -177,7 +223,7 @@ def test_from_landing_to_view(spark, tmp_path, inputs):
         spark, inputs[1], **inputs[0], output=root, table="weather_last_week", files="auto"
     )
     assert loaded == _report(*_by_hand(range(1000), DAYS[0], DAYS[9]), 1000)
-    assert updated == _report(*_by_hand(range(900), "2025-06-02", "2025-06-04"), 900)
+    assert updated == _report(*_by_hand(range(1000), "2025-06-02", "2025-06-04"), 1000, 900 * 7)
     with pytest.raises(NoRowsError):
         initial_load(spark, **inputs[0], output=root, table="weather_initial", start="2030-01-01")
     assert spark.table("weather_initial").count() == loaded["total_records"]
@@ -253,6 +299,16 @@ def test_unchanged_base_is_not_written_again(spark, tmp_path):
     assert run(target="c_all", changed_only=True) == 1
     assert _rows(spark, "c_all") == [("A", 1.0, 1), ("B", 2.0, 1), ("C", 3.0, 1)]
 
+    # By hand, without a word to this session: one file more, then one less.
+    extra = tmp_path / "c_base" / "b.csv"
+    extra.write_text(",".join(DELAYS.names) + "\n2025-06-04,D,4.0,1,4.0\n")
+    assert run(target="c_all", changed_only=True) == 4
+    assert run(target="c_whole") == 4
+    assert _rows(spark, "c_all") == _rows(spark, "c_whole")
+    assert ("D", 4.0, 1) in _rows(spark, "c_all")
+    extra.unlink()
+    assert run(target="c_all", changed_only=True) == 3
+
     _text_table(spark, tmp_path, "c_base", ["2025-06-01,Z,9.0,1,9.0"])
     assert run(target="c_all", changed_only=True) == 2
     assert _rows(spark, "c_all") == [("C", 3.0, 1), ("Z", 9.0, 1)]
@@ -260,6 +316,34 @@ def test_unchanged_base_is_not_written_again(spark, tmp_path):
     assert _rows(spark, "c_whole") == _rows(spark, "c_all")
 
 
+def test_a_base_file_that_comes_while_writing_is_found_by_the_next_run(
+    spark, tmp_path, monkeypatch
+):
+    from dayledger.plans import rebuild as module
+
+    root = str(tmp_path / "published")
+    names = {"base": "m_base", "delta": "m_delta", "target": "m_all", "changed_only": True}
+    _text_table(spark, tmp_path, "m_base", ["2025-06-01,A,1.0,1,1.0"])
+    _text_table(spark, tmp_path, "m_delta", ["2025-06-02,B,2.0,1,2.0"])
+    write = module.write_version
+
+    def slow(df, table, *rest, **options):
+        done = write(df, table, *rest, **options)
+        if "_base_" in table:
+            late = tmp_path / "m_base" / "late.csv"
+            late.write_text(",".join(DELAYS.names) + "\n2025-06-04,D,4.0,1,4.0\n")
+        return done
+
+    with monkeypatch.context() as patched:
+        patched.setattr(module, "write_version", slow)
+        rebuild_delays(spark, root, **names)
+    assert rebuild_delays(spark, root, **names) == 3
+    assert len(_rows(spark, "m_all")) == 3
+    # The view reads two tables, and no others are left behind.
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith("m_all_")]
+    assert len(left) == 2
+
+
 def test_command_line(monkeypatch, capsys, spark, tmp_path, inputs):
     from dayledger import __main__ as command
 
@@ -272,12 +356,12 @@ def test_command_line(monkeypatch, capsys, spark, tmp_path, inputs):
     paths += ["--output", str(tmp_path / "out")]
     updated = run("periodic-update", *paths, "--arrivals", inputs[1], "--files", "1",
                   "--table", "l_delta")
-    assert updated == _report(*_by_hand(range(900), "2025-06-02", "2025-06-04"), 900)
+    assert updated == _report(*_by_hand(range(1000), "2025-06-02", "2025-06-04"), 1000, 900 * 7)
     loaded = run("initial-load", *paths, "--start", DAYS[0], "--end", DAYS[1], "--on",
                  "station_name", "--batch", "1", "--table", "l_base")
-    assert loaded == _report(*_by_hand(range(900, 1000), DAYS[0], DAYS[1]), 100)
+    assert loaded == _report(*_by_hand(range(900, 1000), DAYS[0], DAYS[1]), 100, 90 * 8, 900)
     rows = run("rebuild-weather", "--root", str(tmp_path / "published"), "--base", "l_base",
                "--delta", "l_delta", "--target", "l_all", "--view", "l_view", "--delays",
-               "no_such_table", "--cluster-by", "date")
+               "no_such_table", "--cluster-by", "date", "--plain")
     assert rows == updated["total_records"] + loaded["total_records"]
     assert spark.table("l_all").count() == rows

@@ -1,11 +1,9 @@
-"""The bounded join gives the same rows on each of its ways."""
+"""The null-safe join: rows, columns and plan."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from dayledger.operators.joining import bounded_join, measured_bytes
-
-SMALL_LIMIT = 64 * 1024 * 1024
+from dayledger.operators.joining import null_safe_join
 
 
 @pytest.fixture(scope="module")
@@ -31,46 +29,45 @@ def _expected(sides, how):
     )
 
 
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("limit", [SMALL_LIMIT, 0, 200])
-def test_same_rows_below_and_beyond_the_limit(spark, sides, how, limit):
-    joined = bounded_join(*sides, ["key"], how, limit).select("key", "value", "number")
-    assert sorted((tuple(r) for r in joined.collect()), key=str) == _expected(sides, how)
-
-
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_same_rows_without_hot_keys(spark, how):
-    big = spark.range(6000).selectExpr("id % 3000 as key", "id as value")
-    small = spark.range(0, 4000, 2).selectExpr("id as key", "id * 10 as number")
-    joined = bounded_join(big, small, ["key"], how, limit=0).select("key", "value", "number")
-    assert sorted((tuple(r) for r in joined.collect()), key=str) == _expected((big, small), how)
-
-
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+def test_same_rows_with_and_without_broadcast(spark, sides, how, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        joined = null_safe_join(*sides, ["key"], how).select("key", "value", "number")
+        assert sorted((tuple(r) for r in joined.collect()), key=str) == _expected(sides, how)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_small_side_is_broadcast_only_below_the_limit(spark, sides):
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_other_columns_may_share_a_name(spark, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        below = _plan(bounded_join(*sides, ["key"], "inner"))
-        assert "BroadcastHashJoin" in below and "Exchange hashpartitioning" not in below
-        beyond = _plan(bounded_join(*sides, ["key"], "inner", limit=200))
-        assert "SortMergeJoin" in beyond
-        hot, rest = beyond.split("SortMergeJoin", 1)
-        assert "BroadcastHashJoin" in hot and "Exchange hashpartitioning" not in hot
-        assert "LeftAnti" in rest
+        big = spark.range(3000).selectExpr("id % 10 as key", "id as note")
+        small = spark.range(10).selectExpr("id as key", "id * 2 as note")
+        joined = null_safe_join(big, small, ["key"])
+        assert joined.columns == ["key", "note", "note"]
+        assert joined.count() == 3000
+        assert joined.select(small["note"]).agg(F.sum("note")).first()[0] == 300 * 90
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_measured_bytes(spark):
-    df = spark.createDataFrame([("abc", 1), (None, 2)], "a string, b int")
-    assert 2 * 2 * 8 <= measured_bytes(df) <= 100
-    assert measured_bytes(df.limit(0)) == 0
+def test_no_job_starts_and_the_big_side_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "big")
+    spark.range(100).selectExpr("id as key", "id as value").write.parquet(path)
+    spark.sparkContext.setJobGroup("planning", "join")
+    joined = null_safe_join(spark.read.schema("key long, value long").parquet(path),
+                            spark.range(10).withColumnRenamed("id", "key"), ["key"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert plan.count("FileScan parquet") == 1
 
 
 def test_other_join_types_are_refused(spark, sides):
     with pytest.raises(ValueError):
-        bounded_join(*sides, ["key"], "full")
+        null_safe_join(*sides, ["key"], "full")

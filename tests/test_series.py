@@ -68,7 +68,7 @@ def checked(spark):
     responses = spark.createDataFrame(
         [(name, case[0]) for name, case in CASES.items()], "station_name string, body string"
     )
-    return stations, checked_series(stations, responses)
+    return stations, checked_series(stations, responses, on=("station_name",))
 
 
 def test_prefix_and_status(checked):
@@ -84,7 +84,7 @@ def test_prefix_and_status(checked):
 def test_status_counts_stations_without_response(checked):
     stations, series = checked
     ok = sum(case[2] == "ok" for case in CASES.values())
-    row = load_status(station_status(stations, series)).first()
+    row = load_status(station_status(stations, series, ("station_name",))).first()
     assert (row["successful"], row["failed"]) == (ok, len(CASES) - ok + 1)
 
 
@@ -102,7 +102,7 @@ def _load(spark, stations, responses, **options):
     s = spark.createDataFrame(stations, "station_name string, lat double, lon double")
     r = spark.createDataFrame(responses, "station_name string, body string")
     range_ = {k: options[k] for k in ("start", "end") if k in options}
-    series = checked_series(s, r, **options)
+    series = checked_series(s, r, on=("station_name",), **options)
     return series, weather_rows(series, **range_)
 
 
@@ -228,8 +228,7 @@ def test_same_rows_from_a_stream(spark, tmp_path, checked):
     assert spark.table("streamed").count() == rows(responses).count() > 0
 
 
-@pytest.mark.parametrize("limit", [64 * 1024 * 1024, 0])
-def test_prefix_of_rows_with_a_hot_key(spark, limit):
+def test_prefix_of_rows_with_a_hot_key(spark):
     """A third of the rows, many of them copies, belong to one key; keys may be NULL."""
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot")
@@ -239,7 +238,7 @@ def test_prefix_of_rows_with_a_hot_key(spark, limit):
         (F.col("id") % 700).alias("pos"),
         (F.xxhash64("id") % 97 == 0).alias("bad"),
     )
-    kept = valid_prefix_rows(rows, ["key"], "pos", F.col("bad"), limit)
+    kept = valid_prefix_rows(rows, ["key"], "pos", F.col("bad"))
     data = [tuple(r) for r in rows.collect()]
     first = {}
     for key, pos, bad in data:
@@ -248,3 +247,14 @@ def test_prefix_of_rows_with_a_hot_key(spark, limit):
     expected = sorted((r for r in data if r[0] not in first or r[1] < first[r[0]]), key=str)
     assert "hot" in first
     assert sorted((tuple(r) for r in kept.collect()), key=str) == expected
+
+
+def test_a_bad_row_without_position_takes_its_key_along(spark):
+    rows = spark.createDataFrame(
+        [("a", None, True), ("a", 1, False), ("b", None, False), ("b", 1, False), ("b", 2, True),
+         ("c", None, False), ("c", 5, False)],
+        "key string, pos int, bad boolean",
+    )
+    kept = valid_prefix_rows(rows, ["key"], "pos", F.col("bad"))
+    expected = {("b", None), ("b", 1), ("c", None), ("c", 5)}
+    assert {(r["key"], r["pos"]) for r in kept.collect()} == expected
