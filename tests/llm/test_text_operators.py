@@ -1,0 +1,383 @@
+"""Tokenizers, SimHash, languages and language models against brute force on small tables."""
+
+import base64
+import hashlib
+import math
+import os
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+
+from dayledger.llm import bpe, counts, langid, lm, simhash, tokenfile, words
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+SCHEMA = "doc_id long, text string, lang string, token_ids string, extra int"
+
+TEXTS = [
+    None,
+    "",
+    " ",
+    "\n\n  \t",
+    "a",
+    "Hello  world, it's 3.14!  \n New line ́ x y don't WE'LL",
+    "<|startoftext|>a <|endoftext|> b<|endoftext|>",
+    "Grüße aus Köln — ΣΊΣΥΦΟΣ İstanbul ﬁne Å Å 你好 🙂🙂 \x1c\x85 tab\tx",
+    "x" * 3000 + " " + "ab" * 700,
+    " leading and trailing ",
+    "alpha beta gamma delta epsilon " * 400,
+    "alpha beta gamma delta epsilon " * 400,
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en" if i % 2 else None, "mine", i) for i, t in enumerate(TEXTS)]
+    rows += [(3, TEXTS[5], "en", None, None), (None, "no key here", None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+
+
+def _reference():
+    path = public_tokenizers.path(bpe.RANKS)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+
+
+# ---------------------------------------------------------------- byte-level BPE
+
+
+def test_bpe_is_the_librarys_and_comes_back(docs):
+    reference = _reference()
+    back = bpe.decode(bpe.encode(docs)).collect()
+    assert len(back) == docs.count()
+    assert back[0].asDict().keys() == {"doc_id", "text", "lang", "extra", "token_ids", "decoded"}
+    for r in back:
+        assert r["token_ids"] == reference.encode_ordinary(r["text"] or "")
+        assert bytes(r["decoded"]).decode() == (r["text"] or "")
+
+
+def test_bpe_on_a_whole_table(given):
+    reference = _reference()
+    found = {r["doc_id"]: r for r in bpe.round_trip(given).collect()}
+    for r in given.collect():
+        ids = reference.encode_ordinary(r["text"] or "")
+        row = found[r["doc_id"]]
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
+
+
+def test_bpe_recursion_and_heap_agree():
+    codec = bpe.codec(public_tokenizers.path(bpe.RANKS), public_tokenizers.PATTERN)
+    random.seed(3)
+    raws = [bytes(random.choices(b"abcdeinrst ", k=random.randint(2, 60))) for _ in range(300)]
+    found = codec._contract([(raw.decode(), raw) for raw in dict.fromkeys(raws)])
+    assert all(found[raw.decode()] == codec._contract_long(raw) for raw in raws)
+
+
+def test_unknown_ids_are_refused(spark):
+    bad = spark.createDataFrame([([1, 99_999_999],)], "token_ids array<int>")
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        bpe.decode(bad).collect()
+    none = spark.createDataFrame([(None,), ([],)], "token_ids array<int>")
+    assert [bytes(r["decoded"]) for r in bpe.decode(none).collect()] == [b"", b""]
+
+
+# ---------------------------------------------------------------- counts and token files
+
+
+def _library(name):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_counts_are_the_librarys(docs, name):
+    if name.endswith(".model"):
+        import sentencepiece
+
+        path = public_tokenizers.path(name)
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        encode = model.encode
+    else:
+        library = _library(name)
+
+        def encode(text):
+            return library.encode(text, add_special_tokens=False).ids
+
+    found = counts.count_tokens(docs, tokenizer_path=public_tokenizers.path(name), limit=50)
+    rows = Counter(map(tuple, found.collect()))
+    expected = Counter()
+    for r in docs.collect():
+        text = r["text"] or ""
+        n = len(encode(text)) if text else 0
+        expected[r["doc_id"], len(text.encode()), n, n > 50] += 1
+    assert rows == expected
+
+
+def test_counts_on_a_whole_table(given):
+    library = _library("word_bpe_49k.json")
+    found = {r["doc_id"]: r["n_tokens"] for r in counts.count_tokens(given).collect()}
+    for r in given.collect():
+        assert found[r["doc_id"]] == len(library.encode(r["text"] or "", add_special_tokens=False).ids)
+
+
+def test_proved_strings_are_one_token():
+    single = counts.single_tokens(public_tokenizers.path("word_bpe_49k.json"))
+    library = _library("word_bpe_49k.json")
+    assert len(single) > 10_000 and "the" in single
+    for text in random.Random(1).sample(sorted(single), 500):
+        assert len(library.encode(text, add_special_tokens=False).ids) == 1
+    assert counts.single_tokens(public_tokenizers.path("byte_bpe_50k.json")) == frozenset()
+
+
+def test_token_file_comes_back(spark, docs, tmp_path):
+    library = _library("word_bpe_49k.json")
+    tokenfile.write_token_file(tokenfile.encode_ids(docs), str(tmp_path / "f"))
+    back = tokenfile.read_token_file(spark, str(tmp_path / "f")).orderBy("start").collect()
+    expected = []
+    for r in docs.collect():
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        raw = np.array([*ids, 2], "<i4").tobytes()
+        expected.append((r["doc_id"] is not None, r["doc_id"] or 0, raw))
+    expected.sort()
+    start = 0
+    assert len(back) == len(expected)
+    for row, (known, key, raw) in zip(back, expected, strict=True):
+        assert (row["doc_id"], row["start"]) == (key if known else None, start)
+        assert bytes(row["ids"]) == raw
+        start += len(raw) // 4
+
+
+def test_an_empty_token_file(spark, docs, tmp_path):
+    none = tokenfile.encode_ids(docs.limit(0))
+    tokenfile.write_token_file(none, str(tmp_path / "f"))
+    assert tokenfile.read_token_file(spark, str(tmp_path / "f")).count() == 0
+
+
+def _huffman_bits(weights):
+    import heapq
+
+    heap = [(w, 0) for w in weights]
+    heapq.heapify(heap)
+    total = 0
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap)[0], heapq.heappop(heap)[0]
+        total += a + b
+        heapq.heappush(heap, (a + b, 0))
+    return total
+
+
+def test_code_lengths_are_optimal_and_limited():
+    random.seed(5)
+    for n in (1, 2, 3, 10, 300):
+        weights = np.array([random.randint(1, 50) ** 2 for _ in range(n)])
+        lengths = tokenfile.code_lengths(weights, 30)
+        assert sum(2.0**-length for length in lengths) <= 1
+        if n > 1:
+            assert (weights * lengths).sum() == _huffman_bits(weights.tolist())
+    skewed = np.array([2**k for k in range(20)])
+    lengths = tokenfile.code_lengths(skewed, 8)
+    assert lengths.max() <= 8 and sum(2.0**-length for length in lengths) <= 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 70_000])
+def test_code_round_trip(n):
+    ids = np.random.default_rng(n).zipf(1.3, n).clip(max=5000).astype(np.int32)
+    used, weights = np.unique(np.append(ids, [7, 9]), return_counts=True)
+    code = tokenfile.Code(used, tokenfile.code_lengths(weights, 16))
+    payload, checkpoints, bits = code.encode(ids)
+    assert len(payload) * 8 >= bits and len(checkpoints) == -(-n // tokenfile.STEP)
+    assert (code.decode(payload, checkpoints, n) == ids).all()
+
+
+# ---------------------------------------------------------------- SimHash
+
+
+def _fingerprint(text, shingle):
+    text = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    own = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not own:
+        return 0
+    shingles = [" ".join(own[k : k + shingle]) for k in range(max(1, len(own) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _components(prints, distance=2):
+    parent = list(range(len(prints)))
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= distance:
+                parent[find(i)] = find(j)
+    return [find(i) for i in range(len(prints))]
+
+
+def test_golay_words_meet_within_two_bits():
+    random.seed(2)
+    for distance in (0, 1, 2):
+        a = np.array([random.getrandbits(23) for _ in range(4000)])
+        b = a.copy()
+        for k in range(len(b)):
+            for bit in random.sample(range(23), distance):
+                b[k] ^= 1 << bit
+        for x, y in zip(simhash.code_words(a), simhash.code_words(b), strict=True):
+            assert {*x[x >= 0]} & {*y[y >= 0]}
+    assert {(row >= 0).sum() for row in simhash.code_words(a)} == {1, 6}
+
+
+@pytest.mark.parametrize("crowd", [1, 24])
+def test_near_duplicates_against_all_pairs(spark, crowd):
+    """Fingerprints made so that chains, crowds and lone ones occur."""
+    random.seed(11)
+    prints = []
+    for _ in range(30):
+        at = random.getrandbits(64)
+        for _ in range(random.choice([1, 2, 5, 40])):
+            prints.append(at)
+            for _ in range(random.choice([0, 1, 2, 3])):
+                at ^= 1 << random.randrange(64)
+    prints = list(dict.fromkeys(prints))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    values = spark.createDataFrame([(p,) for p in signed], "fingerprint long")
+    from dayledger.llm.common import connected_components
+
+    found = connected_components(simhash.links(values, crowd=crowd))
+    groups = dict(map(tuple, found.collect()))
+    root = _components(prints)
+    least = {}
+    for p, r in zip(signed, root, strict=True):
+        least[r] = min(least.get(r, p), p)
+    assert {p: groups.get(p, p) for p in signed} == {p: least[r] for p, r in zip(signed, root, strict=True)}
+
+
+def test_near_duplicates_on_texts(docs, given):
+    for df in (docs, given):
+        rows = df.select("doc_id", "text").collect()
+        prints = [_fingerprint(r["text"], 3) for r in rows]
+        root = _components(prints)
+        least = {}
+        for r, k in zip(rows, root, strict=True):
+            if r["doc_id"] is not None:
+                least[k] = min(least.get(k, r["doc_id"]), r["doc_id"])
+        expected = Counter(
+            (r["doc_id"], f"{p:016x}", least.get(k)) for r, p, k in zip(rows, prints, root, strict=True)
+        )
+        assert Counter(map(tuple, simhash.near_duplicates(df).collect())) == expected
+
+
+def test_no_documents(spark, docs):
+    empty = docs.limit(0)
+    assert simhash.near_duplicates(empty).count() == 0
+    assert bpe.round_trip(empty).count() == 0
+    assert counts.count_tokens(empty).count() == 0
+    assert langid.predict(empty, langid.fit(empty)).count() == 0
+    assert lm.score(empty).count() == 0
+
+
+def test_a_wider_distance_is_refused(docs):
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(docs, distance=3)
+
+
+# ---------------------------------------------------------------- languages
+
+
+def test_held_out_languages(spark):
+    found = langid.op9_language(spark, "/root/testdata/sf0.01")
+    labelled = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    rows = found.join(labelled, "doc_id").where("held_out").collect()
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 for r in rows)
+    right = sum(r["lang"] == r["lang_pred"] for r in rows)
+    assert right >= 0.98 * len(rows) > 100
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_languages_of_odd_texts(docs):
+    model = langid.fit(docs)
+    rows = langid.predict(docs, model).collect()
+    assert docs.columns + ["lang_pred", "score"] == list(rows[0].asDict())
+    for r in rows:
+        letter = any(c.isalpha() for c in r["text"] or "")
+        assert r["lang_pred"] == ("en" if letter else "und")
+        assert (r["score"] == 0) != letter
+
+
+def test_the_bound_on_training_rows_holds(spark):
+    rows = spark.range(3000).selectExpr("id as doc_id", "concat('w', id, ' der die das') as text",
+                                        "if(id % 3 = 0, 'de', 'xx') as lang")
+    model = langid.fit(rows, per_language=50)
+    assert model.langs == ["de", "xx"] and len(model.families) == 2
+
+
+# ---------------------------------------------------------------- language model
+
+
+def _tokens(text):
+    text = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", text), ""]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_scores(spark, docs, small):
+    df = docs if small else spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    options = {"block_chars": 500, "bucket_words": 7} if small else {}
+    source = df.select("doc_id", "text").collect()
+
+    def out(key):
+        return key is not None and zlib.crc32(str(key).encode()) % 5 == 1
+
+    seen = Counter()
+    for r in source:
+        if r["doc_id"] is not None and not out(r["doc_id"]):
+            seen.update(_tokens(r["text"]))
+    n, v = sum(seen.values()), len(seen)
+    found = Counter()
+    total = [0.0, 0.0]
+    for r in lm.score(df, **options).collect():
+        assert r["train_tokens"] == n and r["score"] < 0
+        found[r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], round(r["base_score"], 4)] += 1
+        if r["held_out"]:
+            total[0] += r["base_score"]
+            total[1] += r["score"]
+    expected = Counter()
+    for r in source:
+        own = _tokens(r["text"])
+        base = sum(math.log10((seen[w] + 0.5) / (n + 0.5 * (v + 1))) for w in own)
+        known = sum(seen[w] > 0 for w in own)
+        expected[r["doc_id"], out(r["doc_id"]), len(own), known, round(base, 4)] += 1
+    assert found == expected
+    if not small:
+        assert total[1] > 0.97 * total[0]  # held-out texts are more likely than by counts alone
+
+
+def test_probabilities_come_to_one():
+    pairs = np.random.default_rng(1).integers(0, 9, (40, 40)).astype(float)
+    table = lm.train(pairs, width=8, steps=300).log10_table()
+    assert np.allclose((10**table).sum(axis=1), 1)
+    share = pairs / pairs.sum(axis=1, keepdims=True)
+    unigram = pairs.sum(axis=0) / pairs.sum()
+    known = pairs > 0
+    model = (share * table)[known].sum()
+    assert model > (share * np.log10(np.maximum(unigram, 1e-9)))[known].sum()
