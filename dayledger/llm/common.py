@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,7 +19,7 @@ BATCH_BYTES = 8 << 20
 BLOCK_CHARS = 4 << 20
 
 __all__ = [
-    "BLOCK_CHARS", "connected_components", "map_batches", "map_blocks", "table", "text_blocks", "to_driver",
+    "BLOCK_CHARS", "claim", "connected_components", "kept_in_worker", "map_batches", "map_blocks", "table", "text_blocks", "to_driver",
     "working_folder", "written",
 ]
 
@@ -69,19 +71,53 @@ def map_blocks(
         for block in text_blocks(batches, text, chars):
             yield function(block)
 
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, function.__module__)
 
 
 def map_batches(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str,
+    owner: str | None = None,
 ) -> DataFrame:
     """``mapInArrow`` with batches of bounded size, unless the session says otherwise."""
+    owner = owner or function.__module__
     spark = df.sparkSession
     if spark.conf.get(_LIMIT, None) is None:
         spark.conf.set(_LIMIT, str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(owner)
+        yield from function(batches)
+
+    return df.mapInArrow(run, schema)
+
+
+_caches: list = []
+_owner = [""]
+
+
+def kept_in_worker(make: Callable) -> Callable:
+    """``functools.cache`` whose values a worker drops when it works for another operator.
+
+    A worker process outlives its tasks; without this, what one stage of a pipeline has kept
+    would lie beside what the next one keeps.
+    """
+    cached = cache(make)
+    _caches.append((make.__module__, cached))
+    return cached
+
+
+def claim(owner: str) -> None:
+    """From now on this worker works for the module ``owner``."""
+    if owner == _owner[0]:
+        return
+    _owner[0] = owner
+    for module, cached in _caches:
+        if module not in (owner, f"{__package__}.words"):
+            cached.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def to_driver(df: DataFrame, bound: int) -> list:

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import map_blocks, table, text_blocks, to_driver, working_folder, written
+from .common import kept_in_worker, map_batches, map_blocks, table, text_blocks, to_driver, working_folder, written
 from .words import Pieces, rows_of, words
 
 TOKENIZER = "word_bpe_49k.json"
@@ -37,13 +36,13 @@ CODE_BITS = 16
 #: Ids that a code may have at most: lengths and ranks go through the driver.
 ALPHABET = 1 << 21
 #: Bytes of ids in a block, but for a single longer row.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 # ---------------------------------------------------------------- ids
 
 
-@cache
+@kept_in_worker
 def _pieces(path: str) -> Pieces:
     return Pieces(words(path))
 
@@ -157,19 +156,20 @@ class Code:
         return out.astype(">u4").tobytes(), at, bits
 
     def decode(self, payload: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
-        raw = np.frombuffer(payload, np.uint8)
-        raw = np.concatenate([raw, np.zeros(8, np.uint8)]).astype(np.int64)
+        raw = np.concatenate([np.frombuffer(payload, np.uint8), np.zeros(8, np.uint8)])
+        raw = raw.astype(np.uint32)
         # Four bytes from each byte on, as one number.
         window = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
-        out = np.empty((len(checkpoints), STEP), np.int32)
+        out = np.empty((STEP, len(checkpoints)), np.int32)
         at = checkpoints.astype(np.int64)
-        mask, top = (1 << self.bits) - 1, 32 - self.bits
+        mask, top = np.uint32((1 << self.bits) - 1), 32 - self.bits
         last = 8 * (len(window) - 1)
         for k in range(STEP):
-            slot = (window[at >> 3] >> (top - (at & 7))) & mask
-            out[:, k] = self.symbol_at[slot]
-            at = np.minimum(at + self.length_at[slot], last)  # past the end in the last lane only
-        return out.reshape(-1)[:n]
+            slot = (window[at >> 3] >> (top - (at & 7)).astype(np.uint32)) & mask
+            out[k] = self.symbol_at[slot]
+            at += self.length_at[slot]
+            np.minimum(at, last, out=at)  # past the end in the last lane only
+        return out.T.reshape(-1)[:n]
 
 
 # ---------------------------------------------------------------- files
@@ -178,13 +178,14 @@ class Code:
 def _id_counts(rows: DataFrame, width: int) -> DataFrame:
     def run(block: pa.RecordBatch) -> pa.RecordBatch:
         raw = b"".join(x or b"" for x in block.column("ids").to_pylist())
-        flat = np.frombuffer(raw, f"<u{width}")
-        ids, n = np.unique(flat, return_counts=True) if len(flat) else (flat, flat)
+        counts = np.bincount(np.frombuffer(raw, f"<u{width}"))
+        ids = np.flatnonzero(counts)
+        n = counts[ids]
         return pa.record_batch(
             {"id": pa.array(ids, pa.int32()), "n": pa.array(n, pa.int64())}
         )
 
-    counted = map_blocks(rows.select("ids"), run, "id int, n long", "ids", 8 * BLOCK_BYTES)
+    counted = map_blocks(rows.select("ids"), run, "id int, n long", "ids", 16 * BLOCK_BYTES)
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -229,7 +230,8 @@ def write_token_file(
 
     # A range of keys per task, sorted; hot keys do not matter, as a document is one row.
     ordered = rows.select(key, "ids").repartitionByRange(key).sortWithinPartitions(key, "ids")
-    ordered.mapInArrow(
+    map_batches(
+        ordered,
         run,
         f"part int, block long, ids_before long, n_ids long, bits long, keys array<{kind}>, "
         "lengths array<long>, checkpoints binary, payload binary",
@@ -270,7 +272,7 @@ def read_token_file(spark: SparkSession, folder: str, key: str = "doc_id") -> Da
                     }
                 )
 
-    return blocks.join(starts, "part").mapInArrow(run, f"{key} {kind}, start long, ids binary")
+    return map_batches(blocks.join(starts, "part"), run, f"{key} {kind}, start long, ids binary")
 
 
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:

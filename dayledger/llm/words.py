@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 import regex
 
 #: What a worker keeps at most: pieces and pre-tokens. What comes first stays.
-PIECES, PARTS = 400_000, 250_000
+PIECES, PARTS = 350_000, 200_000
 
 #: A pre-token when after letters and at the end.
 _MARKS = frozenset(".,;:!?")
