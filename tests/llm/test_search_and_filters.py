@@ -1,0 +1,360 @@
+"""Top-k, personal data, URL filters and decontamination against brute force."""
+
+import hashlib
+import os
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from dayledger.llm import decontaminate, pii, topk, urls
+from dayledger.llm.queries import SQL
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def _sql(name, **tables):
+    con = duckdb.connect()
+    for table, rows in tables.items():
+        con.register(table, rows)
+    return con.execute(SQL[name]).fetchall()
+
+
+# ---------------------------------------------------------------- top-k
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def _best(rows, k):
+    """Integer scores, whole and simple."""
+    whole = [
+        (key, [int(np.floor(1024 * float(x))) for x in v])
+        for key, v in rows
+        if key is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    out = []
+    asked = {}
+    for key, v in whole:
+        if key % 100 == 0:
+            asked[key] = min(asked.get(key, v), v)
+    for key, v in asked.items():
+        scored = sorted(
+            (-sum(a * b for a, b in zip(v, w, strict=True)), other)
+            for other, w in whole
+            if other != key and len(w) == len(v)
+        )
+        out += [(key, r + 1, other, -s) for r, (s, other) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("query_bytes", [8 << 20, 600])
+def test_top_k(spark, query_bytes):
+    random.seed(4)
+    rows = [(i, [random.choice([-0.5, 0.0, 0.25, 0.5]) for _ in range(20)]) for i in range(700)]
+    rows += [(700, None), (800, [1.0, None]), (900, [float("nan")] * 20), (1000, [float("inf")] * 20)]
+    rows += [(1100, []), (1200, [0.5]), (1300, [0.5]), (None, [0.5] * 20), (100, [0.5] * 20)]
+    rows += [(1400 + i, [0.25] * 20) for i in range(60)]  # ties
+    df = spark.createDataFrame([(k, v, 1) for k, v in rows], VECTORS)
+    found = topk.top_k(df, F.col("vec_id") % 100 == 0, query_bytes=query_bytes)
+    assert sorted(map(tuple, found.collect())) == _best(rows, 10)
+
+
+def test_scores_beyond_doubles_are_whole(spark):
+    rows = [(100 * i, [3e12 + i, 7e11 - i]) for i in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {(r["query_id"], r["vec_id"]): r["score"] for r in
+             topk.top_k(df, F.lit(True)).collect()}
+    assert len(found) == 12
+    limit = (1 << 63) - 1
+    for (a, b), score in found.items():
+        exact = sum(int(x * 1024) * int(y * 1024) for x, y in
+                    zip(rows[a // 100][1], rows[b // 100][1], strict=True))
+        assert score == min(limit, exact)
+
+
+def test_top_k_of_nothing(spark):
+    df = spark.createDataFrame([], VECTORS)
+    assert topk.top_k(df, F.col("vec_id") % 100 == 0).count() == 0
+    alone = spark.createDataFrame([(0, [1.0], 1)], VECTORS)
+    assert topk.top_k(alone, F.col("vec_id") % 100 == 0).count() == 0
+
+
+# ---------------------------------------------------------------- personal data
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + k % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def _base(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            good = {
+                "email": True,
+                "ip": all(int(part) <= 255 for part in m.group().split(".") if kind == "ip"),
+                "card": 13 <= len(digits) <= 19 and _luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+ODD = [
+    None,
+    "",
+    "a@b.com_x@y.org..z@q.de @ a@b a@b.c-",
+    "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.0255 1.2.3",
+    "4111 1111 1111 1111-4111111111111111 4111-1111-1111-1111",
+    "é+1 (555) 010-9999 4111111111111111 🙂 +49 30 1234567 +1",
+    "+" * 50 + "12345678901" + "." * 50,
+    "9" * 5000 + " " + "1 " * 3000,
+    "a" * 40_000 + "@" + "b." * 2000 + "com",
+    "call (555) 010-9999 or 555-010-9999 now, order 123-456-7890",
+    "mail jane [at] example.com",
+    "4111111111111111 4111111111111111",
+    "10.0.0.1" * 30,
+]
+
+
+def _random_text(random):
+    parts = ["a", "@", ".", "1", "23", "-", " ", "+", "(", ")", "x.y", "4111111111111111", "é"]
+    return "".join(random.choice(parts) for _ in range(random.randint(0, 60)))
+
+
+def test_base_spans_by_brute_force(spark):
+    generator = random.Random(6)
+    texts = ODD + [_random_text(generator) for _ in range(3000)]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, x int")
+    found = pii.with_candidates(df).select(
+        "doc_id", pii.written_spans(F.filter("candidates", lambda c: c["base"])).alias("spans")
+    )
+    for r in found.collect():
+        got = r["spans"].split(",") if r["spans"] else []
+        assert got == _base(texts[r["doc_id"]]), texts[r["doc_id"]]
+
+
+def test_query_columns(spark):
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    for r in pii.op5_pii(spark, SF_DIR).collect():
+        base = _base(texts[r["doc_id"]])
+        kinds = Counter(s.split(":")[0] for s in base)
+        assert [r[f"n_{k}"] for k in PATTERNS] == [kinds[k] for k in PATTERNS]
+        assert r["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert set(base) <= set(spans)
+        order = [(list(PATTERNS).index(s.split(":")[0]), int(s.split(":")[1])) for s in spans]
+        assert order == sorted(order)
+
+
+def test_the_method_adds_what_the_base_drops_and_learns_reliabilities(spark):
+    """Two cards in a row are one match that fails; each alone is a card."""
+    rows = [f"words {i} card 4111111111111111 and more" for i in range(50)]
+    rows += [f"words 41111111111111{i:02d} and more" for i in range(50)]
+    rows += ["card 4111111111111111 4111111111111111 here", "nothing 12345 here"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    candidates = pii.with_candidates(df)
+    model = pii.fit(candidates)
+    spans = candidates.select("doc_id", pii.written_spans(pii.decide(model)).alias("s")).collect()
+    by_id = {r["doc_id"]: r["s"] for r in spans}
+    assert by_id[100] == "card:5:21,card:22:38"
+    assert by_id[101] == ""
+    assert model.reliability["card", "form"] > 0.8
+    masked = {r["doc_id"]: r["text"] for r in pii.mask(df, model).collect()}
+    assert masked[100] == "card [CARD] [CARD] here"
+    assert masked[0] == "words 0 card [CARD] and more"
+
+
+def test_mask_leaves_all_else(spark):
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(ODD)], "doc_id long, text string, x int")
+    model = pii.fit(pii.with_candidates(df))
+    rows = pii.mask(df, model).orderBy("doc_id").collect()
+    assert [r["x"] for r in rows] == list(range(len(ODD)))
+    assert rows[0]["text"] is None and rows[1]["text"] == ""
+    assert rows[5]["text"].startswith("é[PHONE]") or "[CARD]" in rows[5]["text"]
+    empty = df.limit(0)
+    assert pii.mask(empty, pii.fit(pii.with_candidates(empty))).count() == 0
+
+
+def test_personal_data_has_no_python(spark):
+    df = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = pii.mask(df, pii.Model())._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# ---------------------------------------------------------------- URLs
+
+URLS = [
+    None, "", "no scheme", "://", "http://", "HTTP://A.ORG", "http://A.Org/x", "http://org/",
+    "http://x.org?q=://y.com/", "http://x.com/fr/1#/de/", "http://x.com/de/1", "http://x.com/de",
+    "http://example.org/es/1", "http://www.example.org/en/12", "http://notexample.org/es/",
+    "ftp://h/a/b/c/d/e/f/g/h", "http://É.com/FR/", "http://x.net/2024-01-02/abcdef0123/9.html",
+    "http://x.com/de/1", "a://b://c/d",
+]
+
+
+def _judged(url):
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host) :]).group()
+    host = re.sub("[A-Z]", lambda m: m.group().lower(), host)
+    fits = [
+        (len(r.host + r.path), r.host + r.path, r.verdict)
+        for r in urls.RULES
+        if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
+    ]
+    rule, verdict = max(fits)[1:] if fits else (None, None)
+    return host, path, rule, verdict
+
+
+@pytest.mark.parametrize("whole_table", [False, True])
+def test_rules(spark, whole_table):
+    if whole_table:
+        df = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    else:
+        df = spark.createDataFrame([(i, u, 1) for i, u in enumerate(URLS)], "page_id long, url string, host int")
+    source = {r["page_id"]: r["url"] for r in df.collect()}
+    rows = urls.judge(df).collect()
+    assert len(rows) == len(source)
+    for r in rows:
+        host, path, rule, verdict = _judged(source[r["page_id"]])
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        assert r["verdict"] in ({verdict} if verdict else {"allow", "block"})
+        assert 0 <= r["blocked_share"] <= 1
+
+
+def test_templates(spark):
+    """Rare segments become wildcards, branches of one kind merge, purity decides."""
+    rules = (urls.Rule("block", "h.com", "/spam/a"), urls.Rule("allow", "h.com", "/news/a"))
+    rows = [f"http://h.com/spam/a{i}" for i in range(60)] + [f"http://h.com/spam/b{i}x" for i in range(60)]
+    rows += [f"http://h.com/news/a{i}" for i in range(60)] + [f"http://h.com/news/b{i}x" for i in range(60)]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(rows)], "page_id long, url string")
+    found = urls.judge(df, rules=rules).collect()
+    verdicts = defaultdict(set)
+    for r in found:
+        verdicts[r["path"][:7]].add(r["verdict"])
+    assert verdicts == {"/spam/a": {"block"}, "/spam/b": {"block"}, "/news/a": {"allow"}, "/news/b": {"allow"}}
+    assert {r["template"] for r in found if r["path"].startswith("/spam")} == {"/spam/<any>"}
+    assert urls.judge(df.limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- decontamination
+
+
+def _hold(docs, items, threshold=0.8):
+    """Every window of every item's size."""
+    def own(text):
+        return re.findall(r"[^\W_]+", (text or "").lower())
+
+    def shingles(w):
+        return Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+
+    out = set()
+    for doc_id, text in docs:
+        w = own(text)
+        for item_id, item_text in items:
+            v = own(item_text)
+            if item_id is None or len(v) < 5:
+                continue
+            b, best = shingles(v), None
+            for start in range(len(w) - len(v) + 1):
+                a = shingles(w[start : start + len(v)])
+                both = sum((a & b).values())
+                score = both / (2 * (len(v) - 4) - both)
+                if score >= threshold and (best is None or score > best[1]):
+                    best = (start, score)
+            if best:
+                out.add((doc_id, item_id, *best))
+    return out
+
+
+@pytest.mark.parametrize("pass_anchors", [500_000, 20])
+def test_contaminated_by_brute_force(spark, pass_anchors):
+    generator = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(400)]
+
+    def some(n):
+        return generator.choices(vocabulary, k=n)
+
+    items = [(i, some(generator.randint(5, 60))) for i in range(15)]
+    items.append((15, ["again"] * 30))
+    items.append((16, items[3][1]))  # a copy under another number
+    docs = [(1000, ["again"] * 200), (1001, items[0][1]), (1002, items[4][1][:4])]
+    for i in range(120):
+        passage = list(generator.choice(items)[1])
+        for _ in range(generator.choice([0, 0, 1, 2, 3])):
+            at = generator.randrange(len(passage))
+            change = generator.choice(["swap", "drop", "add", "turn"])
+            if change == "swap":
+                passage[at] = "other"
+            elif change == "drop" and len(passage) > 1:
+                del passage[at]
+            elif change == "add":
+                passage.insert(at, "more")
+            else:
+                passage = passage[at:] + passage[:at]
+        docs.append((i, some(generator.randint(0, 80)) + passage + some(generator.randint(0, 80))))
+    doc_rows = [(i, ", ".join(w).title(), 1) for i, w in docs] + [(2000, None, 1), (None, "", 1)]
+    item_rows = [(i, " ".join(w)) for i, w in items] + [(90, None), (91, "too short"), (None, "a b c d e f")]
+    df = spark.createDataFrame(doc_rows, "doc_id long, text string, item_id int")
+    benchmark = spark.createDataFrame(item_rows, "item_id long, text string")
+    found = decontaminate.contaminated(df, benchmark, pass_anchors=pass_anchors)
+    expected = _hold([(i, t) for i, t, _ in doc_rows], item_rows)
+    assert {tuple(r) for r in found.collect()} == expected
+    assert len(expected) > 60
+
+
+def test_decontamination_of_nothing(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.contaminated(docs, none).count() == 0
+    items = spark.createDataFrame([(7, "a b c d e f g")], "item_id long, text string")
+    assert decontaminate.contaminated(docs.limit(0), items).count() == 0
+    assert [tuple(r) for r in decontaminate.contaminated(docs, items).collect()] == [(1, 7, 0, 1.0)]
+
+
+def test_decontamination_has_no_python(spark):
+    df = decontaminate.op10_decontamination(spark, SF_DIR)
+    assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_fingerprints_of_windows(spark):
+    """The bits by hand, and the blocks' promise."""
+    generator = random.Random(3)
+    rows = [[generator.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (1, 2, 3, 40)]
+    df = spark.createDataFrame([(r,) for r in rows], "s array<long>")
+    for r in df.select("s", decontaminate.fingerprint(F.col("s")).alias("f")).collect():
+        bits = sum(
+            1 << b for b in range(64) if 2 * sum((h >> b) & 1 for h in r["s"]) > len(r["s"])
+        )
+        assert r["f"] % (1 << 64) == bits
+    pairs = []
+    for _ in range(200):
+        a = generator.getrandbits(64)
+        b = a
+        for bit in generator.sample(range(64), decontaminate.RADIUS):
+            b ^= 1 << bit
+        pairs.append(tuple(x - (1 << 64) if x >> 63 else x for x in (a, b)))
+    df = spark.createDataFrame(pairs, "a long, b long")
+    met = F.arrays_overlap(decontaminate.blocks(F.col("a")), decontaminate.blocks(F.col("b")))
+    assert df.where(~met).isEmpty()
