@@ -21,8 +21,8 @@ def shaped(
     """How rows are spread over files.
 
     None keeps the partitions as they are, without a shuffle. "auto" lets adaptive execution
-    merge small partitions and cut large ones. A number gives at most that many files, and
-    that many tasks write them: for small results only.
+    merge small partitions and cut large ones. A number gives that many files at most, unless
+    one of them would be large: then adaptive execution cuts it, so that no task gets all.
 
     ``cluster_by`` brings rows with equal values together, so that later scans can skip files
     by their minimum and maximum. Large groups are cut as with "auto".
@@ -31,7 +31,7 @@ def shaped(
         return df.hint("rebalance", *cluster_by)
     if files is None:
         return df
-    return df.repartition(files)
+    return df.hint("rebalance", files)
 
 
 def write_folder(
