@@ -87,14 +87,19 @@ def rebuild_changed(
         table = f"{target}_{part}_{uuid.uuid4().hex}"
         folder, n = write_version(conform(part_rows, schema), table, root, fmt, files, **options)
         made[part], rows = (table, folder), rows + n
-    for part, (table, folder) in made.items():
-        remembered = {}
-        if part == "base" and fingerprint and fingerprint == files_fingerprint(spark, base):
-            remembered[_SOURCE_FILES] = fingerprint
-        define_table(spark, table, folder, fmt, schema, properties=remembered)
-    tables = [kept or made["base"][0], made["delta"][0]]
     before = _tables_of(spark, target)
-    publish_union(spark, target, tables, schema.names)
+    try:
+        for part, (table, folder) in made.items():
+            remembered = {}
+            if part == "base" and fingerprint and fingerprint == files_fingerprint(spark, base):
+                remembered[_SOURCE_FILES] = fingerprint
+            define_table(spark, table, folder, fmt, schema, properties=remembered)
+        tables = [kept or made["base"][0], made["delta"][0]]
+        publish_union(spark, target, tables, schema.names)
+    except Exception:
+        for table, _ in made.values():
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise
     # The old files stay for readers that have begun; the names are not needed any more.
     for table in before:
         if table not in tables:

@@ -220,3 +220,61 @@ def test_report(spark, weather):
     assert tuple(row) == (3, 2, 1, 3, 3, 0)
     near = load_report(more, approximate=True).first()
     assert near["unique_dates"] == 2
+
+
+@pytest.mark.parametrize("step", ["write_version", "define_table"])
+def test_a_failing_step_leaves_the_published_table(spark, tmp_path, delays, monkeypatch, step):
+    from dayledger.sinks import publish
+
+    spark.sql("DROP TABLE IF EXISTS step_table")
+    publish_table(delays, "step_table", str(tmp_path), "csv")
+    before = bag(spark.table("step_table"))
+
+    def lost(*arguments, **options):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(publish, step, lost)
+        with pytest.raises(OSError, match="lost"):
+            publish_table(delays.drop("train_count"), "step_table", str(tmp_path), "csv")
+    assert bag(spark.table("step_table")) == before
+    # Other partitions: the new table is complete before it takes the name.
+    rows = delays.where("station_name is not null")
+    publish_table(rows, "step_table", str(tmp_path), "parquet", partition_by=("date",))
+    assert spark.table("step_table").count() == 1
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("step_table_")] == []
+
+
+@pytest.mark.parametrize("step", ["write_version", "define_table", "publish_union"])
+def test_a_failing_step_leaves_the_view_over_base_and_delta(
+    spark, tmp_path, delays, monkeypatch, step
+):
+    from dayledger.plans import rebuild
+
+    names = {"base": "s_base", "delta": "s_delta", "target": "s_all", "changed_only": True}
+    spark.sql("DROP VIEW IF EXISTS s_all")
+    for name in ("s_base", "s_delta"):
+        publish_table(delays, name, str(tmp_path / name), "csv")
+    root = str(tmp_path / "published")
+    assert rebuild.rebuild_delays(spark, root, **names) == 4
+    before = bag(spark.table("s_all"))
+    publish_table(delays.limit(1), "s_base", str(tmp_path / "s_base"), "csv")
+
+    def lost(*arguments, **options):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(rebuild, step, lost)
+        with pytest.raises(OSError, match="lost"):
+            rebuild.rebuild_delays(spark, root, **names)
+    assert bag(spark.table("s_all")) == before
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith("s_all_")]
+    assert len(left) == 2
+    assert rebuild.rebuild_delays(spark, root, **names) == 3
+    assert spark.table("s_all").count() == 3
+
+
+def test_names_are_found_without_regard_to_case(spark, delays):
+    base = delays.withColumnRenamed("date", "Date")
+    merged = base_plus_delta(base, delays, DELAYS)
+    assert merged.columns == DELAYS.names and merged.count() == 4
