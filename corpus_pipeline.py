@@ -80,13 +80,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, and the bytes they decode to: the text again."""
-    encoded = bpe.decode(bpe.encode(docs.select("doc_id", "text")))
-    return encoded.select(
-        "doc_id",
-        "token_ids",
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    found = bpe.round_trip(docs, ids="token_ids")
+    return found.select("doc_id", "token_ids", "n_tokens", "decoded_sha256")
 
 
 STAGES = [

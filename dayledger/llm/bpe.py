@@ -15,7 +15,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from functools import cache
 
 import duckdb
 import numpy as np
@@ -24,13 +23,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from .common import map_blocks, table
+from .common import kept_in_worker, map_blocks, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces that a worker keeps, about; of words twice as many. What comes first stays.
-CACHE = 400_000
+CACHE = 300_000
 #: Words of more bytes take a heap instead of one recursion step per merge.
 LONG_WORD = 1_000
+#: Characters that are encoded at once: the more, the fewer words are met again as new.
+BLOCK_CHARS = 6 << 20
 #: Rows that one recursive query may make.
 QUERY_ROWS = 1_500_000
 
@@ -225,7 +226,7 @@ class Codec:
         return " ".join(map(self.decimal.__getitem__, row.tolist()))
 
 
-@cache
+@kept_in_worker
 def codec(ranks_path: str, pattern: str) -> Codec:
     """One per process."""
     return Codec(ranks_path, pattern)
@@ -239,6 +240,12 @@ def _texts(block: pa.RecordBatch, text: str) -> list[str]:
     return [t or "" for t in block.column(text).to_pylist()]
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = np.concatenate([np.empty(0, np.int32), *rows])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
 def _with(df: DataFrame, name: str, kind: T.DataType) -> tuple[DataFrame, T.StructType]:
     """Without a column of that name, and the schema that has it last."""
     df = df.drop(name)
@@ -257,13 +264,9 @@ def encode(
     df, schema = _with(df, ids, T.ArrayType(T.IntegerType(), False))
 
     def run(block: pa.RecordBatch) -> pa.RecordBatch:
-        rows = codec(*options).encode(_texts(block, text))
-        ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-        flat = np.concatenate([np.empty(0, np.int32), *rows])
-        found = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-        return block.append_column(ids, found)
+        return block.append_column(ids, _lists(codec(*options).encode(_texts(block, text))))
 
-    return map_blocks(df, run, schema, text)
+    return map_blocks(df, run, schema, text, BLOCK_CHARS)
 
 
 def decode(
@@ -291,8 +294,12 @@ def round_trip(
     text: str = "text",
     ranks_path: str | None = None,
     pattern: str | None = None,
+    ids: str | None = None,
 ) -> DataFrame:
-    """Encodes and decodes in one pass: ``key, n_tokens, ids_sha256, decoded_sha256``."""
+    """Encodes and decodes in one pass: ``key, n_tokens, ids_sha256, decoded_sha256``.
+
+    With ``ids`` the ids themselves follow, in an array of that name.
+    """
     options = _options(ranks_path, pattern)
     kind = df.schema[key].dataType.simpleString()
 
@@ -300,7 +307,7 @@ def round_trip(
         own = codec(*options)
         rows = own.encode(_texts(block, text))
         back = own.decode(rows)
-        return pa.record_batch(
+        out = pa.record_batch(
             {
                 key: block.column(key),
                 "n_tokens": pa.array([len(row) for row in rows], pa.int64()),
@@ -310,9 +317,11 @@ def round_trip(
                 "decoded_sha256": [hashlib.sha256(raw).hexdigest() for raw in back],
             }
         )
+        return out.append_column(ids, _lists(rows)) if ids else out
 
     schema = f"{key} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_blocks(df.select(key, text), run, schema, text)
+    schema += f", {ids} array<int>" if ids else ""
+    return map_blocks(df.select(key, text), run, schema, text, BLOCK_CHARS)
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

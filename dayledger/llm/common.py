@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dayledger.session import working_folder, written
+from dayledger.sinks.folders import discard_folder
 
 _LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Bytes of one Arrow batch sent to Python, unless the session says otherwise.
@@ -151,6 +152,12 @@ def _round(edges: DataFrame) -> DataFrame:
     )
 
 
+def _written_to(df: DataFrame) -> tuple[DataFrame, str]:
+    folder = working_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``(u, v)`` pairs to ``(node, component)``, the component being its smallest node.
 
@@ -158,14 +165,17 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     executor costs a file read. Self links are dropped: a node without another link has no row.
     Raises when the rounds do not suffice, which takes paths of about 2 ** most_rounds nodes.
     """
-    edges = written(
+    spark = edges.sparkSession
+    edges, folder = _written_to(
         edges.where(F.col("u") != F.col("v"))
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
     before = None
     for _ in range(most_rounds):
-        edges = written(_round(edges))
+        edges, newer = _written_to(_round(edges))
+        discard_folder(spark, folder)  # all of it is in the newer one
+        folder = newer
         # Stars only, and the same stars again: the number of edges and their sum stay.
         now = edges.agg(
             F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_blocks, table
+from .common import kept_in_worker, map_blocks, table
 from .words import PARTS, PIECES, Words, byte_letters, words
 
 TOKENIZER = "word_bpe_49k.json"
@@ -81,7 +81,7 @@ class Counts(dict):
         return n
 
 
-@cache
+@kept_in_worker
 def counts(path: str) -> Counts:
     return Counts(path)
 

@@ -25,8 +25,8 @@ from .common import map_blocks, table, to_driver
 UNDETERMINED = "und"
 #: Features of a text.
 WIDTH = 1024
-#: Rows that the machines learn from, for each language.
-PER_LANGUAGE = 800
+#: Rows that the machines learn from, for each language and together (4 KB each on the driver).
+PER_LANGUAGE, SAMPLE = 800, 16_000
 #: Languages that labels may name.
 LANGUAGES = 400
 # Families of languages, by ISO 639-1 code.
@@ -173,6 +173,7 @@ def fit(
     """From rows whose language is not null: all of a language's, or ``per_language`` by hash."""
     labelled = labelled.where(F.col(lang).isNotNull() & F.col(key).isNotNull())
     sizes = to_driver(labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("n")), LANGUAGES)
+    per_language = max(1, min(per_language, SAMPLE // max(1, len(sizes))))
     # Shares of a hash's range that hold a little more than the bound; the bound then cuts.
     place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30))
     share = F.lit(0)

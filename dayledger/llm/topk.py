@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import table, to_driver, written
+from .common import map_batches, table, to_driver, written
 
 K = 10
 SCALE = 1024
@@ -194,7 +194,7 @@ def _pass(all_rows: DataFrame, queries: list[tuple[int, list[int]]], k: int) ->
             {n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)}
         )
 
-    return all_rows.mapInArrow(run, "query_id long, vec_id long, score long")
+    return map_batches(all_rows, run, "query_id long, vec_id long, score long")
 
 
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
