@@ -20,21 +20,29 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from .common import kept_in_worker, map_blocks, table
+from .words import Cut, rows_of
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces that a worker keeps, about; of words twice as many. What comes first stays.
-CACHE = 300_000
+CACHE = 150_000
 #: Words of more bytes take a heap instead of one recursion step per merge.
 LONG_WORD = 1_000
 #: Characters that are encoded at once: the more, the fewer words are met again as new.
-BLOCK_CHARS = 6 << 20
+BLOCK_CHARS = 4 << 20
 #: Rows that one recursive query may make.
 QUERY_ROWS = 1_500_000
 
+# A space beside other white space, or at an end.
+_WHITE = (
+    r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+_ODD = rf"^ | $| {_WHITE}|{_WHITE} "
+
 # slot: the word's number and the token's position in one number.
 _CONTRACT = """
 WITH RECURSIVE step AS (
@@ -79,7 +87,6 @@ class Codec:
         self.pattern = regex.compile(pattern)
         # No match of the pattern holds a space between two other characters, but as its first.
         self.gap = regex.compile(r"(?<=\S) (?=\S)")
-        self.odd = regex.compile(r" (?=\s|$)|\s(?= )|^ ")
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         pairs, merged = [], []
         for token, rank in self.ranks.items():
@@ -107,24 +114,39 @@ class Codec:
 
     # ------------------------------------------------------------ encoding
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, int32."""
-        cut = [self._cut(text) for text in texts]
-        seen = {piece for pieces in cut for piece in pieces}
-        learnt = self._learn(seen.difference(self.pieces))
-        if len(self.pieces) < CACHE:
-            self.pieces.update(learnt)
-            find = self.pieces.__getitem__
-        else:
-            learnt.update((p, self.pieces[p]) for p in seen.difference(learnt))
-            find = learnt.__getitem__
-        return [np.frombuffer(b"".join(map(find, pieces)), np.int32) for pieces in cut]
-
-    def _cut(self, text: str) -> list[str]:
-        if not text:
-            return []
-        pieces = text.split(" ") if self.odd.search(text) is None else self.gap.split(text)
-        return [pieces[0], *[" " + p for p in pieces[1:]]]
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text, int32; null counts as empty."""
+        cut = self._cut(pc.fill_null(texts, ""))
+        seen = self.pieces
+        learnt = self._learn({piece for piece in cut.pieces if piece not in seen})
+        if len(seen) < CACHE:
+            seen.update(learnt)
+        ids = [seen[p] if p in seen else learnt[p] for p in cut.pieces]
+        return [np.frombuffer(row, np.int32) for row in rows_of(cut, ids)]
+
+    def _cut(self, texts: pa.Array) -> Cut:
+        """At single spaces between other characters; a piece but the first begins with one."""
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces = [" " + p for p in coded.dictionary.to_pylist()]
+        at, bounds = coded.indices.to_numpy().astype(np.int64), lists.offsets.to_numpy()
+        # First pieces have no space, and texts with other white space are cut one by one.
+        firsts = lists.flatten().take(pa.array(bounds[:-1])).to_pylist()
+        at[bounds[:-1]] = len(pieces) + np.arange(len(firsts))
+        pieces += firsts
+        if not odd.any():
+            return Cut(pieces, at, bounds)
+        places, ends = [], [0]
+        for k, is_odd in enumerate(odd.tolist()):
+            here = at[bounds[k] : bounds[k + 1]]
+            if is_odd:
+                first, *others = self.gap.split(texts[k].as_py())
+                here = np.arange(len(pieces), len(pieces) + 1 + len(others))
+                pieces += [first, *(" " + p for p in others)]
+            places.append(here)
+            ends.append(ends[-1] + len(here))
+        return Cut(pieces, np.concatenate(places), np.array(ends))
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
         found = {piece: self.pattern.findall(piece) for piece in pieces}
@@ -236,10 +258,6 @@ def _options(ranks_path: str | None, pattern: str | None) -> tuple[str, str]:
     return ranks_path or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN
 
 
-def _texts(block: pa.RecordBatch, text: str) -> list[str]:
-    return [t or "" for t in block.column(text).to_pylist()]
-
-
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     flat = np.concatenate([np.empty(0, np.int32), *rows])
@@ -264,7 +282,7 @@ def encode(
     df, schema = _with(df, ids, T.ArrayType(T.IntegerType(), False))
 
     def run(block: pa.RecordBatch) -> pa.RecordBatch:
-        return block.append_column(ids, _lists(codec(*options).encode(_texts(block, text))))
+        return block.append_column(ids, _lists(codec(*options).encode(block.column(text))))
 
     return map_blocks(df, run, schema, text, BLOCK_CHARS)
 
@@ -305,7 +323,7 @@ def round_trip(
 
     def run(block: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(*options)
-        rows = own.encode(_texts(block, text))
+        rows = own.encode(block.column(text))
         back = own.decode(rows)
         out = pa.record_batch(
             {
