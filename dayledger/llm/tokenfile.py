@@ -8,7 +8,7 @@ block can be read alone, and its checkpoints are decoded side by side from a loo
 
 Counts of ids cover all rows. Code lengths are limited (package-merge), so that the table that
 decodes has a bounded size. Null texts count as empty; null keys come first; rows with equal keys
-come in the order of their ids. Columns besides key and text are not kept.
+follow one another in the order of a hash of their ids. Columns besides key and text are not kept.
 """
 
 from __future__ import annotations
@@ -228,8 +228,11 @@ def write_token_file(
             )
             before += len(flat)
 
-    # A range of keys per task, sorted; hot keys do not matter, as a document is one row.
-    ordered = rows.select(key, "ids").repartitionByRange(key).sortWithinPartitions(key, "ids")
+    # A range of keys per task. Rows of one key, even equal ones, may fall to several tasks.
+    place = (F.col(key), F.xxhash64("ids").alias("__hash"), F.monotonically_increasing_id().alias("__row"))
+    by = (key, "__hash", "__row")
+    placed = rows.select(*place, "ids").repartitionByRange(*by)
+    ordered = placed.sortWithinPartitions(*by).select(key, "ids")
     map_batches(
         ordered,
         run,
