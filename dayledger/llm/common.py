@@ -115,7 +115,7 @@ def claim(owner: str) -> None:
         return
     _owner[0] = owner
     for module, cached in _caches:
-        if module not in (owner, f"{__package__}.words"):
+        if module != owner:
             cached.cache_clear()
     gc.collect()
     pa.default_memory_pool().release_unused()

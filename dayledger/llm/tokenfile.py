@@ -35,6 +35,8 @@ PART = 1 << 15
 CODE_BITS = 16
 #: Ids that a code may have at most: lengths and ranks go through the driver.
 ALPHABET = 1 << 21
+#: Who works on files: what encoding has kept in a worker goes before.
+_FILES = f"{__name__}.files"
 #: Bytes of ids in a block, but for a single longer row.
 BLOCK_BYTES = 1 << 20
 
@@ -185,7 +187,10 @@ def _id_counts(rows: DataFrame, width: int) -> DataFrame:
             {"id": pa.array(ids, pa.int32()), "n": pa.array(n, pa.int64())}
         )
 
-    counted = map_blocks(rows.select("ids"), run, "id int, n long", "ids", 16 * BLOCK_BYTES)
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return map(run, text_blocks(batches, "ids", 16 * BLOCK_BYTES))
+
+    counted = map_batches(rows.select("ids"), blocks, "id int, n long", _FILES)
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -238,11 +243,17 @@ def write_token_file(
         run,
         f"part int, block long, ids_before long, n_ids long, bits long, keys array<{kind}>, "
         "lengths array<long>, checkpoints binary, payload binary",
+        _FILES,
     ).write.parquet(f"{folder}/blocks")
 
 
-def read_token_file(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
-    """``key, start, ids``: each row of the file, ``start`` being the ids of all rows before it."""
+def read_token_file(
+    spark: SparkSession, folder: str, key: str = "doc_id", digest: bool = False
+) -> DataFrame:
+    """``key, start, ids``: each row of the file, ``start`` being the ids of all rows before it.
+
+    With ``digest``, ``n_tokens`` and ``ids_crc32`` (of the ids in four bytes) in place of the ids.
+    """
     blocks = spark.read.parquet(f"{folder}/blocks")
     code = to_driver(spark.read.parquet(f"{folder}/code"), ALPHABET)
     ids = np.array([r["id"] for r in code], np.int64)
@@ -267,15 +278,20 @@ def read_token_file(spark: SparkSession, folder: str, key: str = "doc_id") -> Da
                 ends = np.cumsum(each)
                 first = one["part_start"].as_py() + one["ids_before"].as_py()
                 cut = [raw[4 * (e - k) : 4 * e] for e, k in zip(ends.tolist(), each.tolist())]
-                yield pa.record_batch(
-                    {
-                        key: one["keys"].values,
-                        "start": pa.array(first + ends - each, pa.int64()),
-                        "ids": pa.array(cut, pa.binary()),
-                    }
-                )
+                out = {
+                    key: one["keys"].values,
+                    "start": pa.array(first + ends - each, pa.int64()),
+                }
+                if digest:
+                    out["n_tokens"] = pa.array(each, pa.int64())
+                    out["ids_crc32"] = pa.array([zlib.crc32(x) for x in cut], pa.int64())
+                else:
+                    out["ids"] = pa.array(cut, pa.binary())
+                yield pa.record_batch(out)
 
-    return map_batches(blocks.join(starts, "part"), run, f"{key} {kind}, start long, ids binary")
+    ids_kind = "n_tokens long, ids_crc32 long" if digest else "ids binary"
+    schema = f"{key} {kind}, start long, {ids_kind}"
+    return map_batches(blocks.join(starts, "part"), run, schema, _FILES)
 
 
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,19 +299,4 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Kept, as counting and writing both need the ids; they fit into two bytes.
     rows = written(encode_ids(table(spark, sf_dir, "documents"), width=2))
     write_token_file(rows, folder, width=2)
-
-    def run(block: pa.RecordBatch) -> pa.RecordBatch:
-        each = block.column("ids").to_pylist()
-        return pa.record_batch(
-            {
-                "doc_id": block.column("doc_id"),
-                "start": block.column("start"),
-                "n_tokens": pa.array([len(x) // 4 for x in each], pa.int64()),
-                "ids_crc32": pa.array([zlib.crc32(x) for x in each], pa.int64()),
-            }
-        )
-
-    back = read_token_file(spark, folder)
-    return map_blocks(
-        back, run, "doc_id long, start long, n_tokens long, ids_crc32 long", "ids", BLOCK_BYTES
-    )
+    return read_token_file(spark, folder, digest=True)

@@ -19,8 +19,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from .common import kept_in_worker
+
 #: What a worker keeps at most: pieces and pre-tokens. What comes first stays.
-PIECES, PARTS = 350_000, 200_000
+PIECES, PARTS = 300_000, 200_000
 
 #: A pre-token when after letters and at the end.
 _MARKS = frozenset(".,;:!?")
@@ -170,6 +172,6 @@ def rows_of(cut: Cut, ids: list[bytes], width: int = 4) -> list[bytes]:
     return [raw[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
-@cache
+@kept_in_worker
 def words(path: str) -> Words:
     return Words(path)
