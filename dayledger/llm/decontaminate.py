@@ -1,10 +1,12 @@
 """Operator 10: benchmark decontamination, with DataFrame functions only.
 
 An item of n words (runs of letters, marks and digits, in lower case) has N = n - 4 shingles of
-five words. A document holds the item if some n words in a row of it have weighted similarity
-0.8 or more to it: the shingles both have (with repeats, as often as both) over those that either
+five words. A document holds the item if some n words in a row of it, or all its words where
+they are fewer, have weighted similarity 0.8 or more to it: the shingles both have (with repeats, as often as both) over those that either
 has. Such a window shares c = 2 t N / (1 + t) shingles with the item at least (t the threshold), so
 it holds one of the item's anchors: its rarest shingles, so many that all others are fewer than c.
+A document with fewer words than the item is one window as a whole, if it has t N shingles or more;
+as it may share no more than these, it is also met at further anchors.
 
 Documents' shingles meet the anchors; around each meeting the item-sized windows that hold c or
 more of the item's shingles get a SimHash, a shingle counting as often as it occurs. The items'
@@ -13,7 +15,8 @@ at least, so that looking up a window's blocks finds every item within the radiu
 of these candidates is then exact. Windows of equal content are one row in all of this.
 
 At similarity 0.8 fingerprints differ in 9.7 bits on average (deviation 2.9), and the more similar
-the less, so that the radius loses a window in a hundred thousand.
+the less, so that the radius loses a window in a hundred thousand. Shorter documents, one window
+for each item at most, get their exact similarity without it.
 
 Items of fewer than five words, null texts and null items take no part. Repeated items, and
 documents with the same key, count as one. The result has a row per document key and item.
@@ -87,9 +90,9 @@ def blocks(value: Column) -> Column:
     )
 
 
-def _least(n: Column, threshold: float) -> Column:
-    """Shingles that two sets of n must share at least."""
-    return F.ceil(2 * threshold * n / (1 + threshold) - 1e-9).cast("int")
+def _least(a: Column, b: Column, threshold: float) -> Column:
+    """Shingles that a set of a and one of b must share at least."""
+    return F.ceil(threshold * (a + b) / (1 + threshold) - 1e-9).cast("int")
 
 
 def _items(benchmark: DataFrame, item: str, text: str, threshold: float) -> DataFrame:
@@ -102,19 +105,25 @@ def _items(benchmark: DataFrame, item: str, text: str, threshold: float) -> Data
         F.xxhash64("shingles").alias("version"),  # the same item may come with two texts
         "shingles",
         n.alias("n"),
-        _least(n, threshold).alias("least"),
+        _least(n, n, threshold).alias("least"),
+        F.ceil(threshold * n - 1e-9).cast("int").alias("least_short"),
         fingerprint(F.col("shingles")).alias("item_print"),
     )
 
 
 def _anchors(items: DataFrame) -> DataFrame:
-    """``(h, item, version)``: an item's rarest shingles, all others being fewer than ``least``."""
-    each = items.select("item", "version", "n", "least", F.explode("shingles").alias("h"))
-    each = each.groupBy("item", "version", "n", "least", "h").agg(F.count(F.lit(1)).alias("own"))
+    """``(h, item, version, below)``: an item's rarest shingles, all others being fewer than ``least``.
+
+    Further ones, until all others are fewer than ``least_short``, are for documents of fewer than
+    ``below`` shingles; it is null for those that are for all.
+    """
+    about = ["item", "version", "n", "least", "least_short"]
+    each = items.select(*about, F.explode("shingles").alias("h"))
+    each = each.groupBy(*about, "h").agg(F.count(F.lit(1)).alias("own"))
     rarity = each.groupBy("h").agg(F.sum("own").alias("all"))
     ranked = (
         each.join(rarity, "h")
-        .groupBy("item", "version", "n", "least")
+        .groupBy(*about)
         .agg(F.sort_array(F.collect_list(F.struct("all", "h", "own"))).alias("each"))
     )
     # An item's shingles in order of rarity, with the number of those before: a sum over an
@@ -126,14 +135,18 @@ def _anchors(items: DataFrame) -> DataFrame:
             F.aggregate(F.slice("each", F.lit(1), k), F.lit(0).cast("long"), lambda s, y: s + y["own"]).alias("before"),
         ),
     )
-    chosen = F.filter(place, lambda x: F.col("n") - x["before"] >= F.col("least"))
-    return ranked.select("item", "version", F.explode(chosen).alias("x")).select(
-        F.col("x")["h"].alias("h"), "item", "version"
-    )
+    chosen = F.filter(place, lambda x: F.col("n") - x["before"] >= F.col("least_short"))
+    left = F.col("n") - F.col("x")["before"]
+    return ranked.select("item", "version", "n", "least", F.explode(chosen).alias("x")).select(
+        F.col("x")["h"].alias("h"), "item", "version",
+        F.when(left < F.col("least"), F.col("n")).alias("below"),
+    )
 
 
-def _windows(docs: DataFrame, anchors: DataFrame, items: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, start, item, version, shingles)``: windows with enough shingles of an item."""
+def _windows(
+    docs: DataFrame, anchors: DataFrame, items: DataFrame, key: str, text: str, threshold: float
+) -> DataFrame:
+    """``(key, start, item, version, short, shingles)``: windows with enough shingles of an item."""
     words = docs.select(F.col(key).alias("key"), word_hashes(F.col(text)).alias("words")).where(
         F.size("words") >= SHINGLE
     )
@@ -141,16 +154,23 @@ def _windows(docs: DataFrame, anchors: DataFrame, items: DataFrame, key: str, te
         "key", "words", F.explode(F.sequence(F.lit(0), F.size("words") - SHINGLE)).alias("at")
     )
     # Hashes are made and looked up row by row, where the words lie; nothing is shuffled.
-    met = placed.withColumn("h", _shingle(F.col("words"), F.col("at"))).join(
-        F.broadcast(anchors), "h"
+    has = F.size("words") - (SHINGLE - 1)
+    met = (
+        placed.withColumn("h", _shingle(F.col("words"), F.col("at")))
+        .join(F.broadcast(anchors), "h")
+        .where(F.col("below").isNull() | (has < F.col("below")))
+    )
+    about = F.broadcast(
+        items.select("item", "version", "n", "least_short", F.col("shingles").alias("own"))
     )
-    about = F.broadcast(items.select("item", "version", "n", "least", F.col("shingles").alias("own")))
     n = F.col("n")
+    width = F.least(n, has)  # all of a shorter document
     # The shingles of all windows that hold this place: n - 1 before it to n - 1 after it.
     first = F.greatest(F.lit(0), F.col("at") - n + 1)
     last = F.least(F.size("words") - SHINGLE, F.col("at") + n - 1)
-    near = met.join(about, ["item", "version"]).where(last - first + 1 >= n).select(
-        "key", "item", "version", "n", "least", "own", first.alias("first"),
+    near = met.join(about, ["item", "version"]).where(width >= F.col("least_short")).select(
+        "key", "item", "version", "own", first.alias("first"), width.alias("width"),
+        (width < n).alias("short"), _least(width, n, threshold).alias("least"),
         F.transform(
             F.sequence(first, last), lambda p: _shingle(F.col("words"), p)
         ).alias("near"),
@@ -160,14 +180,15 @@ def _windows(docs: DataFrame, anchors: DataFrame, items: DataFrame, key: str, te
     counted = near.withColumn("held", held).where(
         F.aggregate("held", F.lit(0), lambda s, x: s + x) >= F.col("least")
     )
+    width = F.col("width")
     starts = F.filter(
-        F.sequence(F.lit(0), F.size("near") - n),
-        lambda s: F.aggregate(F.slice("held", s + 1, n), F.lit(0), lambda t, x: t + x)
+        F.sequence(F.lit(0), F.size("near") - width),
+        lambda s: F.aggregate(F.slice("held", s + 1, width), F.lit(0), lambda t, x: t + x)
         >= F.col("least"),
     )
     return counted.select("*", F.explode(starts).alias("s")).select(
-        "key", "item", "version", (F.col("first") + F.col("s")).alias("start"),
-        F.slice("near", F.col("s") + 1, n).alias("shingles"),
+        "key", "item", "version", "short", (F.col("first") + F.col("s")).alias("start"),
+        F.slice("near", F.col("s") + 1, width).alias("shingles"),
     ).distinct()
 
 
@@ -207,11 +228,11 @@ def contaminated(
     found = None
     for k in range(passes):
         chosen = F.pmod(F.xxhash64("item", "version"), F.lit(passes)) == k
-        part = _windows(docs, anchors.where(chosen), items.where(chosen), key, text)
+        part = _windows(docs, anchors.where(chosen), items.where(chosen), key, text, threshold)
         found = part if found is None else found.union(part)
     windows = written(found)
-    contents = windows.select("item", "version", "shingles").distinct()
-    printed = contents.withColumn("print", fingerprint(F.col("shingles")))
+    contents = windows.select("item", "version", "short", "shingles").distinct()
+    printed = contents.where(~F.col("short")).withColumn("print", fingerprint(F.col("shingles")))
     looked_up = printed.select("*", F.explode(blocks(F.col("print"))).alias("block"))
     index = items.select(
         "item", "version", F.col("shingles").alias("own"), "item_print",
@@ -224,7 +245,10 @@ def contaminated(
         .select("item", "version", "shingles", "own")
         .distinct()
     )
-    verified = candidates.select(
+    whole = contents.where("short").join(
+        items.select("item", "version", F.col("shingles").alias("own")), ["item", "version"]
+    )
+    verified = candidates.union(whole.select(*candidates.columns)).select(
         "item", "version", "shingles", similarity(F.col("shingles"), F.col("own")).alias("similarity")
     ).where(F.col("similarity") >= threshold)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best")

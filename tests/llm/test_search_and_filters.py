@@ -324,6 +324,53 @@ def test_contaminated_by_brute_force(spark, pass_anchors):
     assert len(expected) > 60
 
 
+def _hold_short(docs, items, threshold=0.8):
+    """Documents of fewer words than the item, as a whole."""
+    def counted(text):
+        w = re.findall(r"[^\W_]+", text.lower())
+        return Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+
+    out = set()
+    for doc_id, text in docs:
+        a = counted(text)
+        for item_id, item_text in items:
+            b = counted(item_text)
+            if not 0 < sum(a.values()) < sum(b.values()):
+                continue
+            both = sum((a & b).values())
+            score = both / (sum(a.values()) + sum(b.values()) - both)
+            if score >= threshold:
+                out.add((doc_id, item_id, 0, score))
+    return out
+
+
+@pytest.mark.parametrize("pass_anchors", [500_000, 20])
+def test_documents_shorter_than_the_item(spark, pass_anchors):
+    generator = random.Random(11)
+    items = [(i, [f"w{generator.randrange(400)}" for _ in range(n)]) for i, n in
+             enumerate([5, 6, 9, 10, 14, 24, 40, 40, 59])]
+    items += [(20, ["again"] * 30), (21, ["one", "two"] * 12), (22, items[6][1])]
+    docs = [(0, items[6][1][:-1]), (1, items[6][1][1:]), (2, ["again"] * 25), (3, ["again"] * 24)]
+    for _, words in items:
+        for cut in range(1, 10):
+            front = generator.randrange(cut + 1)
+            left = words[front : len(words) - cut + front]
+            docs.append((len(docs), left))
+            if left:
+                left = [*left]
+                left[generator.choice([0, -1])] = "other"
+                docs.append((len(docs), left))
+    doc_rows = [(i, " ".join(w), 1) for i, w in docs]
+    item_rows = [(i, " ".join(w)) for i, w in items]
+    df = spark.createDataFrame(doc_rows, "doc_id long, text string, item_id int")
+    benchmark = spark.createDataFrame(item_rows, "item_id long, text string")
+    found = {tuple(r) for r in
+             decontaminate.contaminated(df, benchmark, pass_anchors=pass_anchors).collect()}
+    short = _hold_short([(i, t) for i, t, _ in doc_rows], item_rows)
+    assert (0, 6, 0, 35 / 36) in short and len(short) > 60
+    assert found == short | _hold([(i, t) for i, t, _ in doc_rows], item_rows)
+
+
 def test_decontamination_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
