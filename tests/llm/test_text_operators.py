@@ -371,6 +371,44 @@ def test_scores(spark, docs, small):
         assert total[1] > 0.97 * total[0]  # held-out texts are more likely than by counts alone
 
 
+@pytest.mark.parametrize("grown", [False, True])
+def test_own_words_of_a_flat_vocabulary(spark, monkeypatch, grown):
+    """No word is one in 10,000 tokens; the most frequent have a class each all the same."""
+    counts = {f"w{7 * i % 20_000:05d}": 3 if i < 150 else 2 for i in range(20_000)}
+    tokens = [w for w, n in counts.items() for _ in range(n)]
+    np.random.default_rng(5).shuffle(tokens)
+    texts = [(i, " ".join(tokens[200 * i : 200 * i + 200])) for i in range(-(-len(tokens) // 200))]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    seen, pairs = [], lm._pairs
+
+    def noted(blocks, vocabulary):
+        found = pairs(blocks, vocabulary)
+        seen.append((vocabulary, found))
+        return found
+
+    monkeypatch.setattr(lm, "_pairs", noted)
+    if grown:
+        monkeypatch.setattr(lm, "PAIR_TOKENS", 1, raising=False)
+    rows = lm.score(
+        df, held_out=lambda key: F.lit(False), words=10 if grown else 200, block_chars=20_000, bucket_words=3000
+    ).collect()
+    n = len(tokens) + len(texts)
+    assert len(rows) == len(texts) and {r["train_tokens"] for r in rows} == {n}
+    vocabulary, found = seen[0]
+    size = math.isqrt(n) if grown else 200
+    assert vocabulary.top[0] == "" and vocabulary.top_counts[0] == len(texts)
+    assert vocabulary.top[1:] == sorted(counts, key=lambda w: (-counts[w], w))[: size - 1]
+    assert vocabulary.class_words.sum() + size == len(counts) + 1
+    own = Counter()
+    place = {w: k for k, w in enumerate(vocabulary.top)}
+    for _, text in texts:
+        words_ = _tokens(text)
+        own.update((place[a], place[b]) for a, b in zip(["", *words_], words_, strict=False)
+                   if a in place and b in place)
+    assert found.sum() == n
+    assert {(a, b): found[a, b] for a, b in zip(*np.nonzero(found[:size, :size]), strict=True)} == own
+
+
 def test_probabilities_come_to_one():
     pairs = np.random.default_rng(1).integers(0, 9, (40, 40)).astype(float)
     table = lm.train(pairs, width=8, steps=300).log10_table()
