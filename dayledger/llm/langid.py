@@ -186,8 +186,11 @@ def fit(
     taken: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], bytes(r["vector"]))):
         taken.setdefault(row["lang"], []).append(bytes(row["vector"]))
-    # Every k-th in the order of the vectors, so that the order of tasks does not matter.
-    cut = {n: v[:: -(-len(v) // per_language)] for n, v in taken.items()}
+    # Evenly spaced in the order of the vectors, so that the order of tasks does not matter.
+    cut = {}
+    for name, v in taken.items():
+        n = min(len(v), per_language)
+        cut[name] = [v[k * len(v) // n] for k in range(n)]
     raw = b"".join(b"".join(v) for v in cut.values())
     x = np.frombuffer(raw, "<f4").reshape(-1, WIDTH).astype(np.float64)
     return Model(x, [name for name, v in cut.items() for _ in v])

@@ -330,6 +330,15 @@ def test_the_bound_on_training_rows_holds(spark):
     assert model.langs == ["de", "xx"] and len(model.families) == 2
 
 
+@pytest.mark.parametrize("rows", [49, 50, 51, 75, 3000])
+def test_machines_learn_from_as_many_rows_as_stated(spark, monkeypatch, rows):
+    monkeypatch.setattr(langid, "Model", lambda x, names: (x, names))
+    df = spark.range(rows).selectExpr("id as doc_id", "concat(repeat('ab', id), 'c') as text", "'xx' as lang")
+    x, names = langid.fit(df.withColumn("text", F.concat("text", F.hex("doc_id"))), per_language=50)
+    # More than 60 rows are a sample of about 60 first, by a hash.
+    assert len(x) == len(names) == min(rows, 50)
+
+
 # ---------------------------------------------------------------- language model
 
 
