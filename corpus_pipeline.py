@@ -34,41 +34,45 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: that with the smallest doc_id.
 
-    Of rows that share this doc_id the least in the other columns stays. Of the rows of a group
-    without any doc_id the least of each fingerprint stays.
+    Of a group's rows that share this doc_id the least in the other columns stays, and so of a
+    group without any doc_id. Rows that share a doc_id may be in several groups.
     """
-    found = written(simhash.near_duplicates(docs))
-    kept = found.where(F.col("doc_id") == F.col("component_id"))
-    named = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    others = [c for c in COLUMNS if c != "doc_id"]
-    whole = F.struct(*others)
-    if not kept.groupBy("doc_id").count().where("count > 1").isEmpty():
-        least = named.groupBy("doc_id").agg(F.min(whole).alias("row"))
-        named = least.select("doc_id", *(F.col(f"row.{c}").alias(c) for c in others))
-    lone = found.where(F.col("component_id").isNull())
-    if lone.isEmpty():
-        return named.select(*COLUMNS)
-    nameless = docs.where(F.col("doc_id").isNull())
-    prints = simhash.fingerprints(nameless, "text").distinct()
-    hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
-    mine = prints.select(F.col("text").alias("__text"), hexed.alias("fingerprint"))
-    alone = (
-        nameless.join(mine, F.col("text").eqNullSafe(F.col("__text")))
-        .join(lone.select("fingerprint").distinct(), "fingerprint", "left_semi")
-        .groupBy("fingerprint")
-        .agg(F.min(whole).alias("row"))
+    found = written(simhash.groups(docs))
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    each = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max(least).alias("kept"))
+    each = written(each.where("kept"))
+    alone = F.col("doc_id").isNotNull() & (F.col("rows") == 1)
+    named = docs.join(each.where(alone).select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
+    shared = each.where(~alone).select(F.col("doc_id").alias("__id"))
+    if shared.isEmpty():
+        return named
+    # Here the doc_id does not tell which rows are meant: the fingerprint does.
+    some = docs.join(shared, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    some = simhash.with_fingerprint(some.select(*COLUMNS), "text", "__print")
+    first = found.where(least).select(
+        F.col("doc_id").alias("__id"), F.col("fingerprint").alias("__print"), "component"
     )
-    unnamed = alone.select(
-        F.lit(None).cast("long").alias("doc_id"), *(F.col(f"row.{c}").alias(c) for c in others)
+    others = [c for c in COLUMNS if c != "doc_id"]
+    rows = (
+        some.join(first.distinct(), "__print")
+        .where(F.col("doc_id").eqNullSafe(F.col("__id")))
+        .groupBy("component", "doc_id")
+        .agg(F.min(F.struct(*others)).alias("row"))
     )
-    return named.select(*COLUMNS).union(unnamed.select(*COLUMNS))
+    return named.union(rows.select("doc_id", *(F.col(f"row.{c}").alias(c) for c in others)))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Goes: documents that hold a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    bad = written(decontaminate.contaminated(docs, benchmark).select("doc_id").distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti").select(*COLUMNS)
+    # Rows that share a doc_id, or have none, are told apart by their texts.
+    own = F.struct("doc_id", F.xxhash64("text").alias("hash"))
+    found = decontaminate.contaminated(docs.select(own.alias("own"), "text"), benchmark, "own")
+    bad = written(
+        found.select(F.col("own.doc_id").alias("__id"), F.col("own.hash").alias("__hash")).distinct()
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(bad, same, "left_anti").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

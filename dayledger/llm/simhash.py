@@ -82,6 +82,16 @@ def fingerprints(
     return map_blocks(given, run, f"{key} {kind}, fingerprint long", text)
 
 
+def with_fingerprint(df: DataFrame, text: str, into: str, shingle: int = SHINGLE) -> DataFrame:
+    """All columns and the fingerprint (long)."""
+
+    def run(block: pa.RecordBatch) -> pa.RecordBatch:
+        found = [fingerprint(t, shingle) for t in block.column(text).to_pylist()]
+        return block.append_column(into, pa.array(found, pa.int64()))
+
+    return map_blocks(df, run, df.select("*", F.lit(0).cast("long").alias(into)).schema, text)
+
+
 # ---------------------------------------------------------------- Golay code
 
 
@@ -180,7 +190,7 @@ def _meetings(values: DataFrame, distance: int) -> DataFrame:
     )
 
 
-def near_duplicates(
+def groups(
     df: DataFrame,
     key: str = "doc_id",
     text: str = "text",
@@ -188,7 +198,11 @@ def near_duplicates(
     distance: int = DISTANCE,
     crowd: int = CROWD,
 ) -> DataFrame:
-    """``key, fingerprint`` (hex) and ``component_id``, a row for each row."""
+    """``key, fingerprint, component, component_id``, a row for each row.
+
+    ``component`` (the smallest fingerprint) tells groups apart whose ``component_id`` is the same,
+    as rows with equal keys may be in several.
+    """
     marked = written(fingerprints(df, key, text, shingle))
     values = written(marked.groupBy("fingerprint").agg(F.min(key).alias("least")))
     found = connected_components(links(values.select("fingerprint"), distance, crowd))
@@ -196,9 +210,25 @@ def near_duplicates(
     group = F.coalesce("component", "fingerprint").alias("component")
     grouped = joined.select("fingerprint", "least", group)
     ids = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_value = written(grouped.join(ids, "component").select("fingerprint", "component_id"))
+    by_value = written(
+        grouped.join(ids, "component").select("fingerprint", "component", "component_id")
+    )
     # One value may hold a third of the rows; adaptive execution splits it.
     return marked.join(by_value, "fingerprint").select(
+        key, "fingerprint", "component", "component_id"
+    )
+
+
+def near_duplicates(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+    crowd: int = CROWD,
+) -> DataFrame:
+    """``key, fingerprint`` (hex) and ``component_id``, a row for each row."""
+    return groups(df, key, text, shingle, distance, crowd).select(
         key, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
