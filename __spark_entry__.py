@@ -915,12 +915,13 @@ def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
 
         found |= llm.QUERIES
         sql |= llm.SQL
-    if _is_there("corpus_pipeline"):
-        import corpus_pipeline
+        # The pipeline is made of these operators: without them it is left out, too.
+        if _is_there("corpus_pipeline"):
+            import corpus_pipeline
 
-        found["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, sql
 
 
