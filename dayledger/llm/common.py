@@ -8,7 +8,7 @@ from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from dayledger.session import working_folder, written
 from dayledger.sinks.folders import discard_folder
@@ -20,8 +20,8 @@ BATCH_BYTES = 8 << 20
 BLOCK_CHARS = 4 << 20
 
 __all__ = [
-    "BLOCK_CHARS", "claim", "connected_components", "kept_in_worker", "map_batches", "map_blocks", "table", "text_blocks", "to_driver",
-    "working_folder", "written",
+    "BLOCK_CHARS", "claim", "connected_components", "kept_in_worker", "lower_ascii", "map_batches", "map_blocks", "table", "text_blocks",
+    "to_driver", "without", "working_folder", "written",
 ]
 
 
@@ -62,7 +62,7 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 def map_blocks(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch],
-    schema: str,
+    schema: str | T.StructType,
     text: str | None = "text",
     chars: int = BLOCK_CHARS,
 ) -> DataFrame:
@@ -78,7 +78,7 @@ def map_blocks(
 def map_batches(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
+    schema: str | T.StructType,
     owner: str | None = None,
 ) -> DataFrame:
     """``mapInArrow`` with batches of bounded size, unless the session says otherwise."""
@@ -191,3 +191,39 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 def lower_ascii(text: Column) -> Column:
     """A-Z only, whatever the locale."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+#: Bits of the filter that ``without`` broadcasts: 8 MB, however many rows are to go.
+FILTER_BITS = 1 << 26
+
+
+def without(rows: DataFrame, gone: DataFrame, on: list[str], bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose ``on`` columns are not in ``gone``; null equals null.
+
+    A filter of fixed size, broadcast, tells for most rows that they stay, and these are not
+    shuffled. Only rows that it can't tell apart from those to go are joined by the columns
+    themselves, so the plan is the same at every size and the result is exact.
+    """
+    gone = written(gone.select(*on).distinct())
+    place = F.pmod(F.xxhash64(*on), F.lit(bits))
+    maps = gone.select(
+        F.bitmap_bucket_number(place).alias("__bucket"), F.bitmap_bit_position(place).alias("__at")
+    )
+    maps = maps.groupBy("__bucket").agg(F.bitmap_construct_agg("__at").alias("__map"))
+    given = rows.withColumn("__place", place)
+    marked = given.join(
+        F.broadcast(maps), F.bitmap_bucket_number(F.col("__place")) == F.col("__bucket"), "left"
+    )
+    at = F.bitmap_bit_position(F.col("__place"))
+    byte = F.expr("substring(__map, cast(bitmap_bit_position(__place) div 8 as int) + 1, 1)")
+    bit = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(
+        F.pow(F.lit(2), F.pmod(at, F.lit(8))).cast("int")
+    )
+    unsure = F.coalesce(bit != 0, F.lit(False))
+    names = {c: f"__gone_{k}" for k, c in enumerate(on)}
+    same = F.lit(True)
+    for c, name in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(name))
+    stay = marked.where(unsure).select(*rows.columns)
+    stay = stay.join(gone.withColumnsRenamed(names), same, "left_anti")
+    return marked.where(~unsure).select(*rows.columns).union(stay)

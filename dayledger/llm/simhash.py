@@ -67,29 +67,24 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(
-    df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``key, fingerprint`` (long), a row for each row."""
+    """``key``, the columns to carry and ``fingerprint`` (long), a row for each row."""
+    own = list(dict.fromkeys((key, *carry)))
 
     def run(block: pa.RecordBatch) -> pa.RecordBatch:
         found = [fingerprint(t, shingle) for t in block.column(text).to_pylist()]
         return pa.record_batch(
-            {key: block.column(key), "fingerprint": pa.array(found, pa.int64())}
+            {c: block.column(c) for c in own} | {"fingerprint": pa.array(found, pa.int64())}
         )
 
-    kind = df.schema[key].dataType.simpleString()
-    given = df.select(*dict.fromkeys((key, text)))
-    return map_blocks(given, run, f"{key} {kind}, fingerprint long", text)
-
-
-def with_fingerprint(df: DataFrame, text: str, into: str, shingle: int = SHINGLE) -> DataFrame:
-    """All columns and the fingerprint (long)."""
-
-    def run(block: pa.RecordBatch) -> pa.RecordBatch:
-        found = [fingerprint(t, shingle) for t in block.column(text).to_pylist()]
-        return block.append_column(into, pa.array(found, pa.int64()))
-
-    return map_blocks(df, run, df.select("*", F.lit(0).cast("long").alias(into)).schema, text)
+    given = df.select(*dict.fromkeys((*own, text)))
+    out = df.select(*own, F.lit(0).cast("long").alias("fingerprint")).schema
+    return map_blocks(given, run, out, text)
 
 
 # ---------------------------------------------------------------- Golay code
@@ -197,13 +192,14 @@ def groups(
     shingle: int = SHINGLE,
     distance: int = DISTANCE,
     crowd: int = CROWD,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``key, fingerprint, component, component_id``, a row for each row.
+    """``key``, the columns to carry, ``fingerprint, component, component_id``, a row for each row.
 
     ``component`` (the smallest fingerprint) tells groups apart whose ``component_id`` is the same,
     as rows with equal keys may be in several.
     """
-    marked = written(fingerprints(df, key, text, shingle))
+    marked = written(fingerprints(df, key, text, shingle, carry))
     values = written(marked.groupBy("fingerprint").agg(F.min(key).alias("least")))
     found = connected_components(links(values.select("fingerprint"), distance, crowd))
     joined = values.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
@@ -215,7 +211,7 @@ def groups(
     )
     # One value may hold a third of the rows; adaptive execution splits it.
     return marked.join(by_value, "fingerprint").select(
-        key, "fingerprint", "component", "component_id"
+        *dict.fromkeys((key, *carry)), "fingerprint", "component", "component_id"
     )
 
 
