@@ -21,9 +21,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from dayledger.functions.casts import conform
 from dayledger.functions.filenames import last_segment
 from dayledger.functions.flags import flag_above, flag_outside
+from dayledger.functions.zones import local_time
 from dayledger.operators.arrivals import newest, newest_range, with_date_range
 from dayledger.operators.combine import base_plus_delta, union_counts, unified_long
 from dayledger.operators.joining import null_safe_join
+from dayledger.operators.local_days import daily_values, with_local_day, with_zone
 from dayledger.operators.prefix import valid_prefix_rows
 from dayledger.operators.report import load_report, load_status, station_status
 from dayledger.operators.series import explode_days, valid_prefix
@@ -609,6 +611,72 @@ def last_path_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- local days
+
+# Zones of the stand-in stations, with whole, half and quarter hours.
+_ZONES = (
+    "UTC", "Europe/Budapest", "America/New_York", "Asia/Kathmandu", "Australia/Lord_Howe",
+    "Pacific/Kiritimati", "America/St_Johns",
+)
+
+
+def _zoned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events spread over a year, so that clocks change, with their user's zone from a table."""
+    later = F.make_dt_interval((F.col("event_id") % 12 * 30).cast("int"))
+    events = _table(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").alias("station"), (F.col("ts") + later).alias("instant"),
+        F.col("value").cast("decimal(18,4)").alias("value"),
+    )
+    users = events.select("station").distinct()
+    zone = F.element_at(
+        F.array(*map(F.lit, _ZONES)), (F.col("station") % len(_ZONES)).cast("int") + 1
+    )
+    return with_zone(events, users.withColumn("zone", zone), ["station"])
+
+
+_ZONED_SQL = f"""
+    zoned AS (
+        SELECT event_id, user_id AS station, value, zone,
+               timezone(zone, timezone('UTC', ts + INTERVAL (event_id % 12 * 30) DAY)) AS clock
+        FROM (SELECT *, [{", ".join(f"'{z}'" for z in _ZONES)}][CAST(user_id % {len(_ZONES)} AS INT) + 1]
+                     AS zone FROM events))"""
+
+
+@_query(f"""
+    WITH {_ZONED_SQL}
+    SELECT event_id, zone, CAST(clock AS DATE) AS date,
+           CAST(floor(epoch(clock - CAST(CAST(clock AS DATE) AS TIMESTAMP))) AS INT) AS seconds
+    FROM zoned""")
+def local_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The local day of each event, and the time on the clock there."""
+    events = with_local_day(_zoned_events(spark, sf_dir), "instant")
+    return events.select(
+        "event_id", "zone", "date", local_time(F.col("instant"), F.col("zone")).alias("seconds")
+    )
+
+
+@_query(f"""
+    WITH {_ZONED_SQL}
+    SELECT station, zone, CAST(clock AS DATE) AS date,
+           CAST(max(value) AS DOUBLE) AS highest,
+           CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) AS total,
+           count(*) AS observations,
+           CAST(any_value(epoch(timezone(zone, CAST(CAST(clock AS DATE) + 1 AS TIMESTAMP)))
+                - epoch(timezone(zone, CAST(CAST(clock AS DATE) AS TIMESTAMP)))) / 3600 AS DOUBLE)
+               AS hours
+    FROM zoned GROUP BY 1, 2, 3""")
+def local_day_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values by station and local day, and how long each of these days is."""
+    events = _zoned_events(spark, sf_dir).select(
+        "station", "zone", "instant", F.col("value").alias("highest"), F.col("value").alias("total")
+    )
+    daily = daily_values(events, ["station"], "instant", kinds={"highest": "max", "total": "sum"})
+    return daily.select(
+        "station", "zone", "date", F.col("highest").cast("double").alias("highest"),
+        F.col("total").cast("double").alias("total"), "observations", "hours",
+    )
+
+
 # ---------------------------------------------------------------- reports
 
 
