@@ -166,19 +166,23 @@ def _entry(name: Column | None = None) -> Column:
     )
 
 
-def _registry_text(
-    spark: SparkSession, sf_dir: str, label: bool = False, name: Column | None = None
-) -> DataFrame:
-    """A registry document with the stations in the order of their vectors' numbers: one of
-    all vectors, or one for each label.
-    """
-    vectors = _table(spark, sf_dir, "embeddings")
-    documents = vectors.groupBy(*(["label"] if label else [])).agg(
-        F.sort_array(F.collect_list(F.struct("vec_id", _entry(name).alias("entry")))).alias("all")
+def _registry_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry documents of 40 stations each, in the order of their vectors' numbers."""
+    vectors = _table(spark, sf_dir, "embeddings").withColumn(
+        "document", F.expr("vec_id div 40")
+    )
+    documents = vectors.groupBy("document").agg(
+        F.sort_array(F.collect_list(F.struct("vec_id", _entry().alias("entry")))).alias("all")
     )
+    return documents.select("document", F.to_json(F.col("all.entry")).alias("value"))
+
+
+def _registry_lines(spark: SparkSession, sf_dir: str, name: Column | None = None) -> DataFrame:
+    """One entry per line, in the order of the vectors' numbers, over several files."""
     # A station without a name has a name that is null, not none.
-    text = F.to_json(F.col("all.entry"), {"ignoreNullFields": "false"})
-    return documents.select(*(["label"] if label else []), text.alias("value"))
+    text = F.to_json(_entry(name), {"ignoreNullFields": "false"})
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", text.alias("value"))
+    return vectors.repartitionByRange("vec_id").sortWithinPartitions("vec_id").select("value")
 
 
 def _stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,14 +443,15 @@ def valid_prefix_unplaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-    SELECT label, CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS INT)
+    SELECT vec_id // 40 AS document,
+           CAST(row_number() OVER (PARTITION BY vec_id // 40 ORDER BY vec_id) - 1 AS INT)
            AS position, 'S' || vec_id AS station_name,
            floor(embedding[1]::DOUBLE * 900000) / 10000 AS lat,
            floor(embedding[2]::DOUBLE * 1800000) / 10000 AS lon
     FROM embeddings""")
 def registry_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A document for each label; the place in it is the position."""
-    return parse_registry(_registry_text(spark, sf_dir, label=True))
+    """Many documents; the place in its document is a station's position."""
+    return parse_registry(_registry_documents(spark, sf_dir))
 
 
 @_query("""
@@ -456,9 +461,9 @@ def registry_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
            CAST(least((row_number() OVER (ORDER BY vec_id) - 1) // 200, 2) AS INT) AS batch
     FROM embeddings""")
 def registry_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document in a file, and the batch of each of its stations."""
+    """Files with one entry per line, numbered by many tasks, and the batch of each station."""
     registry, _, _ = _landed_files(spark, sf_dir)
-    return with_batch(read_registry(spark, registry), size=200)
+    return with_batch(read_registry(spark, registry, lines=True), size=200)
 
 
 @_query("""
@@ -718,8 +723,7 @@ def _landed_files(
 ) -> tuple[str, str, str]:
     """Registry and responses as files, and a folder for what is made of them."""
     folder = working_folder(spark)
-    document = _registry_text(spark, sf_dir, name=name)
-    document.coalesce(1).write.text(f"{folder}/registry")
+    _registry_lines(spark, sf_dir, name).write.text(f"{folder}/registry")
     _landed(spark, sf_dir).write.json(f"{folder}/responses")
     return f"{folder}/registry", f"{folder}/responses", f"{folder}/made"
 
@@ -759,7 +763,7 @@ def weather_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The backfill job: registry and responses from files to a published table."""
     registry, responses, made = _landed_files(spark, sf_dir)
     table = _once("weather_initial")
-    initial_load(spark, registry, responses, made, table=table)
+    initial_load(spark, registry, responses, made, table=table, registry_lines=True)
     return _dropped(spark, conform(read_table(spark, table), WEATHER), table)
 
 
@@ -779,7 +783,7 @@ def weather_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry, responses, made = _landed_files(spark, sf_dir)
     arrivals = _arrivals(spark, sf_dir, made)
     table = _once("weather_last_week")
-    periodic_update(spark, arrivals, registry, responses, made, table=table)
+    periodic_update(spark, arrivals, registry, responses, made, table=table, registry_lines=True)
     return _dropped(spark, conform(read_table(spark, table), WEATHER), table)
 
 
@@ -788,7 +792,9 @@ def update_all_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The periodic job into a folder, with a registry of several batches."""
     registry, responses, made = _landed_files(spark, sf_dir)
     arrivals = _arrivals(spark, sf_dir, made)
-    periodic_update(spark, arrivals, registry, responses, f"{made}/out", batch_size=100)
+    periodic_update(
+        spark, arrivals, registry, responses, f"{made}/out", batch_size=100, registry_lines=True
+    )
     landed = read_folder(spark, f"{made}/out", "csv", schema_as_text(RAW_WEATHER))
     return conform(landed, WEATHER)
 
@@ -802,9 +808,9 @@ def weather_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, delta, delays, target, view = map(
         _once, ("weather_initial", "weather_last_week", "delays_all", "weather_all", "unified_all")
     )
-    initial_load(spark, registry, responses, made, table=base)
+    initial_load(spark, registry, responses, made, table=base, registry_lines=True)
     arrivals = _arrivals(spark, sf_dir, made)
-    periodic_update(spark, arrivals, registry, responses, made, table=delta)
+    periodic_update(spark, arrivals, registry, responses, made, table=delta, registry_lines=True)
     publish_table(conform(_base_and_delta(spark, sf_dir)[1], DELAYS), delays, made, "csv")
     rebuild_weather(spark, made, base, delta, target, delays, view)
     return _dropped(spark, read_table(spark, target), view, target, delays, base, delta)
@@ -942,7 +948,7 @@ def load_outcome_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry, responses, made = _landed_files(spark, sf_dir, name)
     again = _landed(spark, sf_dir).where(F.col("position") % 3 == 0)
     again.write.mode("append").json(responses)
-    report = initial_load(spark, registry, responses, f"{made}/out")
+    report = initial_load(spark, registry, responses, f"{made}/out", registry_lines=True)
     return spark.range(1).select(
         *(F.lit(report[c]).cast("long").alias(c) for c in ("successful", "failed", "total_records"))
     )

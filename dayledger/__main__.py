@@ -25,6 +25,7 @@ def _arguments() -> argparse.Namespace:
     for name in ("initial-load", "periodic-update"):
         job = jobs.add_parser(name)
         job.add_argument("--registry", required=True)
+        job.add_argument("--registry-lines", action="store_true", help="one entry per line")
         job.add_argument("--responses", required=True)
         job.add_argument("--responses-format", help="json or parquet")
         job.add_argument("--output", required=True)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dayledger.operators.joining import null_safe_join
 from dayledger.operators.pairing import STATION_KEY
+from dayledger.session import written
 
 # Names of the report and the flags that they total.
 FLAG_TOTALS = {
@@ -43,6 +44,52 @@ def load_report(rows: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+#: Names that stand more than once in a registry, and may be held beside the totals of a load.
+MOST_REPEATED = 100_000
+
+
+def row_totals() -> list[Column]:
+    """Totals that tasks take while they write rows: the flags, and the set of days.
+
+    Days are few, however many rows there are; so the set, unlike one of stations, is small.
+    """
+    return [
+        *[F.sum(flag).alias(name) for name, flag in FLAG_TOTALS.items()],
+        F.collect_set(as_landed(F.col("date"))).alias("dates"),
+    ]
+
+
+def as_landed(text: Column) -> Column:
+    """Text as it reads back from CSV: without spaces around it, and NULL if nothing is left."""
+    return F.nullif(F.trim(text), F.lit(""))
+
+
+def with_name_kind(stations: DataFrame) -> tuple[DataFrame, bool]:
+    """Add ``_name``, as it lands, and ``_repeats``, whether several stations have it; and whether the
+    repeated names are few enough to be held.
+
+    Stations whose name is their own need no set: the number of names with rows is theirs.
+    """
+    named = stations.withColumn("_name", as_landed(F.col("station_name")))
+    counts = named.where(F.col("_name").isNotNull()).groupBy("_name").agg(F.count(F.lit(1)).alias("n"))
+    again = written(counts.where(F.col("n") > 1).select("_name", F.lit(True).alias("_repeats")))
+    n = again.count()
+    if n == 0 or n > MOST_REPEATED:
+        return named.withColumn("_repeats", F.lit(False)), n == 0
+    marked = null_safe_join(named, again, ["_name"], "left")
+    return marked.withColumn("_repeats", F.coalesce("_repeats", F.lit(False))), True
+
+
+def report_of(rows: int, totals: dict, names_once: int, names_again: list[str]) -> dict[str, int]:
+    """The report of a load from what its tasks have counted: equal to ``load_report`` of its rows."""
+    return {
+        "total_records": rows,
+        "unique_dates": len(totals["dates"]),
+        "unique_stations": names_once + len(names_again),
+        **{name: totals[name] for name in FLAG_TOTALS},
+    }
+
+
 def station_status(
     stations: DataFrame, checked: DataFrame, on: tuple[str, ...] = STATION_KEY
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from dayledger.functions.ranges import Range, in_ranges
 from dayledger.schemas import DAILY_SERIES
 
 # JSON types that compare as numbers.
@@ -67,11 +68,15 @@ def parse_daily(
     )
 
 
-def in_range(day: Column, start: str | None, end: str | None) -> Column:
-    """Inclusive on both ends. A day that is NULL or unreadable stays in."""
+def in_range(
+    day: Column, start: str | None, end: str | None, ranges: list[Range] | None = None
+) -> Column:
+    """Inclusive on both ends; with ``ranges``, in one of these, too. A day that is NULL or
+    unreadable stays in.
+    """
+    wanted = F.lit(True) if ranges is None else in_ranges(day, ranges)
     if start is None and end is None:
-        return F.lit(True)
-    wanted = F.lit(True)
+        return wanted
     if start is not None:
         wanted = wanted & (day.try_cast("date") >= F.lit(start).cast("date"))
     if end is not None:
@@ -86,6 +91,7 @@ def valid_prefix(
     start: str | None = None,
     end: str | None = None,
     time: str = "time",
+    ranges: list[Range] | None = None,
 ) -> DataFrame:
     """Add ``keep``, the number of leading valid days, and ``status``, ok or error.
 
@@ -100,7 +106,7 @@ def valid_prefix(
             gap = gap | F.get(F.col(name), index).isNull()
         for name in required:
             gap = gap | F.col(name).isNull()
-        return gap & in_range(day, start, end)
+        return gap & in_range(day, start, end, ranges)
 
     complete = F.col(time).isNotNull()
     suspect = F.lit(False)
@@ -133,6 +139,7 @@ def explode_days(
     start: str | None = None,
     end: str | None = None,
     time: str = "time",
+    ranges: list[Range] | None = None,
 ) -> DataFrame:
     """One row per kept day: the carried columns, ``day_index``, ``date``, the measures.
 
@@ -144,7 +151,7 @@ def explode_days(
         *measures,
         F.posexplode(F.slice(time, 1, F.col("keep"))).alias("day_index", "date"),
     )
-    return days.where(in_range(F.col("date"), start, end)).select(
+    return days.where(in_range(F.col("date"), start, end, ranges)).select(
         *carry,
         "day_index",
         "date",

@@ -8,9 +8,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from dayledger.functions.flags import flag_above, flag_outside
+from dayledger.functions.ranges import Range
 from dayledger.operators.arrivals import newest_range
 from dayledger.operators.pairing import STATION_KEY, pair
-from dayledger.operators.report import load_report
+from dayledger.operators.report import load_report, report_of, row_totals, with_name_kind
 from dayledger.operators.series import explode_days, in_range, parse_daily, valid_prefix
 from dayledger.schemas import (
     BATCH_SIZE,
@@ -20,7 +21,7 @@ from dayledger.schemas import (
     Thresholds,
     schema_as_text,
 )
-from dayledger.sinks.folders import discard_folder, replace_folder, write_folder
+from dayledger.sinks.folders import Totals, discard_folder, replace_folder, write_folder
 from dayledger.sinks.publish import NoRowsError, publish_table
 from dayledger.sources.registry import in_batch, read_registry, with_batch
 from dayledger.sources.responses import read_responses
@@ -37,10 +38,13 @@ def checked_series(
     start: str | None = None,
     end: str | None = None,
     on: tuple[str, ...] = STATION_KEY,
+    ranges: list[Range] | None = None,
 ) -> DataFrame:
     """One row per station that has a response: its series, ``keep`` and ``status``."""
     paired = pair(stations, responses, on)
-    return valid_prefix(parse_daily(paired), MEASURES, ("lat", "lon"), start, end)
+    return valid_prefix(
+        parse_daily(paired), MEASURES, ("lat", "lon"), start, end, ranges=ranges
+    )
 
 
 def weather_rows(
@@ -49,9 +53,11 @@ def weather_rows(
     end: str | None = None,
     thresholds: Thresholds = Thresholds(),
     extra: tuple[str, ...] = (),
+    ranges: list[Range] | None = None,
 ) -> DataFrame:
     """Raw weather rows. Flags come from the doubles, narrowing to float comes last."""
-    days = explode_days(checked, MEASURES, ["station_name", "lat", "lon", *extra], start, end)
+    carry = ["station_name", "lat", "lon", *extra]
+    days = explode_days(checked, MEASURES, carry, start, end, ranges=ranges)
     values = {
         "latitude": F.col("lat"),
         "longitude": F.col("lon"),
@@ -83,6 +89,7 @@ def land(
     on: tuple[str, ...] = STATION_KEY,
     partition_by: tuple[str, ...] = (),
     table: str | None = None,
+    ranges: list[Range] | None = None,
 ) -> dict[str, int]:
     """Write the raw rows as CSV and return the report.
 
@@ -91,28 +98,36 @@ def land(
     Either way rows are written to a new place first, so a failed or empty run leaves the
     earlier ones.
 
-    Stations that succeed are counted by the writing pass itself, unless a shuffle for the
-    number of files lies above them. A station without a response counts as failed. Days
-    outside the range are counted, too.
+    The report is made by the writing pass itself: rows, flags and the set of days by the tasks that
+    write, stations by those that parse. So nothing is read again; only where the number of files
+    asks for a shuffle are the stations looked through once more, as tasks below a shuffle may run
+    twice, and the rows only if more names belong to several stations than a set may hold. A station without a response counts as failed. Days outside the range are counted, too.
     """
     spark = stations.sparkSession
-    checked = checked_series(stations, responses, start, end, on)
+    named, few = with_name_kind(stations)
+    checked = checked_series(named, responses, start, end, on, ranges)
     status = [
         F.count_if(F.col("status") == "ok").alias("successful"),
-        F.coalesce(F.sum(_left_out(start, end)), F.lit(0)).alias("days_left_out"),
+        F.coalesce(F.sum(_left_out(start, end, ranges)), F.lit(0)).alias("days_left_out"),
+        *_stations_with_rows(start, end, ranges),
     ]
     outcome = None
     if files is None:
         outcome = Observation()
         checked = checked.observe(outcome, *status)
-    rows = weather_rows(checked, start, end, thresholds, partition_by)
+    rows = weather_rows(checked, start, end, thresholds, partition_by, ranges)
     text = schema_as_text(RAW_WEATHER)
+    totals = Totals(*row_totals())
     if table:
-        publish_table(rows, table, output, "csv", files, read_schema=text, require_rows=True)
+        written = publish_table(
+            rows, table, output, "csv", files, read_schema=text, require_rows=True, totals=totals
+        )
     else:
         staged = f"{output.rstrip('/')}._new-{uuid.uuid4().hex}"
         try:
-            written = write_folder(rows, staged, "csv", files, partition_by=partition_by)
+            written = write_folder(
+                rows, staged, "csv", files, partition_by=partition_by, totals=totals
+            )
             if written == 0:
                 raise NoRowsError("no weather data, nothing written")
             replace_folder(spark, staged, output)
@@ -126,28 +141,40 @@ def land(
         "successful": successful,
         "failed": stations.count() - successful,
         "days_left_out": counted["days_left_out"],
+        **report_of(written, totals.values, counted["names_once"], counted["names_again"]),
     }
-    try:
+    if not few:
         landed = spark.table(table) if table else read_folder(spark, output, "csv", text)
-        report.update(load_report(landed).first().asDict())
-    except Exception:
-        # The rows are written; a missing summary must not undo that.
-        log.exception("no summary of %s", output)
+        report["unique_stations"] = load_report(landed).first()["unique_stations"]
     log.info("loaded %s: %s", output, report)
     return report
 
 
-def _left_out(start: str | None, end: str | None) -> Column:
+def _stations_with_rows(
+    start: str | None, end: str | None, ranges: list[Range] | None
+) -> list[Column]:
+    """How many stations with a name of their own have rows, and the other names that have any."""
+    days = F.slice("time", 1, F.col("keep"))
+    there = F.exists(days, lambda day: in_range(day, start, end, ranges))
+    named = F.coalesce(there, F.lit(False)) & F.col("_name").isNotNull()
+    again = F.col("_repeats")
+    return [
+        F.count_if(named & ~again).alias("names_once"),
+        F.collect_set(F.when(named & again, F.col("_name"))).alias("names_again"),
+    ]
+
+
+def _left_out(start: str | None, end: str | None, ranges: list[Range] | None) -> Column:
     """Days of a station's series outside the range."""
-    if start is None and end is None:
+    if start is None and end is None and ranges is None:
         return F.lit(0)
-    outside = F.filter("time", lambda day: ~in_range(day, start, end))
+    outside = F.filter("time", lambda day: ~in_range(day, start, end, ranges))
     return F.when(F.col("time").isNotNull(), F.size(outside))
 
 
-def _registry(spark: SparkSession, registry: str | DataFrame) -> DataFrame:
-    """A document's path, or a table with position, station_name, lat and lon."""
-    return read_registry(spark, registry) if isinstance(registry, str) else registry
+def _registry(spark: SparkSession, registry: str | DataFrame, lines: bool) -> DataFrame:
+    """A document's path, that of files of lines, or a table with position, station_name, lat, lon."""
+    return read_registry(spark, registry, lines) if isinstance(registry, str) else registry
 
 
 def initial_load(
@@ -165,13 +192,16 @@ def initial_load(
     batch_size: int = BATCH_SIZE,
     last_batch: int = LAST_BATCH,
     table: str | None = None,
+    registry_lines: bool = False,
+    ranges: list[Range] | None = None,
 ) -> dict[str, int]:
     """Load all stations and all landed days: as one table, or as a folder with a subfolder per
     batch. A batch or dates, if given, leave the others out, and the report says how many.
 
-    The registry is a document's path or a table of stations.
+    The registry is a document's path, with ``registry_lines`` that of files with one entry per
+    line, or a table of stations.
     """
-    stations = everyone = _registry(spark, registry)
+    stations = everyone = _registry(spark, registry, registry_lines)
     partition_by = ()
     if batch is not None:
         stations = in_batch(stations, batch, batch_size, last_batch)
@@ -180,7 +210,7 @@ def initial_load(
         partition_by = ("batch",)
     landed = read_responses(spark, responses, responses_format, on)
     report = land(
-        stations, landed, output, start, end, files, thresholds, on, partition_by, table
+        stations, landed, output, start, end, files, thresholds, on, partition_by, table, ranges
     )
     left_out = 0
     if batch is not None:

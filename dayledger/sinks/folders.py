@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from dayledger.sources.tables import file_system
 
@@ -15,6 +15,17 @@ PARQUET_OPTIONS = {
 }
 
 
+class Totals:
+    """Aggregates of written rows; their values are there when the write is done.
+
+    They come to the driver, so each must be small: sums, sketches, or sets of few values.
+    """
+
+    def __init__(self, *columns: Column) -> None:
+        self.columns = columns
+        self.values: dict = {}
+
+
 def shaped(
     df: DataFrame, files: int | str | None, cluster_by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -42,21 +53,30 @@ def write_folder(
     mode: str = "overwrite",
     partition_by: tuple[str, ...] = (),
     cluster_by: tuple[str, ...] = (),
+    totals: Totals | None = None,
     **options: str,
 ) -> int:
-    """Write and return the number of rows, counted by the writing tasks themselves."""
+    """Write and return the number of rows, counted by the writing tasks themselves.
+
+    ``totals`` are further aggregates of the rows, taken in the same pass.
+    """
     if files == "auto":
         cluster_by = cluster_by or partition_by
     if fmt == "csv":
         options = {"header": "true", **options}
     counted = Observation()
     # Above the shuffle, if there is one: a map task that runs again would count twice.
-    rows = shaped(df, files, cluster_by).observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows = shaped(df, files, cluster_by).observe(
+        counted, F.count(F.lit(1)).alias("rows"), *(totals.columns if totals else ())
+    )
     writer = rows.write.mode(mode).options(**options).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return counted.get["rows"]
+    found = counted.get
+    if totals:
+        totals.values = {k: v for k, v in found.items() if k != "rows"}
+    return found["rows"]
 
 
 def replace_folder(spark: SparkSession, staged: str, path: str) -> None:

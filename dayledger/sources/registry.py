@@ -1,9 +1,10 @@
-"""Station registry: one JSON array, whose order numbers the stations."""
+"""Station registry: one JSON array, or files with one entry per line; its order numbers them."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from dayledger.operators.numbering import numbered_lines
 from dayledger.schemas import BATCH_SIZE, LAST_BATCH
 
 # Keys that each entry must have.
@@ -21,11 +22,17 @@ def parse_registry(documents: DataFrame, text: str = "value") -> DataFrame:
         F.from_json(text, "array<variant>", {"mode": "FAILFAST"}),
         F.raise_error(F.lit("empty registry document")).cast("array<variant>"),
     )
-    entries = documents.select(
-        *[c for c in documents.columns if c != text],
-        F.posexplode(array).alias("position", "entry"),
+    return _stations(
+        documents.select(
+            *[c for c in documents.columns if c != text],
+            F.posexplode(array).alias("position", "entry"),
+        )
     )
 
+
+def _stations(entries: DataFrame) -> DataFrame:
+    """The variant ``entry`` as station_name, lat, lon."""
+
     def part(key: str, kind: str) -> Column:
         return F.try_variant_get("entry", f"$.{key}", kind)
 
@@ -42,11 +49,22 @@ def parse_registry(documents: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """A registry document. One too large for a single value belongs in a table with a
-    ``position`` column, which all functions that take stations accept as it is.
+def read_registry(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A registry document; with ``lines``, files that have one entry per line.
+
+    A document is one value, so one task parses it. Lines are read by many tasks, which number
+    them without a window: position 0 is the first line of the first file, by path. Blank lines
+    do not count. All functions that take stations also accept a table with a ``position``.
     """
-    return parse_registry(spark.read.text(path, wholetext=True))
+    if not lines:
+        return parse_registry(spark.read.text(path, wholetext=True))
+    text = spark.read.text(path).where(F.trim("value") != "")
+    numbered = numbered_lines(text)
+    # Unlike in a document, the other lines are known to be entries of their own.
+    entry = F.from_json("value", "entry variant", {"mode": "FAILFAST", "singleVariantColumn": "entry"})
+    return _stations(
+        numbered.select(F.col("position").cast("int").alias("position"), entry["entry"].alias("entry"))
+    )
 
 
 def with_batch(

@@ -11,10 +11,13 @@ from dayledger.sources.tables import read_folder
 def read_responses(
     spark: SparkSession, path: str, fmt: str = "json", on: tuple[str, ...] = ("position",)
 ) -> DataFrame:
-    return usable(read_folder(spark, path, fmt, RESPONSES), on)
+    """``_file`` tells the files apart, so that of responses landed again one can be chosen."""
+    landed = read_folder(spark, path, fmt, RESPONSES)
+    return usable(landed.withColumn("_file", F.xxhash64("_metadata.file_path")), on)
 
 
 def usable(responses: DataFrame, on: tuple[str, ...] = ("position",)) -> DataFrame:
     """The key and the body, which is NULL for a failed request: its station is an error."""
     failed = F.coalesce(F.col("status").between(400, 599), F.lit(False))
-    return responses.select(*on, F.when(~failed, F.col("body")).alias("body"))
+    own = ["_file"] if "_file" in responses.columns else []
+    return responses.select(*on, F.when(~failed, F.col("body")).alias("body"), *own)
