@@ -29,7 +29,14 @@ from dayledger.operators.local_days import daily_values, with_local_day, with_zo
 from dayledger.operators.prefix import valid_prefix_rows
 from dayledger.operators.report import load_report, load_status, station_status
 from dayledger.operators.series import explode_days, valid_prefix
-from dayledger.plans.landing import checked_series, initial_load, periodic_update, weather_rows
+from dayledger.plans.landing import (
+    checked_series,
+    every_arrival,
+    every_loaded,
+    initial_load,
+    periodic_update,
+    weather_rows,
+)
 from dayledger.plans.rebuild import rebuild_delays, rebuild_weather
 from dayledger.schemas import DELAYS, RAW_WEATHER, WEATHER, schema_as_text
 from dayledger.session import working_folder
@@ -799,6 +806,47 @@ def update_all_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(landed, WEATHER)
 
 
+_EVERY_SQL = """
+    arrival AS (
+        SELECT row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS k,
+               DATE '2025-06-01' + CAST(o_custkey % 50 AS INT) AS first_day
+        FROM orders QUALIFY k <= 4
+    ),
+    first_load AS (
+        SELECT * FROM day WHERE EXISTS (
+            FROM arrival WHERE k = 1 AND date BETWEEN first_day AND first_day + 5)
+    ),
+    second_load AS (
+        SELECT * FROM day WHERE EXISTS (
+            FROM arrival WHERE k > 1 AND date BETWEEN first_day AND first_day + 5)
+        AND NOT EXISTS (FROM arrival WHERE k = 1 AND date BETWEEN first_day AND first_day + 5)
+    )"""
+
+
+@_query(f"""
+    WITH {_DAYS_SQL}, {_EVERY_SQL}
+    {_weather_sql('first_load', _FROM_TEXT)} UNION ALL {_weather_sql('second_load', _FROM_TEXT)}""")
+def arrivals_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file, then three between two runs, then none: each day of all four loaded once.
+
+    The files' names are those of the four newest orders.
+    """
+    registry, responses, made = _landed_files(spark, sf_dir)
+    orders = _table(spark, sf_dir, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(4)
+    first_day = F.date_add(F.lit("2025-06-01").cast("date"), (F.col("o_custkey") % 50).cast("int"))
+    name = F.concat_ws("_", first_day, F.date_add(first_day, 5), F.col("o_orderkey"), F.lit("delays.csv"))
+    names = [r["name"] for r in orders.select("o_orderdate", "o_orderkey", name.alias("name"))
+             .orderBy(F.desc("o_orderdate"), "o_orderkey").collect()]
+    for arrived in (names[:1], names[1:], []):
+        for file in arrived:
+            place, files = file_system(spark, f"{made}/arrivals/{file}")
+            files.create(place).close()
+        every_arrival(
+            spark, f"{made}/arrivals", registry, responses, f"{made}/out", registry_lines=True
+        )
+    return conform(every_loaded(spark, f"{made}/out"), WEATHER)
+
+
 @_query(f"""
     WITH {_DAYS_SQL}, {_NEWEST_SQL}
     {_weather_sql('day', _FROM_TEXT)} UNION ALL {_weather_sql('ranged', _FROM_TEXT)}""")

@@ -6,6 +6,7 @@ import argparse
 import json
 
 from dayledger.plans import (
+    every_arrival,
     initial_load,
     periodic_update,
     rebuild_all,
@@ -22,19 +23,22 @@ def _files(text: str) -> int | str:
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="dayledger")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("initial-load", "periodic-update"):
+    for name in ("initial-load", "periodic-update", "every-arrival"):
         job = jobs.add_parser(name)
         job.add_argument("--registry", required=True)
         job.add_argument("--registry-lines", action="store_true", help="one entry per line")
         job.add_argument("--responses", required=True)
         job.add_argument("--responses-format", help="json or parquet")
         job.add_argument("--output", required=True)
-        job.add_argument("--batch", type=int, help="all stations if not given")
-        job.add_argument("--table", help="publish as this table, below the output folder")
         job.add_argument("--on", nargs="+", help="key of a response")
-        if name == "periodic-update":
+        if name != "every-arrival":
+            job.add_argument("--batch", type=int, help="all stations if not given")
+            job.add_argument("--table", help="publish as this table, below the output folder")
+        if name != "initial-load":
             job.add_argument("--arrivals", required=True)
-        else:
+        if name == "every-arrival":
+            job.add_argument("--ledger", help="folder of what is loaded; below the output unless given")
+        if name == "initial-load":
             job.add_argument("--start", help="all landed days if not given")
             job.add_argument("--end")
     for name in ("rebuild-weather", "rebuild-delays", "rebuild-all"):
@@ -59,6 +63,7 @@ def main() -> None:
     jobs = {
         "initial-load": initial_load,
         "periodic-update": periodic_update,
+        "every-arrival": every_arrival,
         "rebuild-weather": rebuild_weather,
         "rebuild-delays": rebuild_delays,
         "rebuild-all": rebuild_all,

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from dayledger.functions.flags import flag_above, flag_outside
-from dayledger.functions.ranges import Range
+from dayledger.functions.ranges import Range, without
 from dayledger.operators.arrivals import newest_range
 from dayledger.operators.pairing import STATION_KEY, pair
 from dayledger.operators.report import load_report, report_of, row_totals, with_name_kind
@@ -23,9 +23,10 @@ from dayledger.schemas import (
 )
 from dayledger.sinks.folders import Totals, discard_folder, replace_folder, write_folder
 from dayledger.sinks.publish import NoRowsError, publish_table
+from dayledger.sources import ledger as ledgers
 from dayledger.sources.registry import in_batch, read_registry, with_batch
 from dayledger.sources.responses import read_responses
-from dayledger.sources.tables import list_folder, read_folder
+from dayledger.sources.tables import file_system, list_folder, read_folder
 
 log = logging.getLogger(__name__)
 
@@ -233,3 +234,49 @@ def periodic_update(
     """
     start, end = newest_range(list_folder(spark, arrivals))
     return initial_load(spark, registry, responses, output, batch, start, end, **options)
+
+
+def every_arrival(
+    spark: SparkSession,
+    arrivals: str,
+    registry: str | DataFrame,
+    responses: str,
+    output: str,
+    ledger: str | None = None,
+    **options,
+) -> dict:
+    """Load the days of all files that have arrived since the last run, each day once.
+
+    Takes the options of ``initial_load`` but for dates, a batch and a table. However many files lie
+    between two runs, their days are one load: one pass over the responses, one folder below
+    ``output``. A day that an earlier load has is not loaded again. The load counts when it stands
+    in the ledger (``output/_ledger`` unless told); a run that fails before loads the same files
+    again next time, into the same folder. ``every_loaded`` reads what counts.
+
+    The report has ``files``, the number of files now loaded, ``load``, and ``unreadable``, the files
+    whose names hold no date range. Without any new day nothing is written but the ledger's entry.
+    """
+    ledger = ledger or f"{output.rstrip('/')}/_ledger"
+    found = ledgers.pending(spark, list_folder(spark, arrivals), ledger)
+    report = {"files": len(found.arrivals), "load": None, "unreadable": found.unreadable}
+    if not found.arrivals:
+        return report
+    days = without([a.days for a in found.arrivals], ledgers.loaded_days(spark, ledger))
+    if days:
+        folder = f"{output.rstrip('/')}/load-{found.load}"
+        report |= initial_load(spark, registry, responses, folder, ranges=days, **options)
+    ledgers.commit(spark, ledger, found, report)
+    return {**report, "load": found.load}
+
+
+def every_loaded(spark: SparkSession, output: str, ledger: str | None = None) -> DataFrame:
+    """The rows of all loads in the ledger; folders of runs that failed are not looked at."""
+    root = output.rstrip("/")
+    folders = [f"{root}/load-{load}" for load in ledgers.loads(spark, ledger or f"{root}/_ledger")]
+    _, files = file_system(spark, root)
+    there = [f for f in folders if files.exists(file_system(spark, f)[0])]
+    text = schema_as_text(RAW_WEATHER)
+    if not there:
+        return spark.createDataFrame([], text)
+    rows = spark.read.schema(text).options(header="true", recursiveFileLookup="true")
+    return rows.csv(there)
