@@ -883,7 +883,9 @@ def delays_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"{_BASE_SQL} UNION ALL {_DELTA_SQL}")
 def rebuild_after_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rebuilt twice; rows of 1998 and later come to the base's folder in between, by hand."""
+    """Rebuilt twice; files with rows of 1998 and later come to the base's folder in between, by
+    hand. The second rebuild reads these files alone.
+    """
     root = working_folder(spark)
     base, delta = conform(_base_and_delta(spark, sf_dir)[0], DELAYS), _once("delays_last_week")
     late = F.col("date") >= F.lit("1998-01-01").cast("date")
@@ -893,13 +895,13 @@ def rebuild_after_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"CREATE TABLE {table} ({columns}) USING csv OPTIONS (header 'true') "
               f"LOCATION '{root}/base'")
     publish_table(conform(_base_and_delta(spark, sf_dir)[1], DELAYS), delta, root, "csv")
-    rebuild_delays(spark, root, table, delta, target, changed_only=True)
+    rebuild_delays(spark, root, table, delta, target, by_file=True)
     write_folder(base.where(late), f"{root}/late", "csv")
     place, files = file_system(spark, f"{root}/base")
     for status in files.listStatus(file_system(spark, f"{root}/late")[0]):
         if status.getPath().getName().startswith("part-"):
             files.rename(status.getPath(), place)
-    rebuild_delays(spark, root, table, delta, target, changed_only=True)
+    rebuild_delays(spark, root, table, delta, target, by_file=True)
     return _dropped(spark, read_table(spark, target), target, table, delta)
 
 

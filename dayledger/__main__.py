@@ -45,6 +45,7 @@ def _arguments() -> argparse.Namespace:
         job = jobs.add_parser(name)
         job.add_argument("--root", required=True)
         job.add_argument("--changed-only", action="store_true")
+        job.add_argument("--by-file", action="store_true", help="read each source file once")
         if name != "rebuild-delays":
             job.add_argument("--cluster-by", nargs="+", help="e.g. date")
             job.add_argument("--plain", action="store_true", help="Parquet without dictionaries")

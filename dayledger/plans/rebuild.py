@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import logging
-import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession, types as T
 
 from dayledger.functions.casts import conform
 from dayledger.operators.combine import base_plus_delta, matched
+from dayledger.plans.by_file import rebuild_by_file
 from dayledger.schemas import DELAYS, WEATHER
 from dayledger.sinks.folders import PARQUET_OPTIONS
 from dayledger.sinks.publish import (
@@ -17,6 +18,7 @@ from dayledger.sinks.publish import (
     expect_kind,
     publish_table,
     publish_union,
+    tables_of,
     write_version,
 )
 from dayledger.sinks.views import create_view
@@ -87,7 +89,7 @@ def rebuild_changed(
         table = f"{target}_{part}_{uuid.uuid4().hex}"
         folder, n = write_version(conform(part_rows, schema), table, root, fmt, files, **options)
         made[part], rows = (table, folder), rows + n
-    before = _tables_of(spark, target)
+    before = tables_of(spark, target)
     try:
         for part, (table, folder) in made.items():
             remembered = {}
@@ -107,18 +109,9 @@ def rebuild_changed(
     return rows
 
 
-def _tables_of(spark: SparkSession, view: str) -> list[str]:
-    """The tables that a published union reads, by the names in its text."""
-    if not spark.catalog.tableExists(view):
-        return []
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {view}")
-    text = described.where("col_name = 'View Text'").first()["data_type"]
-    return re.findall(r"FROM (\S+)", text)
-
-
 def _base_of(spark: SparkSession, view: str, fingerprint: str | None) -> str | None:
     """The view's base table, if it was made from just these files."""
-    for table in _tables_of(spark, view)[:1]:
+    for table in tables_of(spark, view)[:1]:
         properties = spark.sql(f"SHOW TBLPROPERTIES {table}").where(f"key = '{_SOURCE_FILES}'")
         row = properties.first()
         if fingerprint is not None and row and row["value"] == fingerprint:
@@ -126,6 +119,12 @@ def _base_of(spark: SparkSession, view: str, fingerprint: str | None) -> str | N
     return None
 
 
+def _job(changed_only: bool, by_file: bool) -> Callable[..., int]:
+    if changed_only and by_file:
+        raise ValueError("changed_only writes a changed base as a whole, by_file its files: choose one")
+    return rebuild_by_file if by_file else rebuild_changed if changed_only else rebuild
+
+
 def rebuild_weather(
     spark: SparkSession,
     root: str,
@@ -138,9 +137,10 @@ def rebuild_weather(
     changed_only: bool = False,
     cluster_by: tuple[str, ...] = (),
     plain: bool = False,
+    by_file: bool = False,
 ) -> int:
     """``plain`` writes without dictionaries, for readers that need it; files grow by far."""
-    job = rebuild_changed if changed_only else rebuild
+    job = _job(changed_only, by_file)
     options = {"cluster_by": tuple(cluster_by), **(PARQUET_OPTIONS if plain else {})}
     rows = job(spark, base, delta, target, WEATHER, root, "parquet", files, **options)
     try:
@@ -159,8 +159,9 @@ def rebuild_delays(
     target: str = "delays_all",
     files: int | str | None = None,
     changed_only: bool = False,
+    by_file: bool = False,
 ) -> int:
-    job = rebuild_changed if changed_only else rebuild
+    job = _job(changed_only, by_file)
     return job(spark, base, delta, target, DELAYS, root, "csv", files)
 
 
@@ -171,9 +172,10 @@ def rebuild_all(
     changed_only: bool = False,
     cluster_by: tuple[str, ...] = (),
     plain: bool = False,
+    by_file: bool = False,
 ) -> dict[str, int]:
     """Delays first, since the view that follows the weather reads both."""
-    options = {"files": files, "changed_only": changed_only}
+    options = {"files": files, "changed_only": changed_only, "by_file": by_file}
     return {
         "delays": rebuild_delays(spark, root, **options),
         "weather": rebuild_weather(spark, root, **options, cluster_by=cluster_by, plain=plain),

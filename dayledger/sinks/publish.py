@@ -8,6 +8,7 @@ one's name: between these two statements of the catalog the name is free for a m
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -145,3 +146,12 @@ def publish_union(spark: SparkSession, view: str, tables: list[str], columns: li
     names = ", ".join(f"`{c}`" for c in columns)
     arms = " UNION ALL ".join(f"SELECT {names} FROM {table}" for table in tables)
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS {arms}")
+
+
+def tables_of(spark: SparkSession, view: str) -> list[str]:
+    """The tables that a published union reads, by the names in its text."""
+    if not spark.catalog.tableExists(view):
+        return []
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {view}")
+    text = described.where("col_name = 'View Text'").first()["data_type"]
+    return re.findall(r"FROM (\S+)", text)

@@ -59,11 +59,12 @@ def file_system(spark: SparkSession, path: str) -> tuple:
     return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
-def files_fingerprint(spark: SparkSession, table: str) -> str | None:
-    """Changes whenever a file of the table is added, removed or rewritten.
+# Fixed value: scheme and slashes in front of a path.
+_SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:/*|^/*"
 
-    None if the table's files are not all in one folder.
-    """
+
+def table_folder(spark: SparkSession, table: str) -> str | None:
+    """Where a table's files are; None if they are not all in one folder."""
     if any(column.isPartition for column in spark.catalog.listColumns(table)):
         return None
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
@@ -73,10 +74,40 @@ def files_fingerprint(spark: SparkSession, table: str) -> str | None:
         .select("data_type")
         .first()
     )
+    return location and location[0]
+
+
+def source_files(spark: SparkSession, table: str) -> DataFrame:
+    """(path, time, size) of a table's files, each as rows of it have them in ``_metadata``.
+
+    A table reads the files directly in its folder; those in subfolders are none of its own.
+    """
+    folder = table_folder(spark, table)
+    if folder is None:
+        raise ValueError(f"the files of {table} are not all in one folder")
+    place, files = file_system(spark, folder)
+    if not files.exists(place):
+        return spark.createDataFrame([], "path string, time timestamp, size long")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    depth = len(re.sub(_SCHEME, "", folder.rstrip("/")).split("/"))
+    path = F.col("_metadata.file_path")
+    return files.where(F.size(F.split(F.regexp_replace(path, _SCHEME, ""), "/")) == depth + 1).select(
+        path.alias("path"),
+        F.col("_metadata.file_modification_time").alias("time"),
+        F.col("_metadata.file_size").alias("size"),
+    )
+
+
+def files_fingerprint(spark: SparkSession, table: str) -> str | None:
+    """Changes whenever a file of the table is added, removed or rewritten.
+
+    None if the table's files are not all in one folder.
+    """
+    location = table_folder(spark, table)
     if location is None:
         return None
     found = (
-        _files(spark, location[0])
+        _files(spark, location)
         .agg(
             F.count(F.lit(1)).alias("files"),
             F.sum("length").alias("bytes"),
