@@ -12,6 +12,7 @@ import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,12 +23,18 @@ from dayledger.functions.casts import conform
 from dayledger.functions.filenames import last_segment
 from dayledger.functions.flags import flag_above, flag_outside
 from dayledger.functions.zones import local_time
-from dayledger.operators.arrivals import newest, newest_range, with_date_range
+from dayledger.operators.arrivals import ArrivalError, newest, newest_range, with_date_range
 from dayledger.operators.combine import base_plus_delta, union_counts, unified_long
 from dayledger.operators.joining import null_safe_join
 from dayledger.operators.local_days import daily_values, with_local_day, with_zone
 from dayledger.operators.prefix import valid_prefix_rows
-from dayledger.operators.report import load_report, load_status, station_status
+from dayledger.operators.report import (
+    load_report,
+    load_sketch,
+    load_status,
+    merged_report,
+    station_status,
+)
 from dayledger.operators.series import explode_days, valid_prefix
 from dayledger.plans.landing import (
     checked_series,
@@ -39,9 +46,9 @@ from dayledger.plans.landing import (
 )
 from dayledger.plans.rebuild import rebuild_delays, rebuild_weather
 from dayledger.schemas import DELAYS, RAW_WEATHER, WEATHER, schema_as_text
-from dayledger.session import working_folder
-from dayledger.sinks.folders import write_folder
-from dayledger.sinks.publish import publish_table
+from dayledger.session import working_folder, written
+from dayledger.sinks.folders import PARQUET_OPTIONS, write_folder
+from dayledger.sinks.publish import NoRowsError, publish_table
 from dayledger.sinks.views import create_temp_view, create_view
 from dayledger.sources.registry import (
     batch_sizes,
@@ -50,7 +57,12 @@ from dayledger.sources.registry import (
     read_registry,
     with_batch,
 )
-from dayledger.sources.responses import usable
+from dayledger.sources.responses import (
+    accepted_lines,
+    checked_lines,
+    rejected_lines,
+    usable,
+)
 from dayledger.sources.tables import days_between, file_system, read_folder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -932,6 +944,44 @@ def publish_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_folder(spark, folder, "parquet", rows.schema)
 
 
+@_query(f"""
+    SELECT 'day' AS asked, * FROM ({_OBSERVATIONS_SQL})
+    WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+    UNION ALL SELECT 'station', * FROM ({_OBSERVATIONS_SQL}) WHERE station_name = '7'""")
+def skipping_by_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laid out by day and station together, without dictionaries; then asked by either column."""
+    folder = working_folder(spark)
+    rows = _observations(spark, sf_dir)
+    write_folder(rows, folder, "parquet", 32, z_order=("date", "station_name"), **PARQUET_OPTIONS)
+    landed = read_folder(spark, folder, "parquet", rows.schema)
+    days = landed.where(F.col("date").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-12").cast("date")))
+    station = landed.where(F.col("station_name") == "7")
+    return days.select(F.lit("day").alias("asked"), "*").union(
+        station.select(F.lit("station").alias("asked"), "*")
+    )
+
+
+@_query("""
+    SELECT true AS few_files, count(*) AS orders, min(o_orderkey) AS first, max(o_orderkey) AS last,
+           CAST(sum(o_orderkey) AS BIGINT) AS keys
+    FROM orders""")
+def number_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published in three files at most."""
+    folder = working_folder(spark)
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    write_folder(rows, folder, "csv", 3)
+    landed = read_folder(spark, folder, "csv", rows.schema).select(
+        "o_orderkey", F.col("_metadata.file_name").alias("file")
+    )
+    return landed.agg(
+        (F.count_distinct("file") <= 3).alias("few_files"),
+        F.count(F.lit(1)).alias("orders"),
+        F.min("o_orderkey").alias("first"),
+        F.max("o_orderkey").alias("last"),
+        F.sum("o_orderkey").alias("keys"),
+    )
+
+
 _PUBLISHED_SQL = _UNIFIED_SQL.replace(
     f"({_DELAYS_SQL})", f"({_BASE_SQL} UNION ALL {_DELTA_SQL})"
 )
@@ -970,6 +1020,31 @@ def published_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+@_query(f"""
+    SELECT count(*) AS total_records, true AS near_dates, true AS near_stations,
+           count(DISTINCT date) AS unique_dates, count(DISTINCT station_name) AS unique_stations,
+           CAST(sum(extreme_wind) AS BIGINT) AS extreme_wind_count
+    FROM ({_OBSERVATIONS_SQL})""")
+def merged_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of three loads merged: totals exact, distinct days and stations within 2 %."""
+    rows = _observations(spark, sf_dir)
+    loads = [rows.where(F.pmod(F.xxhash64("station_name", "date"), F.lit(3)) == k) for k in range(3)]
+    sketches = written(reduce(DataFrame.union, map(load_sketch, loads)))
+    near = merged_report(sketches).select(
+        F.col("unique_dates").alias("d"), F.col("unique_stations").alias("s")
+    )
+    exact = merged_report(sketches, exact=rows)
+
+    def close(estimate: str, value: str) -> Column:
+        return F.abs(F.col(estimate) - F.col(value)) <= 0.02 * F.col(value)
+
+    return exact.crossJoin(near).select(
+        "total_records", close("d", "unique_dates").alias("near_dates"),
+        close("s", "unique_stations").alias("near_stations"), "unique_dates", "unique_stations",
+        "extreme_wind_count",
+    )
+
+
 @_query(f"""
     WITH {_DAYS_SQL}, loaded AS ({_weather_sql()})
     SELECT count(*) AS total_records, count(DISTINCT date) AS unique_dates,
@@ -1004,6 +1079,85 @@ def load_outcome_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("""
+    SELECT 'used' AS reason, count(*) AS lines FROM embeddings
+    UNION ALL SELECT CASE o_orderstatus WHEN 'F' THEN 'a field of another type'
+                          WHEN 'O' THEN 'not an object' ELSE 'not JSON' END, count(*)
+              FROM orders GROUP BY 1
+    UNION ALL SELECT 'no key', count(*) FROM events
+    UNION ALL SELECT 'no status and no body', count(*) FROM supplier""")
+def response_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good responses among lines that are none: each line is used or rejected with its reason."""
+    folder = working_folder(spark)
+    order, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    bad = _table(spark, sf_dir, "orders").select(
+        F.when(status == "F", F.format_string('{"position": "x%s", "status": 200}', order))
+        .when(status == "O", F.format_string("[%s]", order))
+        .otherwise(F.format_string('{"position": %s', order))
+        .alias("value")
+    )
+    bare = _table(spark, sf_dir, "supplier").select(
+        F.to_json(F.struct(F.col("s_suppkey").alias("position"))).alias("value")
+    )
+    keyless = _table(spark, sf_dir, "events").select(F.col("props").alias("value"))
+    good = _landed(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+    reduce(DataFrame.union, (good, bad, bare, keyless)).write.text(folder)
+    lines = checked_lines(spark, folder)
+    turned_away = rejected_lines(lines).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+    used = accepted_lines(lines).agg(F.count(F.lit(1)).alias("lines"))
+    return used.select(F.lit("used").alias("reason"), "lines").union(turned_away)
+
+
+@_query("""
+    SELECT status AS listing, count(o_orderkey) = 0 AS refused,
+           CASE WHEN count(o_orderkey) = 0 THEN 'no file has arrived'
+                ELSE strftime(arg_max(o_orderdate, {'t': o_orderdate, 'k': -o_orderkey}), '%Y-%m-%d') END
+               AS answer
+    FROM (SELECT unnest(['F', 'O', 'P', 'none']) AS status) LEFT JOIN orders ON o_orderstatus = status
+    GROUP BY status""")
+def refused_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as arrived files, by status: the newest one's first day, or that none has arrived."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    listing = _table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("modificationTime"),
+        F.col("o_orderkey").alias("path"), F.concat_ws("_", day, day, F.lit("delays.csv")).alias("name"),
+    )
+    rows = []
+    for status in ("F", "O", "P", "none"):
+        try:
+            answer = newest_range(listing.where(F.col("status") == status))[0]
+            rows.append((status, False, answer))
+        except ArrivalError as refusal:
+            rows.append((status, True, str(refusal)))
+    return spark.createDataFrame(rows, "listing string, refused boolean, answer string")
+
+
+@_query(f"""
+    WITH {_DAYS_SQL},
+    loaded AS ({_weather_sql()}),
+    stations AS (SELECT vec_id, 'S' || vec_id AS station_name, label = 9 AS failing FROM embeddings)
+    SELECT failing, count(l.date) = 0 AS refused, count(l.date) AS total_records
+    FROM stations LEFT JOIN loaded l USING (station_name) GROUP BY failing""")
+def refused_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load publishes nothing where every request has failed, and the earlier rows stay."""
+    registry, responses, made = _landed_files(spark, sf_dir)
+    labels = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("int").alias("position"), "label"
+    )
+    stations = read_registry(spark, registry, lines=True).join(labels, "position")
+    rows = []
+    for failing in (False, True):
+        some = stations.where((F.col("label") == 9) == failing).drop("label")
+        try:
+            report = initial_load(spark, some, responses, f"{made}/out")
+            rows.append((failing, False, report["total_records"]))
+        except NoRowsError:
+            rows.append((failing, True, 0))
+    landed = read_folder(spark, f"{made}/out", "csv", schema_as_text(RAW_WEATHER)).count()
+    assert landed == rows[0][2]
+    return spark.createDataFrame(rows, "failing boolean, refused boolean, total_records long")
+
+
 @_query(f"""
     WITH {_DAYS_SQL}, station AS (
         SELECT vec_id, max(CASE WHEN t IS NULL OR p IS NULL THEN 1 ELSE 0 END) AS failed

@@ -59,6 +59,48 @@ def row_totals() -> list[Column]:
     ]
 
 
+#: Registers of a sketch, as a power of two: 2 to the 14th errs by less than one hundredth, mostly.
+SKETCH_SIZE = 14
+
+
+def sketch_totals(size: int = SKETCH_SIZE) -> list[Column]:
+    """Sketches of the days and stations, which tasks take while they write rows; 16 kB each."""
+    return [
+        F.hll_sketch_agg(as_landed(F.col(c)), size).alias(into)
+        for c, into in (("date", "date_sketch"), ("station_name", "station_sketch"))
+    ]
+
+
+def load_sketch(rows: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """One row that can be merged with those of other loads: records, flags, and two sketches."""
+    text = rows.withColumns({c: F.col(c).cast("string") for c in ("date", "station_name")})
+    return text.agg(
+        F.count(F.lit(1)).alias("total_records"),
+        *[F.coalesce(F.sum(flag), F.lit(0)).alias(name) for name, flag in FLAG_TOTALS.items()],
+        *sketch_totals(size),
+    )
+
+
+def merged_report(sketches: DataFrame, exact: DataFrame | None = None) -> DataFrame:
+    """The report of all loads whose sketches are given, without a look at their rows.
+
+    Records and flags add up exactly. Days and stations that several loads share count once, within
+    the sketch's error; with ``exact``, the rows of the loads, they are counted instead.
+    """
+    totals = sketches.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total_records", *FLAG_TOTALS)],
+        *[
+            F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(sketch)), F.lit(0)).alias(name)
+            for sketch, name in (("date_sketch", "unique_dates"), ("station_sketch", "unique_stations"))
+        ],
+    )
+    names = ["total_records", "unique_dates", "unique_stations", *FLAG_TOTALS]
+    if exact is None:
+        return totals.select(*names)
+    counted = load_report(exact).select("unique_dates", "unique_stations")
+    return totals.drop("unique_dates", "unique_stations").crossJoin(counted).select(*names)
+
+
 def as_landed(text: Column) -> Column:
     """Text as it reads back from CSV: without spaces around it, and NULL if nothing is left."""
     return F.nullif(F.trim(text), F.lit(""))

@@ -11,7 +11,14 @@ from dayledger.functions.flags import flag_above, flag_outside
 from dayledger.functions.ranges import Range, without
 from dayledger.operators.arrivals import newest_range
 from dayledger.operators.pairing import STATION_KEY, pair
-from dayledger.operators.report import load_report, report_of, row_totals, with_name_kind
+from dayledger.operators.report import (
+    FLAG_TOTALS,
+    load_report,
+    report_of,
+    row_totals,
+    sketch_totals,
+    with_name_kind,
+)
 from dayledger.operators.series import explode_days, in_range, parse_daily, valid_prefix
 from dayledger.schemas import (
     BATCH_SIZE,
@@ -25,7 +32,12 @@ from dayledger.sinks.folders import Totals, discard_folder, replace_folder, writ
 from dayledger.sinks.publish import NoRowsError, publish_table
 from dayledger.sources import ledger as ledgers
 from dayledger.sources.registry import in_batch, read_registry, with_batch
-from dayledger.sources.responses import read_responses
+from dayledger.sources.responses import (
+    accepted_lines,
+    checked_lines,
+    read_responses,
+    rejected_lines,
+)
 from dayledger.sources.tables import file_system, list_folder, read_folder
 
 log = logging.getLogger(__name__)
@@ -91,6 +103,7 @@ def land(
     partition_by: tuple[str, ...] = (),
     table: str | None = None,
     ranges: list[Range] | None = None,
+    sketches: str | None = None,
 ) -> dict[str, int]:
     """Write the raw rows as CSV and return the report.
 
@@ -118,7 +131,7 @@ def land(
         checked = checked.observe(outcome, *status)
     rows = weather_rows(checked, start, end, thresholds, partition_by, ranges)
     text = schema_as_text(RAW_WEATHER)
-    totals = Totals(*row_totals())
+    totals = Totals(*row_totals(), *(sketch_totals() if sketches else ()))
     if table:
         written = publish_table(
             rows, table, output, "csv", files, read_schema=text, require_rows=True, totals=totals
@@ -147,10 +160,21 @@ def land(
     if not few:
         landed = spark.table(table) if table else read_folder(spark, output, "csv", text)
         report["unique_stations"] = load_report(landed).first()["unique_stations"]
+    if sketches:
+        _store_sketch(spark, sketches, report, totals.values)
     log.info("loaded %s: %s", output, report)
     return report
 
 
+def _store_sketch(spark: SparkSession, folder: str, report: dict, totals: dict) -> None:
+    """Add a load's row to the folder of sketches, where ``merged_report`` finds it."""
+    kinds = {"total_records": "long", **dict.fromkeys(FLAG_TOTALS, "long")}
+    kinds |= {"date_sketch": "binary", "station_sketch": "binary"}
+    row = [report[c] if c in report else bytes(totals[c]) for c in kinds]
+    schema = ", ".join(f"{c} {kind}" for c, kind in kinds.items())
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(folder)
+
+
 def _stations_with_rows(
     start: str | None, end: str | None, ranges: list[Range] | None
 ) -> list[Column]:
@@ -195,12 +219,16 @@ def initial_load(
     table: str | None = None,
     registry_lines: bool = False,
     ranges: list[Range] | None = None,
+    sketches: str | None = None,
+    rejected: str | None = None,
 ) -> dict[str, int]:
     """Load all stations and all landed days: as one table, or as a folder with a subfolder per
     batch. A batch or dates, if given, leave the others out, and the report says how many.
 
     The registry is a document's path, with ``registry_lines`` that of files with one entry per
-    line, or a table of stations.
+    line, or a table of stations. ``sketches`` is a folder to which the load adds a row that can be
+    merged with those of other loads; ``rejected`` one to which it writes the lines of JSON responses
+    that can't be used, with the reason.
     """
     stations = everyone = _registry(spark, registry, registry_lines)
     partition_by = ()
@@ -209,14 +237,24 @@ def initial_load(
     elif not table:
         stations = with_batch(stations, batch_size, last_batch)
         partition_by = ("batch",)
-    landed = read_responses(spark, responses, responses_format, on)
+    if rejected:
+        if responses_format != "json":
+            raise ValueError("only lines of JSON can be rejected")
+        lines = checked_lines(spark, responses, on)
+        rejects = rejected_lines(lines)
+        turned_away = write_folder(rejects, rejected, "json")
+        landed = accepted_lines(lines, on)
+    else:
+        landed = read_responses(spark, responses, responses_format, on)
     report = land(
-        stations, landed, output, start, end, files, thresholds, on, partition_by, table, ranges
-    )
+        stations, landed, output, start, end, files, thresholds, on, partition_by, table, ranges,
+        sketches,
+    )
     left_out = 0
     if batch is not None:
         left_out = everyone.select("position").count() - report["successful"] - report["failed"]
-    return {**report, "stations_left_out": left_out}
+    report["stations_left_out"] = left_out
+    return {**report, "rejected": turned_away} if rejected else report
 
 
 def periodic_update(

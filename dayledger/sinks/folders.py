@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from dayledger.functions.zorder import z_key
 from dayledger.sources.tables import file_system
 
 # Writer options of the published Parquet table.
@@ -27,7 +28,10 @@ class Totals:
 
 
 def shaped(
-    df: DataFrame, files: int | str | None, cluster_by: tuple[str, ...] = ()
+    df: DataFrame,
+    files: int | str | None,
+    cluster_by: tuple[str, ...] = (),
+    z_order: tuple[str, ...] = (),
 ) -> DataFrame:
     """How rows are spread over files.
 
@@ -37,7 +41,21 @@ def shaped(
 
     ``cluster_by`` brings rows with equal values together, so that later scans can skip files
     by their minimum and maximum. Large groups are cut as with "auto".
+
+    ``z_order`` lays rows out so that files can be skipped by each of several columns: they are dealt
+    by ranges of a key in which all the columns have part. ``files`` is then the number of ranges;
+    rows that are equal in the key are dealt out, too.
     """
+    if z_order:
+        if cluster_by:
+            raise ValueError("rows are laid out by cluster_by or by z_order")
+        keyed = df.withColumns({"_z": z_key(df, z_order), "_apart": F.xxhash64(*df.columns)})
+        ranged = (
+            keyed.repartitionByRange(files, "_z", "_apart")
+            if isinstance(files, int)
+            else keyed.repartitionByRange("_z", "_apart")
+        )
+        return ranged.sortWithinPartitions("_z", *z_order).drop("_z", "_apart")
     if cluster_by or files == "auto":
         return df.hint("rebalance", *cluster_by)
     if files is None:
@@ -54,6 +72,7 @@ def write_folder(
     partition_by: tuple[str, ...] = (),
     cluster_by: tuple[str, ...] = (),
     totals: Totals | None = None,
+    z_order: tuple[str, ...] = (),
     **options: str,
 ) -> int:
     """Write and return the number of rows, counted by the writing tasks themselves.
@@ -66,7 +85,7 @@ def write_folder(
         options = {"header": "true", **options}
     counted = Observation()
     # Above the shuffle, if there is one: a map task that runs again would count twice.
-    rows = shaped(df, files, cluster_by).observe(
+    rows = shaped(df, files, cluster_by, z_order).observe(
         counted, F.count(F.lit(1)).alias("rows"), *(totals.columns if totals else ())
     )
     writer = rows.write.mode(mode).options(**options).format(fmt)
