@@ -1030,15 +1030,19 @@ def merged_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _observations(spark, sf_dir)
     loads = [rows.where(F.pmod(F.xxhash64("station_name", "date"), F.lit(3)) == k) for k in range(3)]
     sketches = written(reduce(DataFrame.union, map(load_sketch, loads)))
-    near = merged_report(sketches).select(
-        F.col("unique_dates").alias("d"), F.col("unique_stations").alias("s")
+    near = merged_report(sketches).withColumnsRenamed(
+        {"unique_dates": "d", "unique_stations": "s"}
     )
     exact = merged_report(sketches, exact=rows)
+    names = [*exact.columns, "d", "s"]
+    both = exact.unionByName(near.select("d", "s"), allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in names]
+    )
 
     def close(estimate: str, value: str) -> Column:
         return F.abs(F.col(estimate) - F.col(value)) <= 0.02 * F.col(value)
 
-    return exact.crossJoin(near).select(
+    return both.select(
         "total_records", close("d", "unique_dates").alias("near_dates"),
         close("s", "unique_stations").alias("near_stations"), "unique_dates", "unique_stations",
         "extreme_wind_count",

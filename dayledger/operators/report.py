@@ -97,8 +97,11 @@ def merged_report(sketches: DataFrame, exact: DataFrame | None = None) -> DataFr
     names = ["total_records", "unique_dates", "unique_stations", *FLAG_TOTALS]
     if exact is None:
         return totals.select(*names)
-    counted = load_report(exact).select("unique_dates", "unique_stations")
-    return totals.drop("unique_dates", "unique_stations").crossJoin(counted).select(*names)
+    uniques = ["unique_dates", "unique_stations"]
+    counted = load_report(exact).select(*uniques)
+    # Two single rows side by side, without a join.
+    both = totals.drop(*uniques).unionByName(counted, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in names])
 
 
 def as_landed(text: Column) -> Column:
