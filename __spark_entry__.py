@@ -48,7 +48,7 @@ from dayledger.plans.rebuild import rebuild_delays, rebuild_weather
 from dayledger.schemas import DELAYS, RAW_WEATHER, WEATHER, schema_as_text
 from dayledger.session import working_folder, written
 from dayledger.sinks.folders import PARQUET_OPTIONS, write_folder
-from dayledger.sinks.publish import NoRowsError, publish_table
+from dayledger.sinks.publish import NoRowsError, publish_bucketed, publish_table
 from dayledger.sinks.views import create_temp_view, create_view
 from dayledger.sources.registry import (
     batch_sizes,
@@ -961,6 +961,29 @@ def skipping_by_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("""
+    SELECT o_orderkey, o_custkey, c_name, c_mktsegment, o_totalprice
+    FROM orders JOIN customer ON o_custkey = c_custkey""")
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as stations and their orders in buckets of the same key; the orders published twice."""
+    root = working_folder(spark)
+    stations, rows = _once("stations_bucketed"), _once("rows_bucketed")
+    customers = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("station"), "c_name", "c_mktsegment"
+    )
+    orders = _table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("station"), "o_orderkey", "o_totalprice"
+    )
+    publish_bucketed(customers, stations, root, ("station",), 8)
+    publish_bucketed(orders.where("o_orderkey % 2 = 0"), rows, root, ("station",), 8)
+    publish_bucketed(orders, rows, root, ("station",), 8)
+    joined = read_table(spark, rows).join(read_table(spark, stations).hint("merge"), "station")
+    result = joined.select(
+        "o_orderkey", F.col("station").alias("o_custkey"), "c_name", "c_mktsegment", "o_totalprice"
+    )
+    return _dropped(spark, result, stations, rows)
+
+
 @_query("""
     SELECT true AS few_files, count(*) AS orders, min(o_orderkey) AS first, max(o_orderkey) AS last,
            CAST(sum(o_orderkey) AS BIGINT) AS keys

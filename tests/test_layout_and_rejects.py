@@ -11,6 +11,7 @@ from dayledger.functions.zorder import z_key
 from dayledger.operators.report import load_report, load_sketch, merged_report
 from dayledger.plans.landing import initial_load
 from dayledger.sinks.folders import PARQUET_OPTIONS, write_folder
+from dayledger.sinks.publish import publish_bucketed
 from dayledger.sources.responses import accepted_lines, checked_lines, rejected_lines
 
 
@@ -153,3 +154,36 @@ def test_rows_in_are_rows_used_and_rows_rejected(spark, tmp_path):
     assert plain == {k: v for k, v in report.items() if k != "rejected"}
     with pytest.raises(ValueError, match="lines of JSON"):
         initial_load(spark, **inputs, output="x", responses_format="parquet", rejected="y")
+
+
+# ---------------------------------------------------------------- buckets
+
+
+def test_tables_in_buckets_are_joined_without_a_shuffle(spark, tmp_path):
+    names = "b_stations", "b_rows"
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    stations = spark.range(100).select(F.col("id").alias("position"), F.concat(F.lit("S"), "id").alias("name"))
+    rows = spark.range(5000).select((F.col("id") % 120).alias("position"), F.col("id").alias("value"))
+    rows = rows.union(spark.createDataFrame([(None, -1)], "position long, value long"))
+    assert publish_bucketed(stations, names[0], str(tmp_path), ("position",), 6) == 100
+    for part in (rows.where("value < 100"), rows):
+        assert publish_bucketed(part, names[1], str(tmp_path), ("position",), 6) == part.count()
+        joined = spark.table(names[1]).join(spark.table(names[0]).hint("merge"), "position")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        grouped = spark.table(names[1]).groupBy("position").count()
+        assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+        expected = part.join(stations, "position")
+        assert joined.exceptAll(expected).isEmpty() and joined.count() == expected.count()
+    files = spark.table(names[1]).select("_metadata.file_name").distinct().count()
+    assert files <= 6
+    # Another number of buckets: the table is defined anew.
+    publish_bucketed(rows, names[1], str(tmp_path), ("position",), 3)
+    assert spark.table(names[1]).count() == 5001
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith("b_rows")]
+    assert left == ["b_rows"]
+    with pytest.raises(ValueError, match="a key and a number"):
+        publish_bucketed(rows, names[1], str(tmp_path), (), 3)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
