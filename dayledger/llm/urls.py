@@ -3,19 +3,23 @@
 A rule names a host, with all its subdomains, and the beginning of a path; the longest that fits
 decides. What the rules decide serves as labels for the rest. Per host a tree of path templates is
 grown level by level: segments that look like numbers, hashes or dates become wildcards at once;
-where a place has many different segments, the rare ones become one wildcard; branches of one
-place whose labels agree within chance, and below which paths look alike, are merged. A URL is
-rejected if its template's share of blocked labels, smoothed towards the shares of the templates
-above it, is ``REJECT`` or more.
+where a place has many different segments, the rare ones become one wildcard, but for those whose
+labels differ from the other rare ones'; branches of one place whose labels agree within chance, and
+below which paths look alike, are merged. Below ``DEPTH`` levels a place is only looked into where it
+has labels of both kinds. A URL is rejected if its template's share of blocked labels, smoothed
+towards the shares of the templates above it, is ``REJECT`` or more.
 
 Counts come from one aggregation by host and path form; hot hosts are only sums there, and no
 step brings a host's URLs into one task. Null URLs and those without ``://`` have an empty host and
-path, and are judged like a host of that name. Paths deeper than ``DEPTH`` segments end in a
-wildcard for the rest. Of rows with equal keys each is judged on its own.
+path, and are judged like a host of that name; so are empty ones. Very long URLs are read whole; what
+is deeper than ``DEEPEST`` segments is one wildcard. Of rows with equal keys each is judged on its own;
+of rules of equal length the one that sorts last holds. An empty table gives an empty result. Other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,8 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .common import lower_ascii, table, written
 
 ALLOW, BLOCK = "allow", "block"
-#: Levels of the tree, the host not counted.
-DEPTH = 5
+#: Levels of the tree, the host not counted, and those that it may have where labels still differ.
+DEPTH, DEEPEST = 5, 32
 #: Different segments of a place from which rare ones (less than 1 / WIDE of it) are merged.
 WIDE = 40
 #: Labels that the share above counts for; share from which a template is rejected.
@@ -90,7 +94,7 @@ def _form(segment: Column) -> Column:
     return F.concat(look, ending)
 
 
-def path_form(path: Column, depth: int = DEPTH) -> Column:
+def path_form(path: Column, depth: int = DEEPEST) -> Column:
     """Segments with their look; what lies deeper is one segment."""
     parts = F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), _form)
     cut = F.concat(F.slice(parts, 1, depth), F.array(F.lit("<rest>")))
@@ -101,13 +105,20 @@ def _generalised(forms: DataFrame, level: int, wide: int) -> DataFrame:
     """``forms`` with the segment of this level kept, or a wildcard where it is one of many."""
     here = F.get("form", F.lit(level))
     each = forms.where(here.isNotNull()).groupBy("host", "prefix", here.alias("segment"))
-    children = each.agg(F.sum("n").alias("n"))
+    counts = ("n", "allowed", "blocked")
+    children = each.agg(*(F.sum(c).alias(c) for c in counts))
     places = children.groupBy("host", "prefix").agg(
         F.count(F.lit(1)).alias("width"), F.sum("n").alias("all")
     )
+    few = children.join(places, ["host", "prefix"]).where(
+        (F.col("width") > wide) & (F.col("n") * wide < F.col("all"))
+    )
+    pools = few.groupBy("host", "prefix").agg(
+        *(F.sum(c).alias(f"all_{c}") for c in ("allowed", "blocked"))
+    )
     rare = (
-        children.join(places, ["host", "prefix"])
-        .where((F.col("width") > wide) & (F.col("n") * wide < F.col("all")))
+        few.join(pools, ["host", "prefix"])
+        .where(_agrees())
         .select("host", "prefix", "segment", F.lit("<any>").alias("wild"))
     )
     return forms.withColumn("segment", here).join(
@@ -115,9 +126,17 @@ def _generalised(forms: DataFrame, level: int, wide: int) -> DataFrame:
     ).withColumn("segment", F.coalesce("wild", "segment")).drop("wild")
 
 
+def _agrees() -> Column:
+    """Whether a branch's labels are those of its like, within chance; without labels they are."""
+    labels = F.col("allowed") + F.col("blocked")
+    share = (F.col("all_blocked") + 0.5) / (F.col("all_allowed") + F.col("all_blocked") + 1)
+    gap = F.abs(F.col("blocked") - labels * share)
+    return gap <= DEVIATIONS * F.sqrt(labels * share * (1 - share)) + 0.5
+
+
 def _merged(forms: DataFrame, level: int) -> DataFrame:
     """``forms`` with branches of one place merged, if they look alike and their labels agree."""
-    below = F.array_join(F.slice("form", level + 2, DEPTH + 1), "/")
+    below = F.array_join(F.slice("form", level + 2, F.size("form")), "/")
     branch = ["host", "prefix", "segment"]
     known = forms.where(F.col("segment").isNotNull()).withColumn("below", below)
     shapes = known.groupBy(*branch, "below").agg(
@@ -132,12 +151,9 @@ def _merged(forms: DataFrame, level: int) -> DataFrame:
         *(F.sum(c).alias(f"all_{c}") for c in ("allowed", "blocked")),
     )
     labels = F.col("allowed") + F.col("blocked")
-    share = (F.col("all_blocked") + 0.5) / (F.col("all_allowed") + F.col("all_blocked") + 1)
-    gap = F.abs(F.col("blocked") - labels * share)
-    agrees = gap <= DEVIATIONS * F.sqrt(labels * share * (1 - share)) + 0.5
     same = (
         branches.join(kinds, ["host", "prefix", "like"])
-        .where((F.col("members") > 1) & agrees & (labels > 0))
+        .where((F.col("members") > 1) & _agrees() & (labels > 0))
         .select(*branch, F.concat(F.lit("<like "), "like", F.lit(">")).alias("group"))
     )
     return (
@@ -147,7 +163,9 @@ def _merged(forms: DataFrame, level: int) -> DataFrame:
     )
 
 
-def templates(judged: DataFrame, depth: int = DEPTH, wide: int = WIDE) -> DataFrame:
+def templates(
+    judged: DataFrame, depth: int = DEPTH, wide: int = WIDE, deepest: int = DEEPEST
+) -> DataFrame:
     """``host, form, template, blocked_share`` from ``host, form, verdict`` (null: no label)."""
     one = F.lit(1).cast("long")
     forms = written(
@@ -161,24 +179,30 @@ def templates(judged: DataFrame, depth: int = DEPTH, wide: int = WIDE) -> DataFr
     totals = forms.agg(F.sum("allowed"), F.sum("blocked")).first()
     allowed, blocked = totals[0] or 0, totals[1] or 0
     prior = (blocked + 0.5) / (allowed + blocked + 1)
-    shares = forms.groupBy("host").agg(_smoothed(F.lit(prior)).alias("share"))
-    forms = forms.join(shares, "host")
-    for level in range(depth + 1):
+    shares = forms.groupBy("host").agg(_smoothed(F.lit(prior)).alias("share"), _mixed().alias("open"))
+    forms = written(forms.join(shares, "host"))
+    leaves = []
+    for level in range(deepest + 1):
+        # A path that has ended keeps its prefix, and so its share; so does a deep place of one kind.
+        open_ = (F.col("open") | F.lit(level < depth)) & (F.size("form") > level)
+        leaves.append(forms.where(~open_))
+        forms = forms.where(open_)
+        if forms.isEmpty():
+            break
         forms = _merged(_generalised(forms, level, wide), level)
         longer = F.concat_ws("/", F.col("prefix"), F.col("segment"))
         forms = forms.withColumn("prefix", longer).drop("segment")
-        own = forms.groupBy("host", "prefix").agg(_smoothed(F.max("share")).alias("share"))
-        # A path that has ended keeps its prefix, and so its share.
-        forms = written(
-            forms.withColumn("ended", F.size("form") <= level)
-            .withColumnRenamed("share", "above")
-            .join(own, ["host", "prefix"])
-            .withColumn("share", F.when(F.col("ended"), F.col("above")).otherwise(F.col("share")))
-            .drop("above", "ended")
+        own = forms.groupBy("host", "prefix").agg(
+            _smoothed(F.max("share")).alias("share"), _mixed().alias("open")
         )
-    return forms.select(
-        "host", "form", F.col("prefix").alias("template"), F.col("share").alias("blocked_share")
-    )
+        forms = written(forms.drop("share", "open").join(own, ["host", "prefix"]))
+    leaves.append(forms)
+    names = ["host", "form", F.col("prefix").alias("template"), F.col("share").alias("blocked_share")]
+    return reduce(DataFrame.union, [leaf.select(*names) for leaf in leaves])
+
+
+def _mixed() -> Column:
+    return (F.sum("allowed") > 0) & (F.sum("blocked") > 0)
 
 
 def _smoothed(above: Column) -> Column:
@@ -197,17 +221,18 @@ def judge(
     reject: float = REJECT,
     depth: int = DEPTH,
     wide: int = WIDE,
+    deepest: int = DEEPEST,
 ) -> DataFrame:
     """``key, host, path, rule, verdict, template, blocked_share`` for each row."""
     host, path = host_and_path(F.col(url))
     parsed = df.select(F.col(key).alias("key"), host.alias("host"), path.alias("path"))
     decided = longest_rule(F.col("host"), F.col("path"), rules)
-    judged = parsed.select("*", decided.alias("decided"), path_form(F.col("path"), depth).alias("form"))
+    judged = parsed.select("*", decided.alias("decided"), path_form(F.col("path"), deepest).alias("form"))
     judged = judged.select(
         "key", "host", "path", "form",
         F.col("decided.rule").alias("rule"), F.col("decided.verdict").alias("verdict"),
     )
-    known = templates(judged.select("host", "form", "verdict"), depth, wide)
+    known = templates(judged.select("host", "form", "verdict"), depth, wide, deepest)
     # One form may hold a third of the rows; adaptive execution splits it.
     learnt = F.when(F.col("blocked_share") >= reject, BLOCK).otherwise(ALLOW)
     return judged.join(known, ["host", "form"]).select(

@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from dayledger.llm import chat, clusters, langid, phrases
+from dayledger.llm import chat, clusters, langid, phrases, urls
 from dayledger.llm.queries import QUERIES, SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -316,3 +316,34 @@ def test_more_labels_than_languages(spark, monkeypatch):
     model = langid.fit(df)
     assert sorted(model.langs) == [f"l{k}" for k in range(6)]
     assert langid.predict(df, model).count() == len(rows)
+
+
+# ---------------------------------------------------------------- URL templates
+
+
+def _verdicts(spark, rows, rules, **options):
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(rows)], "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in urls.judge(df, rules=rules, **options).collect()}
+    return {u: found[i] for i, u in enumerate(rows)}
+
+
+@pytest.mark.parametrize("sections", [38, 60, 200])
+def test_a_rare_section_is_not_judged_by_the_others(spark, sections):
+    """One section's labels are all blocked; however many others are allowed, its other URLs are rejected."""
+    rows = [f"http://h.com/s{chr(97 + k // 26)}{chr(97 + k % 26)}/ok/p{chr(97 + j)}" for k in range(sections) for j in range(26)]
+    rows += [f"http://h.com/bad/ok/p{chr(97 + j)}" for j in range(16)] + [f"http://h.com/bad/other/q{chr(97 + j)}" for j in range(4)]
+    rules = tuple(urls.Rule("allow", "h.com", f"/s{chr(97 + k // 26)}{chr(97 + k % 26)}/ok") for k in range(sections))
+    found = _verdicts(spark, rows, (*rules, urls.Rule("block", "h.com", "/bad/ok")))
+    assert {v for u, v in found.items() if "/bad/" in u} == {"block"}
+    assert {v for u, v in found.items() if "/bad/" not in u} == {"allow"}
+
+
+@pytest.mark.parametrize("level", [2, 6, 9])
+def test_a_blocked_branch_at_any_level(spark, level):
+    above = "/".join("abcdefghij"[: level - 1])
+    rows = [f"http://h.com/{above}/good/x{chr(97 + j)}/{t}" for j in range(20) for t in ("seen", "new")]
+    rows += [f"http://h.com/{above}/bad/x{chr(97 + j)}/{t}" for j in range(20) for t in ("seen", "new")]
+    rules = tuple(urls.Rule(v, "h.com", f"/{above}/{b}/x{chr(97 + j)}/seen") for v, b in (("block", "bad"), ("allow", "good")) for j in range(20))
+    found = _verdicts(spark, rows, rules)
+    assert {v for u, v in found.items() if "/bad/" in u} == {"block"}
+    assert {v for u, v in found.items() if "/good/" in u} == {"allow"}
