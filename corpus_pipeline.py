@@ -8,9 +8,11 @@ stage. An empty table gives an empty one at each stage.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dayledger.llm import bpe, decontaminate, langid, pii, simhash
+from dayledger.llm.common import without
 from dayledger.session import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -31,48 +33,47 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """With the file and the place in it of each row; rows that are in no file are written first."""
+    own = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    try:
+        return docs.select(*COLUMNS, *own)
+    except AnalysisException:
+        return written(docs.select(*COLUMNS)).select(*COLUMNS, *own)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest doc_id.
+    """One document of each group stays: that with the smallest doc_id, if any has one.
 
-    Of a group's rows that share this doc_id the least in the other columns stays, and so of a
-    group without any doc_id. Rows that share a doc_id may be in several groups.
+    Of rows that share this doc_id, or of a group without any, the least in lang, source, n_chars
+    and a hash of the text stays, and of rows equal in these the first of the first file.
+    Rows are told apart by file and place, so a doc_id may be missing or in several groups.
     """
-    found = written(simhash.groups(docs))
-    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    each = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max(least).alias("kept"))
-    each = written(each.where("kept"))
-    alone = F.col("doc_id").isNotNull() & (F.col("rows") == 1)
-    named = docs.join(each.where(alone).select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
-    shared = each.where(~alone).select(F.col("doc_id").alias("__id"))
-    if shared.isEmpty():
-        return named
-    # Here the doc_id does not tell which rows are meant: the fingerprint does.
-    some = docs.join(shared, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    some = simhash.with_fingerprint(some.select(*COLUMNS), "text", "__print")
-    first = found.where(least).select(
-        F.col("doc_id").alias("__id"), F.col("fingerprint").alias("__print"), "component"
+    named = _named(docs)
+    hashed = named.withColumn("__hash", F.xxhash64("text"))
+    carry = ("__file", "__row", "lang", "source", "n_chars", "__hash")
+    found = written(simhash.groups(hashed, carry=carry))
+    order = [F.col("doc_id").isNull().alias("none"), "doc_id", *carry[2:], *carry[:2]]
+    first = found.groupBy("component").agg(
+        F.min(F.struct(*order)).alias("first"), F.count(F.lit(1)).alias("rows")
     )
-    others = [c for c in COLUMNS if c != "doc_id"]
-    rows = (
-        some.join(first.distinct(), "__print")
-        .where(F.col("doc_id").eqNullSafe(F.col("__id")))
-        .groupBy("component", "doc_id")
-        .agg(F.min(F.struct(*others)).alias("row"))
+    first = first.where(F.col("rows") > 1).select(
+        "component", F.col("first.__file").alias("file"), F.col("first.__row").alias("row")
     )
-    return named.union(rows.select("doc_id", *(F.col(f"row.{c}").alias(c) for c in others)))
+    same = (F.col("__file") == F.col("file")) & (F.col("__row") == F.col("row"))
+    gone = found.join(first, "component").where(~same).select("__file", "__row")
+    return without(named, gone, ["__file", "__row"]).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Goes: documents that hold a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     # Rows that share a doc_id, or have none, are told apart by their texts.
-    own = F.struct("doc_id", F.xxhash64("text").alias("hash"))
-    found = decontaminate.contaminated(docs.select(own.alias("own"), "text"), benchmark, "own")
-    bad = written(
-        found.select(F.col("own.doc_id").alias("__id"), F.col("own.hash").alias("__hash")).distinct()
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(bad, same, "left_anti").select(*COLUMNS)
+    hashed = docs.withColumn("__hash", F.xxhash64("text"))
+    own = F.struct("doc_id", "__hash").alias("own")
+    found = decontaminate.contaminated(hashed.select(own, "text"), benchmark, "own")
+    gone = found.select("own.doc_id", "own.__hash")
+    return without(hashed, gone, ["doc_id", "__hash"]).select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
