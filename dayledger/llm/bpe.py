@@ -8,6 +8,9 @@ vocabulary and puts their bytes together by ordered aggregation.
 
 Null texts count as empty; an empty text has no ids. Columns that the result adds replace columns
 of that name. What is kept between blocks is a cache of bounded size and never changes a result.
+
+Texts are read whole, however long; each row, repeated or not, has a row of its own. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations

@@ -5,6 +5,9 @@ alone as one token. A text is cut into pre-tokens; those among the proved string
 without any merging, and only the rest is merged by the library, each distinct one once.
 
 Null and empty texts have 0 bytes and 0 tokens. Columns besides the key and the text are dropped.
+
+Texts are counted whole, however long; repeated rows are counted each. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations

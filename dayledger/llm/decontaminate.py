@@ -20,6 +20,9 @@ for each item at most, get their exact similarity without it.
 
 Items of fewer than five words, null texts and null items take no part. Repeated items, and
 documents with the same key, count as one. The result has a row per document key and item.
+
+Texts are compared whole, however long. Empty tables, on either side, give an empty result. Only the
+keys and texts are read, whatever other columns are named.
 """
 
 from __future__ import annotations

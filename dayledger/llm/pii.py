@@ -14,6 +14,9 @@ followed one after another, so a text of any length is one row and no row depend
 
 The patterns are written so that no match needs backtracking over a long run: a run is entered at
 its start or where the last match ended, which finds the same leftmost matches.
+
+Repeated rows are judged each; an empty table gives an empty result. ``mask`` keeps the table's columns,
+but for those named ``__candidates`` and ``__spans``, which it uses.
 """
 
 from __future__ import annotations

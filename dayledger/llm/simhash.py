@@ -14,6 +14,9 @@ round. So the work grows with the number of fingerprints, never with the square
 
 Null texts count as empty: no words, fingerprint zero, linked like any other. Rows with a null key
 take part; a component's id is its smallest key that is not null, and null if there is none.
+
+Texts are read whole, however long; repeated rows have a row each, in the same component. An empty
+table gives an empty result. Only the key, the text and columns asked for are read.
 """
 
 from __future__ import annotations

@@ -9,6 +9,8 @@ block can be read alone, and its checkpoints are decoded side by side from a loo
 Counts of ids cover all rows. Code lengths are limited (package-merge), so that the table that
 decodes has a bounded size. Null texts count as empty; null keys come first; rows with equal keys
 follow one another in the order of a hash of their ids. Columns besides key and text are not kept.
+
+Texts are encoded whole, however long. An empty table gives no file and an empty result.
 """
 
 from __future__ import annotations

@@ -13,6 +13,9 @@ that are null or hold null or non-finite components take no part; nor does a que
 by its key. Fewer than k candidates: all. Ties go to the smaller key. Rows with a null key are no
 queries and no candidates; vectors of another length than the first of their block's
 queries meet only queries of their own length.
+
+Repeated rows are candidates each. An empty table, or one without queries, gives an empty result. Other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
