@@ -5,10 +5,13 @@ case, all else a gap), square-rooted and scaled to length one. Linear support ve
 against the rest, predict the family; within a family a machine for each pair of languages votes.
 Languages that ``FAMILIES`` does not know form a family each.
 
-The machines are fitted on the driver on a sample of bounded size (``PER_LANGUAGE`` training rows
-of each language, by a hash of the key); every row is then scored where it lies. Prediction sees
-the text only. Null texts and texts without a letter are ``und`` with score 0, as is everything
-when there are no labelled rows. Rows with a null key are scored, but not learned from.
+The machines are fitted on the driver on a sample of bounded size (``PER_LANGUAGE`` different
+training rows of each language, by a hash of key and text, ``SAMPLE`` in all; with more than
+``LANGUAGES`` labels, of those with the most different rows); every row is then scored where it lies.
+Prediction sees the text only. Null, empty and letterless texts are ``und`` with score 0, as is
+everything when there are no labelled rows. Rows with a null key are scored, but not learned from.
+Very long texts are read whole. Ties go to the label that sorts first; repeated rows are learned from
+once and scored each. An empty table gives an empty result. Columns named like the result are replaced.
 """
 
 from __future__ import annotations
@@ -170,19 +173,28 @@ def fit(
     lang: str = "lang",
     per_language: int = PER_LANGUAGE,
 ) -> Model:
-    """From rows whose language is not null: all of a language's, or ``per_language`` by hash."""
-    labelled = labelled.where(F.col(lang).isNotNull() & F.col(key).isNotNull())
-    sizes = to_driver(labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("n")), LANGUAGES)
+    """From rows whose language is not null: all different ones of a language, or ``per_language`` of
+    them by a hash of key and text; of the ``LANGUAGES`` that have the most different rows.
+    """
+    labelled = labelled.where(F.col(lang).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"),
+        F.xxhash64(F.col(key).cast("string"), text).alias("row"),
+    )
+    # Rows that share a key are told apart by their texts, and equal rows count once: however often
+    # a row repeats, it is neither all that is drawn nor all that is missed.
+    different = labelled.select("lang", "row").distinct().groupBy("lang")
+    sizes = (
+        different.agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    ).collect()
     per_language = max(1, min(per_language, SAMPLE // max(1, len(sizes))))
     # Shares of a hash's range that hold a little more than the bound; the bound then cuts.
-    place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30))
-    share = F.lit(0)
-    for row in sizes:
-        upper = min(1 << 30, int((1 << 30) * 1.2 * per_language / row["n"]))
-        share = F.when(F.col(lang) == row[lang], upper).otherwise(share)
-    rows = to_driver(
-        _vectors(labelled.where(place < share), text, lang), 2 * per_language * len(sizes) + 100
-    )
+    place = F.pmod("row", F.lit(1 << 30))
+    shares = {
+        r["lang"]: min(1 << 30, int((1 << 30) * 1.2 * (per_language + 20) / r["n"])) for r in sizes
+    }
+    share = F.coalesce(F.try_element_at(_literal_map(shares), F.col("lang")), F.lit(0))
+    drawn = labelled.where(place < share).dropDuplicates(["lang", "row"])
+    rows = to_driver(_vectors(drawn, "text", "lang"), 2 * (per_language + 20) * len(sizes) + 100)
     taken: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], bytes(r["vector"]))):
         taken.setdefault(row["lang"], []).append(bytes(row["vector"]))
@@ -196,6 +208,11 @@ def fit(
     return Model(x, [name for name, v in cut.items() for _ in v])
 
 
+def _literal_map(values: dict[str, int]) -> Column:
+    pairs = [F.lit(v) for pair in values.items() for v in pair]
+    return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,int>")
+
+
 def predict(
     df: DataFrame, model: Model, text: str = "text", into: tuple[str, str] = ("lang_pred", "score")
 ) -> DataFrame:
