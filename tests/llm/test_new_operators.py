@@ -182,6 +182,20 @@ def test_frequent_phrases(spark, bits, sample):
         assert passes == 1
 
 
+def test_wrong_hits_beside_words_that_the_sample_missed(spark):
+    """Copies of texts with words of their own, which a sample seldom has, and a filter that is often wrong."""
+    draw = random.Random(5)
+    common = [f"c{i}" for i in range(30)]
+    rows = [(i, " ".join(draw.choices(common, k=60)), "en", 0, "") for i in range(800)]
+    for t in range(60):
+        text = " ".join(draw.choices(common + [f"r{t}-{i}" for i in range(20)], k=60))
+        rows += [(t, text, "en", 0, "")] * 30
+    df = spark.createDataFrame(rows, DOCUMENTS).repartition(4)
+    found, passes = phrases.frequent_phrases(df, bits=1 << 15)
+    assert sorted(map(tuple, found.select("lang", "size", "phrase", "n").collect())) == _brute_frequent(rows)
+    assert passes > 1
+
+
 def test_collocations_of_odd_texts(spark):
     given = spark.createDataFrame(_texts(), DOCUMENTS)
     found = phrases.collocations(given.repartition(3), sample=3)
