@@ -196,6 +196,23 @@ def test_wrong_hits_beside_words_that_the_sample_missed(spark):
     assert passes > 1
 
 
+def test_packed_hashes():
+    """One row for each range of hashes, with the sum of each hash; the ends of the ranges, and nothing at all."""
+    ends = [0, 1, 2**64 - 1, 2**63, 2**63 - 1, -(-(2**64) // 3), 2**64 // 3]
+    h, n = np.array(ends * 2, np.uint64), np.arange(14)
+    want = {x: k + k + 7 for k, x in enumerate(ends)}
+    for groups in (1, 2, 3, 64):
+        rows = phrases._packed([(h[:5], n[:5]), (h[5:], n[5:]), (h[:0], n[:0])], groups).to_pylist()
+        assert len({r["part"] for r in rows}) == len(rows)
+        found = {}
+        for r in rows:
+            some = np.frombuffer(r["h"], np.uint64).tolist()
+            assert {x * groups >> 64 for x in some} == {r["part"]}
+            found.update(zip(some, np.frombuffer(r["n"], np.int64).tolist(), strict=True))
+        assert found == want
+        assert phrases._packed([(h[:0], n[:0])], groups).num_rows == 0
+
+
 def test_collocations_of_odd_texts(spark):
     given = spark.createDataFrame(_texts(), DOCUMENTS)
     found = phrases.collocations(given.repartition(3), sample=3)
