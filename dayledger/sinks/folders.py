@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from dayledger.functions.zorder import z_key
+from dayledger.functions.zorder import with_z_key
 from dayledger.sources.tables import file_system
 
 # Writer options of the published Parquet table.
@@ -49,7 +49,7 @@ def shaped(
     if z_order:
         if cluster_by:
             raise ValueError("rows are laid out by cluster_by or by z_order")
-        keyed = df.withColumns({"_z": z_key(df, z_order), "_apart": F.xxhash64(*df.columns)})
+        keyed = with_z_key(df, z_order, "_z").withColumn("_apart", F.xxhash64(*df.columns))
         ranged = (
             keyed.repartitionByRange(files, "_z", "_apart")
             if isinstance(files, int)

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from dayledger.functions.zorder import z_key
+from dayledger.functions.zorder import with_z_key, z_key
 from dayledger.operators.report import load_report, load_sketch, merged_report
 from dayledger.plans.landing import initial_load
 from dayledger.sinks.folders import PARQUET_OPTIONS, write_folder
@@ -61,6 +61,25 @@ def test_z_key_of_nulls_and_odd_columns(spark):
         write_folder(df, "/nowhere", "parquet", cluster_by=("x",), z_order=("s",))
 
 
+def test_halving_gives_the_key_of_comparing_with_all_bounds(spark):
+    """Also of nulls, NaN, infinities, values equal to a bound, and columns with a single value or none."""
+    random.seed(3)
+    odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0]
+    rows = [
+        (random.choice([*odd, random.random(), float(random.randrange(5))]), random.choice([None, "", "é", f"Station {random.randrange(999):03}"]),
+         random.choice([None, date(2024, 1, 1) + timedelta(random.randrange(400))]), 7, None)
+        for _ in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "x double, s string, d date, one int, nothing long")
+    for columns in (("x", "s"), ("d", "s", "x"), ("one",), ("nothing", "one", "d")):
+        keyed = with_z_key(df, columns).withColumn("whole", z_key(df, columns))
+        assert keyed.columns == [*df.columns, "_z", "whole"]
+        assert keyed.where(~F.col("_z").eqNullSafe(F.col("whole"))).isEmpty() and keyed.select("_z").distinct().count() >= 1
+    # No higher-order function, which would be interpreted row by row.
+    plan = with_z_key(df, ("x", "s"))._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan
+
+
 def test_near_in_both_columns_is_near_in_the_key(spark):
     df = spark.range(64 * 64).select((F.col("id") % 64).alias("a"), F.expr("id div 64").alias("b"))
     rows = df.select("a", "b", z_key(df, ("a", "b")).alias("z")).orderBy("z").collect()
