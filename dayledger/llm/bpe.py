@@ -36,9 +36,11 @@ CACHE = 150_000
 #: Words of more bytes take a heap instead of one recursion step per merge.
 LONG_WORD = 1_000
 #: Characters that are encoded at once: the more, the fewer words are met again as new.
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 2 << 20
 #: Rows that one recursive query may make.
-QUERY_ROWS = 1_500_000
+QUERY_ROWS = 500_000
+#: Ids that one query decodes, but for a single longer row.
+QUERY_IDS = 200_000
 
 # A space beside other white space, or at an end.
 _WHITE = (
@@ -229,6 +231,17 @@ class Codec:
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """Bytes of each row of ids; an id outside the vocabulary raises."""
+        out: list[bytes] = []
+        held, size = [], 0
+        for row in ids:
+            if held and size + len(row) > QUERY_IDS:
+                out += self._decode(held)
+                held, size = [], 0
+            held.append(row)
+            size += len(row)
+        return out + self._decode(held)
+
+    def _decode(self, ids: list[np.ndarray]) -> list[bytes]:
         flat = np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32)
         if len(flat) and not (
             0 <= flat.min() and flat.max() < len(self.known) and self.known[flat].all()
@@ -338,6 +351,8 @@ def round_trip(
                 "decoded_sha256": [hashlib.sha256(raw).hexdigest() for raw in back],
             }
         )
+        # What one block has left behind would lie beside the next one.
+        pa.default_memory_pool().release_unused()
         return out.append_column(ids, _lists(rows)) if ids else out
 
     schema = f"{key} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -427,3 +428,24 @@ def test_probabilities_come_to_one():
     known = pairs > 0
     model = (share * table)[known].sum()
     assert model > (share * np.log10(np.maximum(unigram, 1e-9)))[known].sum()
+
+
+def test_decoding_asks_for_a_bounded_number_of_ids(monkeypatch):
+    """Rows go together up to the bound; a longer one is asked for alone, empty ones are kept."""
+    codec = bpe.Codec(*bpe._options(None, None))
+    texts = ["", "one two", "a text of more words than the bound", "", "x", None, "é \U0001f600", ""]
+    whole = codec.encode(pa.array(texts))
+    asked, plain = [], bpe.Codec._decode
+
+    def noted(self, ids):
+        asked.append(sum(map(len, ids)))
+        return plain(self, ids)
+
+    monkeypatch.setattr(bpe, "QUERY_IDS", 5)
+    monkeypatch.setattr(bpe.Codec, "_decode", noted)
+    assert codec.decode(whole) == [(t or "").encode() for t in texts]
+    assert len(asked) > 2 and sum(asked) == sum(map(len, whole))
+    assert all(n <= 5 or n in map(len, whole) for n in asked)
+    assert codec.decode([]) == []
+    with pytest.raises(ValueError, match="vocabulary"):
+        codec.decode([*whole, np.array([10**6], np.int32)])
